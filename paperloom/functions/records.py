@@ -38,10 +38,9 @@ def canonical_json(fields: dict[str, Column], record: Column | None = None) -> C
         _fields(F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()]))),
         lambda _, v: ~F.is_variant_null(v),
     )
-    names = [F.lit(n) for n in fields]
     rest = F.map_filter(
         F.coalesce(_fields(record), F.create_map().cast("map<string,variant>")),
-        lambda k, _: ~k.isin(*names),
+        lambda k, _: ~F.map_contains_key(typed, k),
     )
     merged = F.map_concat(typed, rest)
     ordered = F.transform(

@@ -26,18 +26,18 @@ def spread_join(
     on: list[str],
     how: str,
     row: str,
-    hot_from: DataFrame | None = None,
+    top: Column | None = None,
 ) -> DataFrame:
     """Join a `right` side that is unique on `on`, whatever the key counts on the left.
 
     Rows of a frequent key, and rows without a key, are dealt out over shards by the hash of
-    their `row` column; the matching right rows, at most HOT_KEYS of them, are repeated per
-    shard. The last column of `on` is the one watched. `hot_from` may name a cheaper frame
-    with the same key column.
+    their `row` column; the matching right rows, a bounded few, are repeated per shard. The
+    last column of `on` is the one watched. `top` may give its frequent values where they are
+    known from something cheaper than a pass over `left`.
     """
     key = on[-1]
     shards = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = hot_keys(left if hot_from is None else hot_from, key)
+    top = hot_keys(left, key) if top is None else top
     is_hot = F.coalesce(F.array_contains(top, F.col(key)), F.lit(False))
     dealt = F.pmod(F.xxhash64(row), F.lit(shards)).cast("int")
     first = F.lit(0)
@@ -54,6 +54,24 @@ def spread_join(
     return lefts.join(rights, [*on, "_shard"], how).drop("_shard")
 
 
+def _probes(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]]) -> DataFrame:
+    probes = F.array(*[
+        F.struct(F.lit(at).alias("at"), F.lit(name).alias("rung"),
+                 F.lit(kind).alias("kind"), key.alias("key"))
+        for at, (name, kind, key) in enumerate(rungs)
+    ])
+    return rows.select(F.col(row).alias("row"), F.inline(probes)).where(F.col("key").isNotNull())
+
+
+def hot_values(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]], index: DataFrame) -> Column:
+    """Index values that many rows may end at: those under the most frequent keys of `rows`.
+
+    A value has one key per kind, so it can only be frequent if one of its keys is.
+    """
+    top = hot_keys(_probes(rows, row, rungs), "key")
+    return index.where(F.array_contains(top, F.col("key"))).agg(F.collect_set("value")).scalar()
+
+
 def first_hit(
     rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]], index: DataFrame
 ) -> DataFrame:
@@ -63,12 +81,7 @@ def first_hit(
     (kind, key). All rungs go through one join, narrow and inner, and the first hit per row
     is a map-side combined minimum. Rows that find nothing are not in the result.
     """
-    probes = F.array(*[
-        F.struct(F.lit(at).alias("at"), F.lit(name).alias("rung"),
-                 F.lit(kind).alias("kind"), key.alias("key"))
-        for at, (name, kind, key) in enumerate(rungs)
-    ])
-    asked = rows.select(F.col(row).alias("row"), F.inline(probes)).where(F.col("key").isNotNull())
+    asked = _probes(rows, row, rungs)
     hits = spread_join(asked, index.select("kind", "key", "value"), ["kind", "key"], "inner", "row")
     best = hits.groupBy("row").agg(F.min(F.struct("at", "rung", "value")).alias("best"))
     return best.select(F.col("row").alias(row), "best.rung", "best.value")

@@ -8,7 +8,7 @@ from paperloom.functions import (
     contains_any, doi_key, join_url, present, stable_id, storage_path,
 )
 from paperloom.operators.dedup import first_location
-from paperloom.operators.joins import first_hit, spread_join
+from paperloom.operators.joins import first_hit, hot_values, spread_join
 from paperloom.schemas import ENTRY, conform
 from paperloom.values import PMC_ARCHIVE_BASE, PMC_PDF_MARKS, PMC_WEB_BASE
 
@@ -84,7 +84,8 @@ def biblio_lookup(keys: DataFrame, biblio: DataFrame, fallback: DataFrame | None
         for c in ("doi", "pmid", "pmcid", "istexid") if c in keys.columns
     })
     hits = first_hit(cleaned, "row_no", rungs, index)
-    found = spread_join(hits, records, ["value"], "inner", "row_no")
+    top = hot_values(cleaned, "row_no", rungs, index)
+    found = spread_join(hits, records, ["value"], "inner", "row_no", top)
     return found.select("row_no", F.col("rung").alias("matched_by"), *RECORD_FIELDS)
 
 

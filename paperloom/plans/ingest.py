@@ -94,7 +94,8 @@ def ingest_release(
     records = known.select("row_no", "record").unionByName(
         _record(looked_up)
     )
-    merged = merge_release(rows.join(records, "row_no", "left"))
+    # The ladder of links reads its entries several times, so they are written once before it.
+    merged = cut_lineage(merge_release(rows.join(records, "row_no", "left")))
     changed = cut_lineage(_link(merged, snapshots))
     keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
     return Ingested(changed, _last_keys(keyed), errors)
@@ -135,6 +136,6 @@ def ingest_ids(
         (F.coalesce(given[n], record[n]) if n in given else record[n]).alias(n)
         for n in ENTRY.names if n != "id"
     ])
-    changed = cut_lineage(_link(init_flags(filled), snapshots))
+    changed = cut_lineage(_link(cut_lineage(init_flags(filled)), snapshots))
     keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
     return Ingested(changed, _last_keys(keyed), keys.where("key is null"))

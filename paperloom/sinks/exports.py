@@ -138,7 +138,7 @@ def write_payloads(files: DataFrame, root: str) -> None:
             for path, content in zip(batch["path"], batch["content"]):
                 full = f"{base.rstrip('/')}/{path}"
                 target.create_dir(full.rpartition("/")[0], recursive=True)
-                with target.open_output_stream(full) as out:
+                with target.open_output_stream(full, compression=None) as out:
                     out.write(content)
             yield pd.DataFrame({"n": [len(batch)]})
 

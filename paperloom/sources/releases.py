@@ -10,8 +10,8 @@ from paperloom.sources.order import file_order
 from paperloom.values import RELEASE_COLUMNS
 
 
-def shape_release(df: DataFrame) -> DataFrame:
-    """Release columns as strings: blanks become null, missing columns are null.
+def shape_release(df: DataFrame, position: str = "row_no") -> DataFrame:
+    """`position` and the release columns: blanks become null, missing columns are null.
 
     `sha` keeps its blanks, because they overwrite an older value when merged.
     """
@@ -22,7 +22,7 @@ def shape_release(df: DataFrame) -> DataFrame:
             return F.coalesce(F.col(name), F.lit("")).alias(name)
         return present(F.col(name)).alias(name)
 
-    return df.select("row_no", *[column(c) for c in RELEASE_COLUMNS])
+    return df.select(position, *[column(c) for c in RELEASE_COLUMNS])
 
 
 def read_release(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:

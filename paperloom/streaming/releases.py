@@ -12,7 +12,7 @@ from paperloom.plans.ingest import Snapshots, ingest_release
 from paperloom.runtime import cut_lineage
 from paperloom.schemas import ID_MAP
 from paperloom.sinks.state import write_state
-from paperloom.sources.order import file_order
+from paperloom.sources.order import file_place, order_within
 from paperloom.sources.releases import shape_release
 from paperloom.sources.state import read_commits, read_state
 from paperloom.values import RELEASE_COLUMNS
@@ -20,17 +20,22 @@ from paperloom.values import RELEASE_COLUMNS
 
 def release_stream(
     spark: SparkSession, folder: str, columns: tuple[str, ...] = RELEASE_COLUMNS,
-    multi_line: bool = True, files_per_batch: int = 1,
+    multi_line: bool = True, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of release rows; one file per batch keeps the order of releases."""
+    """Stream of release rows, with their `place`, from CSV files that come to rest in `folder`.
+
+    Rows of one batch are ordered by file path. `files_per_batch=1` makes a batch of each file,
+    for folders where several releases wait, each in one file.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
+    reader = (
         spark.readStream.schema(schema).option("header", "true").option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"').option("maxFilesPerTrigger", files_per_batch)
+        .option("quote", '"').option("escape", '"')
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-        .csv(folder)
     )
-    return shape_release(rows.withColumn("row_no", file_order()))
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return shape_release(reader.csv(folder).withColumn("place", file_place()), "place")
 
 
 def stream_releases(
@@ -47,7 +52,8 @@ def stream_releases(
         if any(c["batch"] == mark for c in commits):
             return
         entries, id_map = read_state(spark, root, commits)
-        done = ingest_release(entries, id_map, cut_lineage(batch), snapshots)
+        rows = batch.withColumn("row_no", order_within("place")).drop("place")
+        done = ingest_release(entries, id_map, cut_lineage(rows), snapshots)
         write_state(spark, root, done.changed, done.keys, mark)
 
     return (
