@@ -3,6 +3,7 @@
 import gzip
 import io
 import tarfile
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -33,13 +34,12 @@ class Views:
     """Attribute access to the views of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark = spark
+        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.view = cache(lambda name: view(name, self.table))
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, f"fx_{name}")
-
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.view(f"fx_{name}")
 
     def path(self, name: str) -> str:
         return fresh_path(self.spark, name)

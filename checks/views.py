@@ -5,9 +5,10 @@ texts whole; what is absent is a blank value, another kind of file, or a number
 range of the other views, never a row that was filtered out.
 """
 
+from collections.abc import Callable
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from paperloom.values import ARTIFACT_SUFFIXES
 
@@ -196,10 +197,10 @@ def duckdb_text(name: str) -> str:
     return _text(name, "varchar")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view as a DataFrame over the tables of `sf_dir`; registers nothing."""
+def view(name: str, table: Callable[[str], DataFrame]) -> DataFrame:
+    """The view as a DataFrame over the tables that `table` gives by name."""
     text = _text(name, "string")
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f"from {t}" in text}
-    for t in tables:
+    used = {t: table(t) for t in TABLES if f"from {t}" in text}
+    for t in used:
         text = text.replace(f"from {t}", f"from {{{t}}}")
-    return spark.sql(text, **tables)
+    return next(iter(used.values())).sparkSession.sql(text, **used)

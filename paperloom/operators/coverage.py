@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import present, storage_path
 from paperloom.operators.dedup import first_by
-from paperloom.operators.joins import hot_keys, spread_join
+from paperloom.operators.joins import key_load, spread_join
 from paperloom.values import ARTIFACT_SUFFIXES, EXTRA_COLUMNS, MISSED_COLUMNS
 
 
@@ -27,9 +27,10 @@ def official_fulltext(rows: DataFrame, official: DataFrame) -> DataFrame:
         keys = official.where(F.col("kind") == kind).select(F.col("key").alias(column))
         return keys.distinct().withColumn(flag, F.lit(True))
 
-    keyed = keys = rows.withColumns({"_pmc": present(F.col("pmcid")), "_sha": present(F.col("sha"))})
-    keyed = spread_join(keyed, listed("pmc", "_pmc", "has_pmc_json"), ["_pmc"], "left", "row_no", hot_keys(keys, "_pmc"))
-    keyed = spread_join(keyed, listed("pdf", "_sha", "has_pdf_json"), ["_sha"], "left", "row_no", hot_keys(keys, "_sha"))
+    keyed = rows.withColumns({"_pmc": present(F.col("pmcid")), "_sha": present(F.col("sha"))})
+    load = key_load(keyed, "_pmc", "_sha")
+    keyed = spread_join(keyed, listed("pmc", "_pmc", "has_pmc_json"), ["_pmc"], "left", "row_no", load)
+    keyed = spread_join(keyed, listed("pdf", "_sha", "has_pdf_json"), ["_sha"], "left", "row_no", load)
     return keyed.drop("_pmc", "_sha").withColumns({
         "has_pmc_json": _flag("has_pmc_json"), "has_pdf_json": _flag("has_pdf_json"),
     }).withColumn("has_official", F.col("has_pmc_json") | F.col("has_pdf_json"))

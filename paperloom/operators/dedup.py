@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paperloom.functions import doi_key, present
-from paperloom.operators.joins import spread_join
+from paperloom.operators.joins import Load, key_load, spread_join
 from paperloom.runtime import cut_lineage
 
 
@@ -40,18 +40,24 @@ def release_claims(release: DataFrame) -> DataFrame:
     )
 
 
-def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows none of whose keys is among `keys` (kind, key)."""
+def _matched(claims: DataFrame, keys: DataFrame, how: str, load: Load) -> DataFrame:
+    """Join `claims` with unique `keys` (kind, key, ...) by uid, then by DOI."""
     for kind, column in (("id", "uid"), ("doi", "doi")):
-        taken = keys.where(F.col("kind") == kind).select(F.col("key").alias(column))
-        rows = spread_join(rows, taken, [column], "left_anti", "row_no")
-    return rows
+        held = keys.where(F.col("kind") == kind).drop("kind").withColumnRenamed("key", column)
+        if how == "left":
+            held = held.withColumnsRenamed({c: f"{column}_{c}" for c in held.columns if c != column})
+        claims = spread_join(claims, held, [column], how, "row_no", load)
+    return claims
+
+
+def _map_keys(id_map: DataFrame) -> DataFrame:
+    return id_map.where(F.col("kind").isin("id", "doi")).select("kind", "key").distinct()
 
 
 def not_yet_seen(release: DataFrame, id_map: DataFrame) -> DataFrame:
     """Release rows whose uid and cleaned DOI are both unknown to the map."""
-    keys = id_map.where(F.col("kind").isin("id", "doi")).select("kind", "key").distinct()
-    fresh = _without(release_claims(release), keys)
+    claims = release_claims(release)
+    fresh = _matched(claims, _map_keys(id_map), "left_anti", key_load(claims, "uid", "doi"))
     return release.join(fresh.select("row_no"), "row_no", "left_semi")
 
 
@@ -59,42 +65,53 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
     """Rows taken in file order: one is taken iff no earlier taken row, and no key of the
     map, shares its uid or DOI. Rejected rows claim nothing.
 
-    Solved in rounds. A row that is the first undecided one for each of its keys is taken;
-    rows sharing a key with it are decided too. Each round is two aggregations and two anti
-    joins over (row_no, uid, doi), so the wide release rows are touched once at the end. The
-    number of rounds is the length of the longest chain of rejections.
+    Solved in rounds. A row that is the first open one for each of its keys is taken; rows
+    sharing a key with it are decided too. Each round is two aggregations and two joins over
+    (row_no, uid, doi), so the wide release rows are touched once at the end. The number of
+    rounds is the length of the longest chain of rejections.
     """
     claims = release_claims(release)
-    keyless = claims.where(F.col("uid").isNull() & F.col("doi").isNull()).select("row_no")
-    rows = claims.where(F.col("uid").isNotNull() | F.col("doi").isNotNull())
     if id_map is not None:
-        known = id_map.where(F.col("kind").isin("id", "doi")).select("kind", "key").distinct()
-        rows = _without(rows, known)
-    rows = cut_lineage(rows)
-
-    accepted = [keyless]
-    while not rows.isEmpty():
-        held = F.filter(
-            F.array(F.struct(F.lit("id").alias("kind"), F.col("uid").alias("key")),
-                    F.struct(F.lit("doi").alias("kind"), F.col("doi").alias("key"))),
-            lambda k: k["key"].isNotNull(),
-        )
-        first = (
-            rows.select("row_no", F.size(held).alias("n"), F.posexplode(held).alias("at", "k"))
-            .groupBy("k.kind", "k.key").agg(F.min(F.struct("row_no", "n", "at")).alias("w"))
-            .select("kind", "key", "w.*")
-        )
-        won = F.count("*").over(W.partitionBy("row_no"))
-        taken = cut_lineage(
-            first.withColumn("won", won).where("won = n").select("row_no", "kind", "key", "at")
-        )
-        accepted.append(taken.where("at = 0").select("row_no"))
-        rows = cut_lineage(_without(rows, taken.select("kind", "key")))
+        claims = _matched(claims, _map_keys(id_map), "left_anti", key_load(claims, "uid", "doi"))
+    keyless = F.col("uid").isNull() & F.col("doi").isNull()
+    state = cut_lineage(
+        claims.withColumn("state", F.when(keyless, F.lit("taken")).otherwise(F.lit("open")))
+    )
+    accepted = []
+    while True:
+        accepted.append(state.where("state = 'taken'").select("row_no"))
+        still = state.where("state = 'open'").drop("state")
+        load = key_load(still, "uid", "doi")
+        if load.rows == 0:
+            break
+        state = cut_lineage(_decide(still, load))
 
     chosen = reduce(DataFrame.unionByName, accepted)
     return release.join(chosen, "row_no", "left_semi")
 
 
+def _decide(claims: DataFrame, load: Load) -> DataFrame:
+    """One round over open claims: `state` is taken, out (shares a key with one) or open."""
+    held = F.filter(
+        F.array(F.struct(F.lit("id").alias("kind"), F.col("uid").alias("key")),
+                F.struct(F.lit("doi").alias("kind"), F.col("doi").alias("key"))),
+        lambda k: k["key"].isNotNull(),
+    )
+    first = (
+        claims.select("row_no", F.size(held).alias("n"), F.inline(held))
+        .groupBy("kind", "key").agg(F.min(F.struct("row_no", "n")).alias("first"))
+        .select("kind", "key", "first.*")
+    )
+    won = F.count("*").over(W.partitionBy("row_no"))
+    taken = first.withColumn("won", won).where("won = n").select("kind", "key", F.col("row_no").alias("by"))
+    seen = _matched(claims, taken, "left", load)
+    by = F.coalesce("uid_by", "doi_by")
+    state = F.when(by.isNull(), F.lit("open")).when(
+        (F.col("uid_by") == F.col("row_no")) | (F.col("doi_by") == F.col("row_no")), F.lit("taken")
+    ).otherwise(F.lit("out"))
+    return seen.select("row_no", "uid", "doi", state.alias("state"))
+
+
 def select_members(members: DataFrame) -> DataFrame:
     """Per archive: the first PDF and the last NXML among regular files, by member number."""
     regular = F.col("is_file")

@@ -1,60 +1,83 @@
 """Equi-joins that stay even when one key holds a large share of the rows."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Number of most frequent keys that are split, and of keys the frequency sketch tracks.
-HOT_KEYS = 32
-TRACKED_KEYS = 4096
+# Number of frequent keys that are told apart, and of keys the frequency sketch tracks.
+HEAVY_KEYS = 256
+TRACKED_KEYS = 16384
+# A key with fewer rows than this is never worth splitting.
+HEAVY_ROWS = 1_000_000
+
+
+@dataclass(frozen=True)
+class Load:
+    """Rows of a frame; per key column the values that outweigh a task, and if blanks do."""
+
+    rows: int
+    heavy: dict[str, list]
+    blank: dict[str, bool]
 
 
-def hot_keys(df: DataFrame, key: str) -> Column:
-    """The most frequent values of `key`, as one bounded array.
+def shards(df: DataFrame) -> int:
+    """Number of tasks a shuffle is spread over."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    The sketch is merged map-side and keeps any key with a real share of the rows. It only
-    decides how rows are spread; results do not depend on it.
+
+def key_load(df: DataFrame, *keys: str) -> Load:
+    """Measure `df` in one pass over its key columns.
+
+    The sketches are merged map-side and give one bounded row, read here and not inside the
+    join: both sides of a join must split the same keys, and a sketch may vary from run to
+    run. They decide only how rows are spread, so results do not depend on them.
     """
-    top = df.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})").alias("top")
+    measures = [F.count("*").alias("rows")]
+    for k in keys:
+        measures += [
+            F.expr(f"approx_top_k(`{k}`, {HEAVY_KEYS}, {TRACKED_KEYS})").alias(f"top_{k}"),
+            F.count(k).alias(f"filled_{k}"),
+        ]
+    found = df.agg(*measures).first()
+    share = max(HEAVY_ROWS, found["rows"] // shards(df))
+    return Load(
+        found["rows"],
+        {k: [t["item"] for t in found[f"top_{k}"] or [] if t["item"] is not None and t["count"] >= share]
+         for k in keys},
+        {k: found["rows"] - found[f"filled_{k}"] >= share for k in keys},
     )
-    return top.select(F.transform("top", lambda t: t["item"]).alias("keys")).scalar()
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str,
-    row: str,
-    top: Column | None = None,
+    left: DataFrame, right: DataFrame, on: list[str], how: str, row: str, load: Load | None = None
 ) -> DataFrame:
     """Join a `right` side that is unique on `on`, whatever the key counts on the left.
 
-    Rows of a frequent key, and rows without a key, are dealt out over shards by the hash of
-    their `row` column; the matching right rows, a bounded few, are repeated per shard. The
-    last column of `on` is the one watched. `top` may give its frequent values where they are
-    known from something cheaper than a pass over `left`.
+    Rows of a heavy key, and rows without a key where those are many, are dealt out over
+    shards by the hash of their `row` column; the matching right rows, at most HEAVY_KEYS,
+    are repeated per shard. The last column of `on` is the one watched; `load` is its measure
+    where it was taken before.
     """
     key = on[-1]
-    shards = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = hot_keys(left, key) if top is None else top
-    is_hot = F.coalesce(F.array_contains(top, F.col(key)), F.lit(False))
-    dealt = F.pmod(F.xxhash64(row), F.lit(shards)).cast("int")
-    first = F.lit(0)
-    lefts = left.withColumn(
-        "_shard", F.when(F.col(key).isNull() | is_hot, dealt).otherwise(first)
-    )
-    rights = (
-        right.withColumn(
-            "_shards",
-            F.when(is_hot, F.sequence(first, F.lit(shards - 1))).otherwise(F.array(first)),
-        )
-        .withColumn("_shard", F.explode("_shards")).drop("_shards")
-    )
-    return lefts.join(rights, [*on, "_shard"], how).drop("_shard")
-
-
-def _probes(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]]) -> DataFrame:
+    load = key_load(left, key) if load is None else load
+    heavy, blank = load.heavy[key], load.blank[key] and how != "inner"
+    if not heavy and not blank:
+        return left.join(right, on, how)
+    n = shards(left)
+    first, is_heavy = F.lit(0), F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    dealt = F.pmod(F.xxhash64(row), F.lit(n)).cast("int")
+    shard = F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(first)
+    copies = F.when(is_heavy, F.sequence(first, F.lit(n - 1))).otherwise(F.array(first))
+    repeated = right.select("*", F.explode(copies).alias("_shard"))
+    return left.withColumn("_shard", shard).join(repeated, [*on, "_shard"], how).drop("_shard")
+
+
+def probe_keys(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]]) -> DataFrame:
+    """One row (row, at, rung, kind, key) per rung and row, where there is a key.
+
+    `rungs` are (name, kind, key) in order of preference.
+    """
     probes = F.array(*[
         F.struct(F.lit(at).alias("at"), F.lit(name).alias("rung"),
                  F.lit(kind).alias("kind"), key.alias("key"))
@@ -63,25 +86,13 @@ def _probes(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]]) ->
     return rows.select(F.col(row).alias("row"), F.inline(probes)).where(F.col("key").isNotNull())
 
 
-def hot_values(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]], index: DataFrame) -> Column:
-    """Index values that many rows may end at: those under the most frequent keys of `rows`.
-
-    A value has one key per kind, so it can only be frequent if one of its keys is.
-    """
-    top = hot_keys(_probes(rows, row, rungs), "key")
-    return index.where(F.array_contains(top, F.col("key"))).agg(F.collect_set("value")).scalar()
-
-
-def first_hit(
-    rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]], index: DataFrame
-) -> DataFrame:
+def first_hit(probes: DataFrame, index: DataFrame, load: Load | None = None) -> DataFrame:
     """Walk a ladder of keys: (row, rung, value) of the first rung that finds something.
 
-    `rungs` are (name, kind, key) in order of preference, `index` has one `value` per
-    (kind, key). All rungs go through one join, narrow and inner, and the first hit per row
-    is a map-side combined minimum. Rows that find nothing are not in the result.
+    `index` has one `value` per (kind, key). All rungs go through one join, narrow and inner,
+    and the first hit per row is a map-side combined minimum. Rows that find nothing are not
+    in the result.
     """
-    asked = _probes(rows, row, rungs)
-    hits = spread_join(asked, index.select("kind", "key", "value"), ["kind", "key"], "inner", "row")
+    hits = spread_join(probes, index.select("kind", "key", "value"), ["kind", "key"], "inner", "row", load)
     best = hits.groupBy("row").agg(F.min(F.struct("at", "rung", "value")).alias("best"))
-    return best.select(F.col("row").alias(row), "best.rung", "best.value")
+    return best.select("row", "best.rung", "best.value")

@@ -8,7 +8,7 @@ from paperloom.functions import (
     contains_any, doi_key, join_url, present, stable_id, storage_path,
 )
 from paperloom.operators.dedup import first_location
-from paperloom.operators.joins import first_hit, hot_values, spread_join
+from paperloom.operators.joins import Load, first_hit, key_load, probe_keys, spread_join
 from paperloom.schemas import ENTRY, conform
 from paperloom.values import PMC_ARCHIVE_BASE, PMC_PDF_MARKS, PMC_WEB_BASE
 
@@ -83,14 +83,22 @@ def biblio_lookup(keys: DataFrame, biblio: DataFrame, fallback: DataFrame | None
         c: doi_key(F.col(c)) if c == "doi" else present(F.col(c))
         for c in ("doi", "pmid", "pmcid", "istexid") if c in keys.columns
     })
-    hits = first_hit(cleaned, "row_no", rungs, index)
-    top = hot_values(cleaned, "row_no", rungs, index)
-    found = spread_join(hits, records, ["value"], "inner", "row_no", top)
-    return found.select("row_no", F.col("rung").alias("matched_by"), *RECORD_FIELDS)
+    probes = probe_keys(cleaned, "row_no", rungs)
+    load = key_load(probes, "key")
+    hits = first_hit(probes, index, load)
+    # A record has few keys, so it can only be asked for often if one of them is heavy.
+    asked_often = index.where(F.col("key").isin(load.heavy["key"])).select("value").distinct()
+    often = [r["value"] for r in asked_often.collect()] if load.heavy["key"] else []
+    found = spread_join(
+        hits, records, ["value"], "inner", "row", Load(load.rows, {"value": often}, {"value": False})
+    )
+    return found.select(
+        F.col("row").alias("row_no"), F.col("rung").alias("matched_by"), *RECORD_FIELDS
+    )
 
 
 def pub_file_lookup(
-    entries: DataFrame, pub_map: DataFrame, pub_files: DataFrame, base: str
+    entries: DataFrame, pub_map: DataFrame, pub_files: DataFrame, base: str, load: Load | None = None
 ) -> DataFrame:
     """(id, matched_by, pdf_path, file_exists): the publisher's file by DOI, else by PII.
 
@@ -105,18 +113,20 @@ def pub_file_lookup(
         F.struct("pdf", F.coalesce("there", F.lit(False)).alias("there")).alias("value"),
     )
     rungs = [("doi", "doi", doi_key(F.col("doi"))), ("pii", "pii", present(F.col("pii")))]
-    return first_hit(entries, "id", rungs, index).select(
-        "id", F.col("rung").alias("matched_by"),
+    return first_hit(probe_keys(entries, "id", rungs), index, load).select(
+        F.col("row").alias("id"), F.col("rung").alias("matched_by"),
         join_url(base, F.col("value.pdf")).alias("pdf_path"),
         F.col("value.there").alias("file_exists"),
     )
 
 
-def pmc_lookup(entries: DataFrame, pmc_oa: DataFrame, base: str = PMC_ARCHIVE_BASE) -> DataFrame:
+def pmc_lookup(
+    entries: DataFrame, pmc_oa: DataFrame, base: str = PMC_ARCHIVE_BASE, load: Load | None = None
+) -> DataFrame:
     """(id, url, license) of the archive of each entry whose PMC id is on the list."""
     asked = entries.select("id", present(F.col("pmcid")).alias("pmcid")).where("pmcid is not null")
     found = spread_join(
-        asked, pmc_oa.select("pmcid", "subpath", "license"), ["pmcid"], "inner", "id"
+        asked, pmc_oa.select("pmcid", "subpath", "license"), ["pmcid"], "inner", "id", load
     )
     return found.select(
         "id", join_url(base, F.col("subpath")).alias("url"),

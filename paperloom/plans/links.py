@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import doi_key, init_flags, present
-from paperloom.operators.joins import spread_join
+from paperloom.operators.joins import Load, key_load, spread_join
 from paperloom.operators.lookup import legacy_lookup, pmc_lookup, pub_file_lookup
 from paperloom.values import PMC_ARCHIVE_BASE
 
@@ -39,17 +39,20 @@ def resolve_oa_link(
         return rows.select("id", F.lit(at).alias("at"), F.lit(source).alias("source"), url.alias("url"))
 
     local = lambda c: F.concat(F.lit("file://"), F.col(c))
-    asked = todo.select("id", doi_key(F.col("doi")).alias("doi")).where("doi is not null")
+    asked = todo.select("id", doi_key(F.col("doi")).alias("doi"), "pii", "pmcid")
+    load = key_load(asked, "doi", "pii", "pmcid")
+    either = Load(load.rows, {"key": load.heavy["doi"] + load.heavy["pii"]}, {"key": False})
     placed = spread_join(
-        asked, locations.where("doi is not null and url is not null").select("doi", "url"),
-        ["doi"], "inner", "id",
+        asked.select("id", "doi").where("doi is not null"),
+        locations.where("doi is not null and url is not null").select("doi", "url"),
+        ["doi"], "inner", "id", load,
     )
+    published = pub_file_lookup(todo, pub_map, pub_files, pub_base, either)
     best = reduce(DataFrame.unionByName, [
-        candidate(pub_file_lookup(todo, pub_map, pub_files, pub_base).where("file_exists"),
-                  1, "publisher", local("pdf_path")),
+        candidate(published.where("file_exists"), 1, "publisher", local("pdf_path")),
         candidate(legacy_lookup(todo, legacy, legacy_root).where("pdf_path is not null"),
                   2, "legacy", local("pdf_path")),
-        candidate(pmc_lookup(todo, pmc_oa, pmc_base), 3, "pmc", F.col("url")),
+        candidate(pmc_lookup(todo, pmc_oa, pmc_base, load), 3, "pmc", F.col("url")),
         candidate(placed, 4, "location", F.col("url")),
     ]).groupBy("id").agg(F.min(F.struct("at", "source", "url")).alias("best"))
 
