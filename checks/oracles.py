@@ -404,6 +404,8 @@ from listed l left join fx_entries e on e.id = l.id left join found f on f.row_n
     "changed": _linked("merged"),
 })
 
+oracle("sample_articles", "select id from fx_entries order by md5(id), id limit 20")
+
 # Fetching
 oracle("fetch_plan", r"""
 select id, oa_link as url, class, id || case when class = 'archive' then '.tar.gz' else '.pdf' end as target,

@@ -13,6 +13,7 @@ from checks.views import LEGACY_ROOT, PUB_BASE, view
 from paperloom import functions as fn
 from paperloom import sinks, sources, streaming
 from paperloom.operators import archives, coverage, dedup, fetch, lookup, reports, upsert
+from paperloom.operators.joins import spread_join
 from paperloom.plans import Snapshots, ingest_ids, ingest_release, resolve_oa_link
 from paperloom.plans import sample as take_sample
 from paperloom.runtime import fresh_path
@@ -83,7 +84,7 @@ def storage_path(v):
 @query
 def init_flags(v):
     flags = v.entries.select(F.col("id").alias("cord_uid"), *FLAGS)
-    rows = v.meta.select("row_no", "cord_uid").join(flags, "cord_uid", "left")
+    rows = spread_join(v.meta.select("row_no", "cord_uid"), flags, ["cord_uid"], "left", "row_no")
     return fn.init_flags(rows)
 
 
@@ -210,7 +211,7 @@ def coverage_rows(v):
 
 @query
 def coverage_report(v):
-    return reports.coverage_report(v.coverage, v.meta.agg(F.count("*").alias("n")))
+    return reports.coverage_report(v.coverage, v.meta.agg(F.count("*").alias("n_rows")))
 
 
 @query
@@ -474,8 +475,7 @@ def pub_map_files(v):
 def _put(v, files: DataFrame, name: str) -> str:
     """Write (path, content) rows as single files under a new folder."""
     root = v.path(name)
-    root = root if "://" in root or root.startswith("file:") else f"file://{root}"
-    sinks.write_payloads(files, root.replace("file:///", "file:/").replace("file:/", "file:///"))
+    sinks.write_payloads(files, root)
     return root
 
 
@@ -561,7 +561,8 @@ def extract_archives(v):
 @query
 def archive_files(v):
     files = _packed(v).select(F.concat("id", F.lit(".tar.gz")).alias("path"), "content")
-    return _members_found(archives.extract_archives(sources.scan_archives(v.spark, _put(v, files, "archives"))))
+    root = _put(v, files, "archives")
+    return _members_found(archives.extract_archives(sources.read_content(sources.scan_archives(v.spark, root), root)))
 
 
 @query

@@ -47,8 +47,8 @@ def storage_path(article: Column) -> Column:
     """`aa/bb/cc/dd/<id>/`, with the segments that a short id lacks left out."""
     steps = [F.substring(article, at, 2) for at in (1, 3, 5, 7)]
     kept = F.filter(F.array(*steps, article), lambda s: s != "")
-    return F.when(article == "", F.lit("")).otherwise(
-        F.concat(F.concat_ws("/", kept), F.lit("/"))
+    return F.when(article == "", F.lit("")).when(
+        article.isNotNull(), F.concat(F.concat_ws("/", kept), F.lit("/"))
     )
 
 
@@ -80,4 +80,5 @@ def stable_id(kind: Column, key: Column) -> Column:
     """Id in UUID layout that follows from the key alone, so a retry gives it again."""
     digest = F.md5(F.concat(kind, F.lit(":"), key))
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    return F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts])
+    parts = [F.substring(digest, at, n) for at, n in cuts]
+    return F.when(key.isNotNull(), F.concat_ws("-", *parts))

@@ -45,10 +45,16 @@ def harvested_fulltext(rows: DataFrame, artifacts: DataFrame) -> DataFrame:
     }).withColumn("has_tei", F.col("has_pdf_tei") | F.col("has_jats_tei"))
 
 
+def with_fulltext(rows: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """`rows`, unique by uid, plus has_fulltext: a PDF, an NXML file or a TEI from the PDF."""
+    held = kinds_by_article(artifacts, has_fulltext=("pdf", "nxml", "pdf_tei"))
+    joined = rows.join(held.withColumnRenamed("id", "cord_uid"), "cord_uid", "left")
+    return joined.withColumn("has_fulltext", _flag("has_fulltext"))
+
+
 def fulltext_semi(rows: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """`rows` for which the tree holds a PDF, an NXML file or a TEI from the PDF."""
-    held = artifacts.where(F.col("kind").isin("pdf", "nxml", "pdf_tei"))
-    return rows.join(held.select(F.col("id").alias("cord_uid")).distinct(), "cord_uid", "left_semi")
+    """`rows` for which the tree holds a full text."""
+    return with_fulltext(rows, artifacts).where("has_fulltext").drop("has_fulltext")
 
 
 def tei_presence(artifacts: DataFrame) -> DataFrame:

@@ -7,14 +7,17 @@ from paperloom.functions import (
     content_kind, fetch_target, init_flags, is_valid, present, transport_order, url_class, url_host,
 )
 from paperloom.operators.dedup import first_success
+from paperloom.operators.joins import shuffle_tasks
 
 
-def fetch_plan(entries: DataFrame, lanes: int = 64) -> DataFrame:
+def fetch_plan(entries: DataFrame, lanes: int | None = None) -> DataFrame:
     """(id, url, class, target, transports, host, lane) of entries that lack a valid PDF.
 
     A fetcher that must be polite to hosts works on one (host, lane) at a time; the lanes keep
-    a host with a large share of the addresses from ending in one task.
+    a host with a large share of the addresses from ending in one task. There are as many
+    lanes as shuffle tasks unless `lanes` says otherwise.
     """
+    lanes = lanes or shuffle_tasks(entries)
     url = present(F.col("oa_link"))
     todo = entries.where(~F.coalesce(F.col("has_valid_pdf"), F.lit(False))).where(url.isNotNull())
     kind = url_class(url)

@@ -10,6 +10,8 @@ HEAVY_KEYS = 256
 TRACKED_KEYS = 16384
 # A key with fewer rows than this is never worth splitting.
 HEAVY_ROWS = 1_000_000
+# Shards per shuffle task: as shards are hashed to tasks, several are needed to even out.
+SHARDS_PER_TASK = 4
 
 
 @dataclass(frozen=True)
@@ -21,7 +23,7 @@ class Load:
     blank: dict[str, bool]
 
 
-def shards(df: DataFrame) -> int:
+def shuffle_tasks(df: DataFrame) -> int:
     """Number of tasks a shuffle is spread over."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -40,7 +42,7 @@ def key_load(df: DataFrame, *keys: str) -> Load:
             F.count(k).alias(f"filled_{k}"),
         ]
     found = df.agg(*measures).first()
-    share = max(HEAVY_ROWS, found["rows"] // shards(df))
+    share = max(HEAVY_ROWS, found["rows"] // shuffle_tasks(df))
     return Load(
         found["rows"],
         {k: [t["item"] for t in found[f"top_{k}"] or [] if t["item"] is not None and t["count"] >= share]
@@ -64,7 +66,7 @@ def spread_join(
     heavy, blank = load.heavy[key], load.blank[key] and how != "inner"
     if not heavy and not blank:
         return left.join(right, on, how)
-    n = shards(left)
+    n = SHARDS_PER_TASK * shuffle_tasks(left)
     first, is_heavy = F.lit(0), F.coalesce(F.col(key).isin(heavy), F.lit(False))
     dealt = F.pmod(F.xxhash64(row), F.lit(n)).cast("int")
     shard = F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(first)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions import present, publish_year
-from paperloom.operators.coverage import fulltext_semi, tei_presence
+from paperloom.operators.coverage import fulltext_semi, tei_presence, with_fulltext
 from paperloom.operators.dedup import accept_first_come, first_by
 
 
@@ -71,39 +71,42 @@ def harvested_per_year(release: DataFrame, artifacts: DataFrame) -> DataFrame:
     return _per_year(fulltext_semi(_distinct_entries(release), artifacts))
 
 
+def _summed(*parts: DataFrame) -> DataFrame:
+    """One row from one-row frames of counts; a count missing in a part adds nothing."""
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns])
+
+
 def collection_totals(release: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Rows, distinct articles and harvested articles of a release."""
-    firsts = _distinct_entries(release)
-    held = fulltext_semi(firsts, artifacts).select("cord_uid", F.lit(1).alias("held"))
-    per_article = firsts.select("cord_uid").join(held, "cord_uid", "left").agg(
+    articles = with_fulltext(_distinct_entries(release), artifacts).agg(
         F.count("*").alias("total_distinct_entries"),
-        F.count("held").alias("total_harvested_entries"),
+        _count(F.col("has_fulltext"), "total_harvested_entries"),
     )
-    rows = release.agg(F.count("*").alias("total_entries"))
-    return rows.select("total_entries", *[
-        per_article.select(c).scalar().alias(c)
-        for c in ("total_distinct_entries", "total_harvested_entries")
-    ])
+    return _summed(release.agg(F.count("*").alias("total_entries")), articles)
 
 
 def collection_rows(release: DataFrame, artifacts: DataFrame) -> DataFrame:
     """The statistics of a collection as rows (metric, year, n)."""
     totals = collection_totals(release, artifacts)
-    names = totals.columns
     pairs = F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.lit("").alias("year"), F.col(n).alias("n")) for n in names
+        F.struct(F.lit(n).alias("metric"), F.lit("").alias("year"), F.col(n).alias("n"))
+        for n in totals.columns
     ])
-    parts = [
-        totals.select(F.inline(pairs)),
-        entries_per_year(release).select(F.lit("distribution_entries_per_year").alias("metric"), "year", "n"),
-        harvested_per_year(release, artifacts).select(
-            F.lit("distribution_harvested_per_year").alias("metric"), "year", "n"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    years = with_fulltext(_distinct_entries(release), artifacts).select(
+        publish_year(F.col("publish_time")).alias("year"), "has_fulltext"
+    ).where("year is not null").groupBy("year").agg(
+        F.count("*").alias("distribution_entries_per_year"),
+        _count(F.col("has_fulltext"), "distribution_harvested_per_year"),
+    )
+    per_year = years.unpivot(
+        "year", ["distribution_entries_per_year", "distribution_harvested_per_year"], "metric", "n"
+    ).where("n > 0")
+    return totals.select(F.inline(pairs)).unionByName(per_year)
 
 
 def coverage_report(rows: DataFrame, n_rows: DataFrame) -> DataFrame:
-    """Counts over `coverage_rows`; `n_rows` is the one-row count of release rows."""
+    """Counts over `coverage_rows`; `n_rows` is the one-row count `n_rows` of the release."""
     official, tei = F.col("has_official"), F.col("has_tei")
     pdf_tei, jats_tei = F.col("has_pdf_tei"), F.col("has_jats_tei")
     counts = rows.agg(
@@ -120,7 +123,7 @@ def coverage_report(rows: DataFrame, n_rows: DataFrame) -> DataFrame:
         _count(~official & jats_tei, "n_extra_jats_tei"),
         _count(tei, "n_any_tei"),
     )
-    counted = counts.withColumn("n_rows", n_rows.scalar())
+    counted = _summed(counts, n_rows)
     return counted.withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct"))
 
 
@@ -130,10 +133,9 @@ def duplicate_census(release: DataFrame) -> DataFrame:
         release.select(present(F.col("cord_uid")).alias("cord_uid"), "row_no"), ["cord_uid"], "row_no"
     )
     taken = accept_first_come(release)
-    counted = release.agg(F.count("*").alias("n_rows")).select(
-        "n_rows",
-        firsts.agg(F.count("*")).scalar().alias("n_uids"),
-        taken.agg(F.count("*")).scalar().alias("n_distinct"),
+    counted = _summed(
+        release.agg(F.count("*").alias("n_rows")), firsts.agg(F.count("*").alias("n_uids")),
+        taken.agg(F.count("*").alias("n_distinct")),
     )
     return counted.select(
         "n_rows",

@@ -105,9 +105,3 @@ def advance_flags(entries: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 def with_data_path(entries: DataFrame) -> DataFrame:
     return entries.withColumn("data_path", storage_path(F.col("id")))
-
-
-def attach(rows: DataFrame, found: DataFrame, on: str, name: str) -> DataFrame:
-    """`rows` plus the struct `name` of the row of `found` with the same unique `on`, or null."""
-    fields = [c for c in found.columns if c != on]
-    return rows.join(found.select(on, F.struct(*fields).alias(name)), on, "left")

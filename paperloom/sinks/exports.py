@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import artifact_name, canonical_json, present, storage_path, target_key
 from paperloom.operators.coverage import extra, missed
 from paperloom.operators.reports import collection_rows
+from paperloom.sources.listings import file_uri
 from paperloom.values import ARTIFACT_SUFFIXES, ENTRY_JSON_NAMES, FLAGS, PUB_MAP_COLUMNS
 
 
@@ -130,10 +131,12 @@ def write_payloads(files: DataFrame, root: str) -> None:
 
     A retried task writes the same bytes to the same path again.
     """
+    uri = file_uri(root)
+
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        target, base = fs.FileSystem.from_uri(root)
+        target, base = fs.FileSystem.from_uri(uri)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 full = f"{base.rstrip('/')}/{path}"

@@ -1,14 +1,56 @@
 """File listings: harvested tree, official full texts, archives."""
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from paperloom.functions import artifact_parts
+from paperloom.operators.joins import SHARDS_PER_TASK, shuffle_tasks
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, size) of every file under `root`, empty ones included.
+
+    One task lists the first level, then tasks walk the folders found there. The listing of
+    a large tree never passes through the driver.
+    """
+    uri = file_uri(root)
+    folder = -1
+
+    def listed(recursive: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            from pyarrow import fs
+
+            store, base = fs.FileSystem.from_uri(uri)
+            for batch in batches:
+                yield batch[batch["size"] != folder]
+                for path in batch.loc[batch["size"] == folder, "path"]:
+                    found = store.get_file_info(fs.FileSelector(path or base, recursive=recursive))
+                    kept = [f for f in found if f.type == fs.FileType.File or not recursive]
+                    yield pd.DataFrame({
+                        "path": [f.path for f in kept],
+                        "size": [f.size if f.type == fs.FileType.File else folder for f in kept],
+                    })
+
+        return run
 
+    schema = "path string, size long"
+    start = spark.range(1).select(F.lit("").alias("path"), F.lit(folder).cast("long").alias("size"))
+    first = start.mapInPandas(listed(recursive=False), schema)
+    tasks = SHARDS_PER_TASK * shuffle_tasks(first)
+    return first.repartition(tasks, "path").mapInPandas(listed(recursive=True), schema)
 
-def _listing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return (reader.option("pathGlobFilter", glob) if glob else reader).load(root)
+
+def file_uri(root: str) -> str:
+    """Address for the file layer: object stores go by `s3`, local files by a bare path."""
+    if root.startswith(("s3a://", "s3n://")):
+        return "s3://" + root[6:]
+    if root.startswith("file:"):
+        return "/" + root[5:].lstrip("/")
+    return root
 
 
 def artifact_index(files: DataFrame) -> DataFrame:
@@ -18,9 +60,7 @@ def artifact_index(files: DataFrame) -> DataFrame:
 
 def scan_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """Inventory of a harvested tree. Only names and lengths are read, never content."""
-    return artifact_index(
-        _listing(spark, root).select("path", F.col("length").alias("size"))
-    )
+    return artifact_index(list_files(spark, root))
 
 
 def index_official(files: DataFrame) -> DataFrame:
@@ -36,12 +76,33 @@ def index_official(files: DataFrame) -> DataFrame:
 
 
 def scan_official(spark: SparkSession, root: str) -> DataFrame:
-    return index_official(_listing(spark, root, "*.json").select("path"))
+    """The official full texts under `root`."""
+    return index_official(list_files(spark, root))
 
 
-def scan_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(id, path, content) of each `.tar.gz` file under `path`."""
+def scan_archives(spark: SparkSession, root: str) -> DataFrame:
+    """(id, path, size) of each `.tar.gz` file under `root`; content is read where it is used."""
     file = F.substring_index("path", "/", -1)
-    return _listing(spark, path, "*.tar.gz").select(
-        F.regexp_replace(file, r"\.tar\.gz$", "").alias("id"), "path", "content"
+    return list_files(spark, root).where(F.col("path").endswith(".tar.gz")).select(
+        F.regexp_replace(file, r"\.tar\.gz$", "").alias("id"), "path", "size"
     )
+
+
+def read_content(files: DataFrame, root: str) -> DataFrame:
+    """`files` plus `content`, read by the tasks; joins belong before this."""
+    uri = file_uri(root)
+    names = files.columns
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, _ = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for at in range(len(batch)):
+                one = batch.iloc[at:at + 1].copy()
+                with store.open_input_stream(one["path"].iloc[0], compression=None) as stream:
+                    one["content"] = [stream.read()]
+                yield one[[*names, "content"]]
+
+    schema = StructType([*files.schema.fields, StructField("content", BinaryType())])
+    return files.mapInPandas(read, schema)

@@ -1,0 +1,152 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import Views
+from paperloom import sinks, sources, streaming
+from paperloom.operators import lookup
+from paperloom.operators.upsert import latest_keys
+from paperloom.plans import Snapshots, ingest_ids, ingest_release
+from paperloom.runtime import shared_folder
+from paperloom.schemas import ENTRY, ID_MAP, conform
+from paperloom.sources.releases import shape_release
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def views(spark):
+    return Views(spark, SF)
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+def entries(spark, *rows):
+    return conform(spark.createDataFrame(list(rows), "id string, doi string"), ENTRY)
+
+
+def test_first_run_reads_empty_state(spark, tmp_path):
+    before, id_map = sources.read_state(spark, str(tmp_path / "none"))
+    assert before.isEmpty() and id_map.isEmpty() and before.schema == ENTRY and id_map.schema == ID_MAP
+
+
+def test_versions_deltas_compaction_and_reset(spark, tmp_path):
+    root = str(tmp_path / "s")
+    first = entries(spark, ("a", "1"), ("b", "2"))
+    assert sinks.write_state(spark, root, first, latest_keys(first)) == 0
+    second = entries(spark, ("b", "3"), ("c", "4"))
+    sinks.write_state(spark, root, second, latest_keys(second), "r2")
+    third = entries(spark, ("b", "5"))
+    sinks.write_state(spark, root, third, latest_keys(third), "r3")
+    want = [("a", "1"), ("b", "5"), ("c", "4")]
+    state, id_map = sources.read_state(spark, root)
+    assert sorted(map(tuple, state.select("id", "doi").collect())) == want
+    assert id_map.count() == 3 + 5 and id_map.where("key = '3'").first()["id"] == "b"
+    sinks.compact_state(spark, root)
+    assert len(sources.read_commits(spark, root)) == 1
+    again, keys = sources.read_state(spark, root)
+    assert sorted(map(tuple, again.select("id", "doi").collect())) == want and rows_of(keys) == rows_of(id_map)
+    sinks.reset_state(spark, root)
+    assert all(t.isEmpty() for t in sources.read_state(spark, root))
+
+
+def test_a_run_that_died_before_its_commit_leaves_no_trace(spark, tmp_path):
+    root = str(tmp_path / "s")
+    first = entries(spark, ("a", "1"))
+    sinks.write_state(spark, root, first, latest_keys(first))
+    entries(spark, ("dead", "0")).write.parquet(f"{root}/entries/version=1")
+    assert [r["id"] for r in sources.read_state(spark, root)[0].collect()] == ["a"]
+    second = entries(spark, ("b", "2"))
+    assert sinks.write_state(spark, root, second, latest_keys(second)) == 1
+    assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == ["a", "b"]
+
+
+def test_open_records_survive_the_state(spark, tmp_path):
+    root = str(tmp_path / "s")
+    row = conform(spark.sql("""select 'a' as id, parse_json('{"x": [1, {"y": null}]}') as raw"""), ENTRY)
+    sinks.write_state(spark, root, row, latest_keys(row))
+    back = sources.read_state(spark, root)[0]
+    assert json.loads(back.select(F.to_json("raw")).first()[0]) == {"x": [1, {"y": None}]}
+    line = json.loads(sinks.dump_metadata(back).first()["line"])
+    assert line["x"] == [1, {"y": None}] and line["id"] == "a" and "oa_source" not in line
+
+
+def test_second_run_over_a_release_takes_nothing(views):
+    done = ingest_release(views.entries, views.id_map, views.meta, views.snapshots)
+    after, keys = done.entries(views.entries), done.id_map(views.id_map)
+    assert not done.changed.isEmpty() and done.errors.isEmpty()
+    again = ingest_release(after, keys, views.meta, views.snapshots)
+    assert again.changed.isEmpty() and again.keys.isEmpty()
+    assert after.count() == after.select("id").distinct().count()
+
+
+def test_one_release_equals_its_two_halves(views):
+    whole = ingest_release(views.entries, views.id_map, views.meta, views.snapshots)
+    state = views.entries, views.id_map
+    for part in ("row_no < 97", "row_no >= 97"):
+        done = ingest_release(*state, views.meta.where(part), views.snapshots)
+        state = done.entries(state[0]), done.id_map(state[1])
+    assert rows_of(state[0].drop("raw")) == rows_of(whole.entries(views.entries).drop("raw"))
+    assert rows_of(state[1]) == rows_of(whole.id_map(views.id_map))
+
+
+def empty_snapshots(spark):
+    none = lambda fields: spark.createDataFrame([], fields)
+    keys = ", ".join(f"{c} string" for c in ("doi", "pmid", "pmcid", "istexid", "title"))
+    return Snapshots(
+        biblio=none(f"rec_id long, {keys}"), fallback=none("rec_id long, doi string, title string"),
+        pub_map=none("kind string, key string, pdf string"), pub_files=none("pdf string"),
+        legacy=none("id string, kind string, size long"),
+        pmc_oa=none("pmcid string, subpath string, license string"), locations=none("doi string, url string"),
+        pub_base="/p", legacy_root="/l")
+
+
+def test_rows_without_uid_get_an_id_from_their_keys_and_keyless_rows_are_errors(spark):
+    release = shape_release(spark.createDataFrame([
+        (1, "", "10.1/A", "PMC1", "5", "by doi"), (2, "", "", "PMC2", "6", "by pmcid"), (3, "", "", "PMC2", "", "later"),
+        (4, "", "", "", "7", "by pmid"), (5, "", "", "", "", "lost"), (6, "u", "", "", "", "by uid"),
+    ], "row_no long, cord_uid string, doi string, pmcid string, pubmed_id string, title string"))
+    none = spark.createDataFrame([], ENTRY), spark.createDataFrame([], ID_MAP)
+    done = ingest_release(*none, release, empty_snapshots(spark))
+    assert [r["title"] for r in done.errors.collect()] == ["lost"]
+    assert sorted(r["title"] for r in done.changed.collect()) == ["by doi", "by pmid", "by uid", "later"]
+
+
+def test_lists_reuse_known_entries_and_keep_the_given_key(spark):
+    before = conform(spark.sql("select 'e' as id, 'Old' as doi, 'kept' as title, true as has_valid_pdf"), ENTRY)
+    id_map = spark.createDataFrame([("doi", "10.1/a", "e"), ("doi", "10.1/b", "e")], ID_MAP)
+    keys = spark.createDataFrame([(1, "doi", "10.1/a"), (2, "doi", "10.1/b"), (3, "doi", "10.1/c"), (4, "doi", "10.1/c")], "row_no long, kind string, key string")
+    done = ingest_ids(before, id_map, keys, empty_snapshots(spark))
+    got = {r["doi"]: (r["id"], r["title"], r["has_valid_pdf"]) for r in done.changed.collect()}
+    assert got["10.1/b"] == ("e", "kept", True) and set(got) == {"10.1/b", "10.1/c"}
+    again = ingest_ids(done.entries(before), done.id_map(id_map), keys, empty_snapshots(spark))
+    assert rows_of(again.changed.drop("raw")) == rows_of(done.changed.drop("raw"))
+
+
+def test_stream_does_not_take_a_replayed_batch_twice(spark, tmp_path, views):
+    root, folder = str(tmp_path / "s"), str(tmp_path / "in")
+    sinks.write_csv(views.meta.drop("row_no"), f"{folder}/r1")
+    columns = tuple(c for c in views.meta.columns if c != "row_no")
+    for _ in range(2):
+        rows = streaming.release_stream(spark, folder, columns)
+        streaming.stream_releases(rows, root, empty_snapshots(spark), str(tmp_path / "c")).awaitTermination()
+    assert len(sources.read_commits(spark, root)) == 1
+    taken = ingest_release(spark.createDataFrame([], ENTRY), spark.createDataFrame([], ID_MAP), views.meta, empty_snapshots(spark))
+    assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == sorted(r["id"] for r in taken.changed.collect())
+
+
+def test_ordered_sinks(spark, tmp_path, views):
+    sinks.write_catalogue(views.entries, str(tmp_path / "map"))
+    parts = sorted((tmp_path / "map").glob("part-*"))
+    ids = [json.loads(line)["id"] for p in parts for line in p.read_text().splitlines()]
+    assert ids == sorted(ids) and len(ids) == views.entries.count()
+    sinks.write_dump(views.entries, str(tmp_path / "dump"))
+    lines = [line for p in sorted((tmp_path / "dump").glob("part-*")) for line in p.read_text().splitlines()]
+    assert all(list(json.loads(line)) == sorted(json.loads(line)) for line in lines)
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
