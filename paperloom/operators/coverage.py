@@ -71,14 +71,15 @@ def tei_presence(artifacts: DataFrame) -> DataFrame:
 def coverage_rows(release: DataFrame, official: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row per distinct uid with the official and the harvested flags.
 
-    Rows with a blank uid count as one article. Only the key columns enter the joins.
+    Rows with a blank uid count as one article. Only the key columns enter the joins, and our
+    own flags are joined first, as the rows already lie by uid then.
     """
     keys = release.select(
         "row_no", present(F.col("cord_uid")).alias("cord_uid"), "sha", "doi", "pmcid",
         "pubmed_id", "url",
     )
     firsts = first_by(keys, ["cord_uid"], "row_no")
-    return harvested_fulltext(official_fulltext(firsts, official), artifacts)
+    return official_fulltext(harvested_fulltext(firsts, artifacts), official)
 
 
 def missed(rows: DataFrame) -> DataFrame:

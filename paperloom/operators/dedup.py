@@ -1,7 +1,9 @@
 """Which of several rows counts: first, last, first accepted, first successful."""
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,6 +12,10 @@ from paperloom.functions import doi_key, present
 from paperloom.operators.joins import Load, key_load, spread_join
 from paperloom.runtime import cut_lineage
 
+# Rounds after which a rest of at most TAIL_ROWS narrow rows is settled by one task.
+TAIL_ROUNDS = 8
+TAIL_ROWS = 1_000_000
+
 
 def _ranked_first(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     # `row_number() = 1` is pruned to one row per key before the shuffle, so a frequent key
@@ -67,8 +73,9 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
 
     Solved in rounds. A row that is the first open one for each of its keys is taken; rows
     sharing a key with it are decided too. Each round is two aggregations and two joins over
-    (row_no, uid, doi), so the wide release rows are touched once at the end. The number of
-    rounds is the length of the longest chain of rejections.
+    (row_no, uid, doi), so the wide release rows are touched once at the end. There are as
+    many rounds as the longest chain of rejections has links; what a few rounds leave open of
+    long chains is settled row by row, once it is known to fit one task.
     """
     claims = release_claims(release)
     if id_map is not None:
@@ -84,6 +91,9 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
         load = key_load(still, "uid", "doi")
         if load.rows == 0:
             break
+        if len(accepted) > TAIL_ROUNDS and load.rows <= TAIL_ROWS:
+            accepted.append(cut_lineage(_settle(still)))
+            break
         state = cut_lineage(_decide(still, load))
 
     chosen = reduce(DataFrame.unionByName, accepted)
@@ -112,6 +122,24 @@ def _decide(claims: DataFrame, load: Load) -> DataFrame:
     return seen.select("row_no", "uid", "doi", state.alias("state"))
 
 
+def _settle(claims: DataFrame) -> DataFrame:
+    """`row_no` of the rows taken by the sequential rule, over a bounded rest of open rows."""
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = set()
+        for batch in batches:
+            taken = []
+            for tag, uid, doi in zip(batch["tag"], batch["uid"], batch["doi"]):
+                keys = {key for key in (("id", uid), ("doi", doi)) if key[1] is not None}
+                if not keys & held:
+                    held |= keys
+                    taken.append(tag)
+            yield pd.DataFrame({"tag": taken}, dtype="object")
+
+    tagged = claims.withColumn("tag", F.to_json(F.struct("row_no")))
+    ordered = tagged.repartition(1).sortWithinPartitions("row_no").select("tag", "uid", "doi")
+    return tagged.join(ordered.mapInPandas(walk, "tag string"), "tag", "left_semi").select("row_no")
+
+
 def select_members(members: DataFrame) -> DataFrame:
     """Per archive: the first PDF and the last NXML among regular files, by member number."""
     regular = F.col("is_file")

@@ -47,6 +47,13 @@ def test_chain_of_rejections(spark):
     assert accepted(spark, rows) == in_order(rows)
 
 
+@pytest.mark.parametrize("rounds", [2, 100])
+def test_long_chain_is_settled_alike_by_rounds_and_by_a_task(spark, monkeypatch, rounds):
+    monkeypatch.setattr(dedup, "TAIL_ROUNDS", rounds)
+    rows = [(i, f"u{(i + 1) // 2}", f"d{i // 2}") for i in range(24)]
+    assert accepted(spark, rows) == in_order(rows)
+
+
 def test_rows_without_keys_are_taken_and_claim_nothing(spark):
     assert accepted(spark, [(1, "", ""), (2, None, None), (3, "", "10.1/a"), (4, "", "https://doi.org/10.1/A")]) == [1, 2, 3]
 
