@@ -79,6 +79,4 @@ def artifact_parts(path: Column) -> Column:
 def stable_id(kind: Column, key: Column) -> Column:
     """Id in UUID layout that follows from the key alone, so a retry gives it again."""
     digest = F.md5(F.concat(kind, F.lit(":"), key))
-    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
-    parts = [F.substring(digest, at, n) for at, n in cuts]
-    return F.when(key.isNotNull(), F.concat_ws("-", *parts))
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from paperloom.functions import artifact_parts
-from paperloom.operators.joins import SHARDS_PER_TASK, shuffle_tasks
+from paperloom.operators.joins import shuffle_tasks
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -40,8 +40,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     schema = "path string, size long"
     start = spark.range(1).select(F.lit("").alias("path"), F.lit(folder).cast("long").alias("size"))
     first = start.mapInPandas(listed(recursive=False), schema)
-    tasks = SHARDS_PER_TASK * shuffle_tasks(first)
-    return first.repartition(tasks, "path").mapInPandas(listed(recursive=True), schema)
+    return first.repartition(shuffle_tasks(first), "path").mapInPandas(listed(recursive=True), schema)
 
 
 def file_uri(root: str) -> str:
