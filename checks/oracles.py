@@ -404,6 +404,9 @@ from listed l left join fx_entries e on e.id = l.id left join found f on f.row_n
     "changed": _linked("merged"),
 })
 
+oracle("reprocess_failed", f"""
+select id, oa_link, oa_source, {", ".join(FLAGS)}, {_path("id")} as data_path from linked
+where id in (select id from fx_entries where not has_valid_oa_url or not has_valid_pdf or not has_valid_tei)""")
 oracle("sample_articles", "select id from fx_entries order by md5(id), id limit 20")
 
 # Fetching

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.views import LEGACY_ROOT, PUB_BASE, view
 from paperloom import functions as fn
-from paperloom import sinks, sources, streaming
+from paperloom import plans, sinks, sources, streaming
 from paperloom.operators import archives, coverage, dedup, fetch, lookup, reports, upsert
 from paperloom.operators.joins import spread_join
 from paperloom.plans import Snapshots, ingest_ids, ingest_release, resolve_oa_link
@@ -376,6 +376,12 @@ def ingest_id_list(v):
     return done.changed.select(*[c for c in ENTRY_OUT if c not in ("cord_sha", "license_simplified", "abstract")])
 
 
+@query
+def reprocess_failed(v):
+    again = plans.reprocess_failed(v.entries, v.snapshots)
+    return again.select("id", "oa_link", "oa_source", *FLAGS, "data_path")
+
+
 @query
 def sample_articles(v):
     return take_sample(v.entries, 20).select("id")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions import present, storage_path
 from paperloom.operators.dedup import first_by
-from paperloom.operators.joins import key_load, spread_join
+from paperloom.operators.joins import Load, key_load, spread_join
 from paperloom.values import ARTIFACT_SUFFIXES, EXTRA_COLUMNS, MISSED_COLUMNS
 
 
@@ -21,14 +21,22 @@ def _flag(name: str):
     return F.coalesce(F.col(name), F.lit(False)).alias(name)
 
 
-def official_fulltext(rows: DataFrame, official: DataFrame) -> DataFrame:
-    """`rows` plus has_pmc_json (by PMC id), has_pdf_json (by digest) and has_official."""
+def official_keys(rows: DataFrame) -> DataFrame:
+    """`rows` plus the two keys of official full texts, null where blank."""
+    return rows.withColumns({"_pmc": present(F.col("pmcid")), "_sha": present(F.col("sha"))})
+
+
+def official_fulltext(rows: DataFrame, official: DataFrame, load: Load | None = None) -> DataFrame:
+    """`rows` plus has_pmc_json (by PMC id), has_pdf_json (by digest) and has_official.
+
+    `load` is the measure of `official_keys` where it is known from something cheaper.
+    """
     def listed(kind: str, column: str, flag: str) -> DataFrame:
         keys = official.where(F.col("kind") == kind).select(F.col("key").alias(column))
         return keys.distinct().withColumn(flag, F.lit(True))
 
-    keyed = rows.withColumns({"_pmc": present(F.col("pmcid")), "_sha": present(F.col("sha"))})
-    load = key_load(keyed, "_pmc", "_sha")
+    keyed = official_keys(rows)
+    load = key_load(keyed, "_pmc", "_sha") if load is None else load
     keyed = spread_join(keyed, listed("pmc", "_pmc", "has_pmc_json"), ["_pmc"], "left", "row_no", load)
     keyed = spread_join(keyed, listed("pdf", "_sha", "has_pdf_json"), ["_sha"], "left", "row_no", load)
     return keyed.drop("_pmc", "_sha").withColumns({
@@ -79,7 +87,8 @@ def coverage_rows(release: DataFrame, official: DataFrame, artifacts: DataFrame)
         "pubmed_id", "url",
     )
     firsts = first_by(keys, ["cord_uid"], "row_no")
-    return official_fulltext(harvested_fulltext(firsts, artifacts), official)
+    load = key_load(official_keys(release), "_pmc", "_sha")
+    return official_fulltext(harvested_fulltext(firsts, artifacts), official, load)
 
 
 def missed(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 # Number of frequent keys that are told apart, and of keys the frequency sketch tracks.
 HEAVY_KEYS = 256
-TRACKED_KEYS = 16384
+TRACKED_KEYS = 4096
+# Tasks that merge the sketches of the map tasks before the last one does.
+MERGE_LANES = 256
 # A key with fewer rows than this is never worth splitting.
 HEAVY_ROWS = 1_000_000
 # Shards per shuffle task: as shards are hashed to tasks, several are needed to even out.
@@ -31,23 +33,33 @@ def shuffle_tasks(df: DataFrame) -> int:
 def key_load(df: DataFrame, *keys: str) -> Load:
     """Measure `df` in one pass over its key columns.
 
-    The sketches are merged map-side and give one bounded row, read here and not inside the
-    join: both sides of a join must split the same keys, and a sketch may vary from run to
-    run. They decide only how rows are spread, so results do not depend on them.
+    Frequency sketches are merged in two steps, so that no task gets one from every map task,
+    and give one bounded row. It is read here and not inside the join: both sides of a join
+    must split the same keys, and a sketch may vary from run to run. The measure only decides
+    how rows are spread; results do not depend on it.
     """
-    measures = [F.count("*").alias("rows")]
-    for k in keys:
-        measures += [
-            F.expr(f"approx_top_k(`{k}`, {HEAVY_KEYS}, {TRACKED_KEYS})").alias(f"top_{k}"),
-            F.count(k).alias(f"filled_{k}"),
+    lane = F.pmod(F.spark_partition_id(), F.lit(MERGE_LANES))
+    parts, whole = [F.count("*").alias("rows")], [F.sum("rows").alias("rows")]
+    for at, key in enumerate(keys):
+        parts += [
+            F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias(f"sketch{at}"),
+            F.count(key).alias(f"filled{at}"),
         ]
-    found = df.agg(*measures).first()
+        merged = f"approx_top_k_combine(sketch{at}, {TRACKED_KEYS})"
+        whole += [
+            F.expr(f"approx_top_k_estimate({merged}, {HEAVY_KEYS})").alias(f"top{at}"),
+            F.sum(f"filled{at}").alias(f"filled{at}"),
+        ]
+    merges = df.select(*keys, lane.alias("lane")).groupBy("lane").agg(*parts)
+    found = merges.groupBy(F.lit("all")).agg(*whole).first()
+    if found is None:
+        return Load(0, {k: [] for k in keys}, {k: False for k in keys})
     share = max(HEAVY_ROWS, found["rows"] // shuffle_tasks(df))
     return Load(
         found["rows"],
-        {k: [t["item"] for t in found[f"top_{k}"] or [] if t["item"] is not None and t["count"] >= share]
-         for k in keys},
-        {k: found["rows"] - found[f"filled_{k}"] >= share for k in keys},
+        {k: [t["item"] for t in found[f"top{at}"] if t["item"] is not None and t["count"] >= share]
+         for at, k in enumerate(keys)},
+        {k: found["rows"] - found[f"filled{at}"] >= share for at, k in enumerate(keys)},
     )
 
 

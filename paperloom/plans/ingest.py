@@ -10,7 +10,7 @@ from paperloom.functions import doi_key, init_flags, present, stable_id
 from paperloom.operators.dedup import accept_first_come, last_wins
 from paperloom.operators.lookup import biblio_lookup, resolve_ids
 from paperloom.operators.upsert import (
-    merge_release, union_keys, upsert_entries, upsert_keys, with_data_path,
+    merge_release, select_failed, union_keys, upsert_entries, upsert_keys, with_data_path,
 )
 from paperloom.plans.links import resolve_oa_link
 from paperloom.runtime import cut_lineage
@@ -139,3 +139,10 @@ def ingest_ids(
     changed = cut_lineage(_link(cut_lineage(init_flags(filled)), snapshots))
     keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
     return Ingested(changed, _last_keys(keyed), keys.where("key is null"))
+
+
+def reprocess_failed(
+    entries: DataFrame, snapshots: Snapshots, thumbnail: bool = False, annotation: bool = False
+) -> DataFrame:
+    """The entries that failed, looked up again; `upsert_entries` puts them back."""
+    return _link(select_failed(conform(entries, ENTRY), thumbnail, annotation), snapshots)
