@@ -46,24 +46,24 @@ def release_claims(release: DataFrame) -> DataFrame:
     )
 
 
-def _matched(claims: DataFrame, keys: DataFrame, how: str, load: Load) -> DataFrame:
-    """Join `claims` with unique `keys` (kind, key, ...) by uid, then by DOI."""
-    for kind, column in (("id", "uid"), ("doi", "doi")):
-        held = keys.where(F.col("kind") == kind).drop("kind").withColumnRenamed("key", column)
-        if how == "left":
-            held = held.withColumnsRenamed({c: f"{column}_{c}" for c in held.columns if c != column})
-        claims = spread_join(claims, held, [column], how, "row_no", load)
+def _without(claims: DataFrame, uids: DataFrame, dois: DataFrame, load: Load) -> DataFrame:
+    """Claims whose uid and DOI are both not among the given unique ones."""
+    for keys, column in ((uids, "uid"), (dois, "doi")):
+        claims = spread_join(claims, keys, [column], "left_anti", "row_no", load)
     return claims
 
 
-def _map_keys(id_map: DataFrame) -> DataFrame:
-    return id_map.where(F.col("kind").isin("id", "doi")).select("kind", "key").distinct()
+def _unknown(claims: DataFrame, id_map: DataFrame) -> DataFrame:
+    def known(kind: str, column: str) -> DataFrame:
+        return id_map.where(F.col("kind") == kind).select(F.col("key").alias(column)).distinct()
+
+    load = key_load(claims, "uid", "doi")
+    return _without(claims, known("id", "uid"), known("doi", "doi"), load)
 
 
 def not_yet_seen(release: DataFrame, id_map: DataFrame) -> DataFrame:
     """Release rows whose uid and cleaned DOI are both unknown to the map."""
-    claims = release_claims(release)
-    fresh = _matched(claims, _map_keys(id_map), "left_anti", key_load(claims, "uid", "doi"))
+    fresh = _unknown(release_claims(release), id_map)
     return release.join(fresh.select("row_no"), "row_no", "left_semi")
 
 
@@ -72,54 +72,42 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
     map, shares its uid or DOI. Rejected rows claim nothing.
 
     Solved in rounds. A row that is the first open one for each of its keys is taken; rows
-    sharing a key with it are decided too. Each round is two aggregations and two joins over
+    sharing a key with it are decided too. Each round is two aggregations and three joins over
     (row_no, uid, doi), so the wide release rows are touched once at the end. There are as
     many rounds as the longest chain of rejections has links; what a few rounds leave open of
     long chains is settled row by row, once it is known to fit one task.
     """
     claims = release_claims(release)
     if id_map is not None:
-        claims = _matched(claims, _map_keys(id_map), "left_anti", key_load(claims, "uid", "doi"))
+        claims = _unknown(claims, id_map)
+    claims = cut_lineage(claims)
     keyless = F.col("uid").isNull() & F.col("doi").isNull()
-    state = cut_lineage(
-        claims.withColumn("state", F.when(keyless, F.lit("taken")).otherwise(F.lit("open")))
-    )
-    accepted = []
-    while True:
-        accepted.append(state.where("state = 'taken'").select("row_no"))
-        still = state.where("state = 'open'").drop("state")
-        load = key_load(still, "uid", "doi")
-        if load.rows == 0:
-            break
+    accepted = [claims.where(keyless).select("row_no")]
+    still = claims.where(~keyless)
+    while (load := key_load(still, "uid", "doi")).rows:
         if len(accepted) > TAIL_ROUNDS and load.rows <= TAIL_ROWS:
             accepted.append(cut_lineage(_settle(still)))
             break
-        state = cut_lineage(_decide(still, load))
+        taken = cut_lineage(_first_of_all_keys(still))
+        accepted.append(taken.select("row_no"))
+        uids, dois = (taken.where(F.col(k).isNotNull()).select(k) for k in ("uid", "doi"))
+        still = cut_lineage(_without(still, uids, dois, load))
 
     chosen = reduce(DataFrame.unionByName, accepted)
     return release.join(chosen, "row_no", "left_semi")
 
 
-def _decide(claims: DataFrame, load: Load) -> DataFrame:
-    """One round over open claims: `state` is taken, out (shares a key with one) or open."""
-    held = F.filter(
-        F.array(F.struct(F.lit("id").alias("kind"), F.col("uid").alias("key")),
-                F.struct(F.lit("doi").alias("kind"), F.col("doi").alias("key"))),
-        lambda k: k["key"].isNotNull(),
-    )
-    first = (
-        claims.select("row_no", F.size(held).alias("n"), F.inline(held))
-        .groupBy("kind", "key").agg(F.min(F.struct("row_no", "n")).alias("first"))
-        .select("kind", "key", "first.*")
-    )
-    won = F.count("*").over(W.partitionBy("row_no"))
-    taken = first.withColumn("won", won).where("won = n").select("kind", "key", F.col("row_no").alias("by"))
-    seen = _matched(claims, taken, "left", load)
-    by = F.coalesce("uid_by", "doi_by")
-    state = F.when(by.isNull(), F.lit("open")).when(
-        (F.col("uid_by") == F.col("row_no")) | (F.col("doi_by") == F.col("row_no")), F.lit("taken")
-    ).otherwise(F.lit("out"))
-    return seen.select("row_no", "uid", "doi", state.alias("state"))
+def _first_of_all_keys(claims: DataFrame) -> DataFrame:
+    """(row_no, uid, doi) of the claims that are the first for each key they have."""
+    def firsts(key: str, other: str) -> DataFrame:
+        alone = F.min(F.when(F.col(other).isNull(), F.col("row_no")))
+        return claims.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.min("row_no").alias("row_no"), alone.alias("alone")
+        ).select("row_no", key, (F.col("alone") == F.col("row_no")).alias(f"{key}_only"))
+
+    both = firsts("uid", "doi").join(firsts("doi", "uid"), "row_no", "full")
+    first_of_two = F.col("uid").isNotNull() & F.col("doi").isNotNull()
+    return both.where(first_of_two | F.col("uid_only") | F.col("doi_only")).select("row_no", "uid", "doi")
 
 
 def _settle(claims: DataFrame) -> DataFrame:
