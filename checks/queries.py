@@ -13,7 +13,7 @@ from checks.views import LEGACY_ROOT, PUB_BASE, view
 from paperloom import functions as fn
 from paperloom import plans, sinks, sources, streaming
 from paperloom.operators import archives, coverage, dedup, fetch, lookup, reports, upsert
-from paperloom.operators.joins import spread_join
+from paperloom.operators.joins import shuffle_tasks, spread_join
 from paperloom.plans import Snapshots, ingest_ids, ingest_release, resolve_oa_link
 from paperloom.plans import sample as take_sample
 from paperloom.runtime import fresh_path
@@ -549,7 +549,8 @@ def _packed(v) -> DataFrame:
                 out.append((f"a{page}", packed if page % 11 else b"not an archive" + body))
             yield pd.DataFrame(out, columns=["id", "content"])
 
-    return v.table("pages").mapInPandas(pack, "id string, content binary")
+    pages = v.table("pages")
+    return pages.repartition(shuffle_tasks(pages), "page_id").mapInPandas(pack, "id string, content binary")
 
 
 def _members_found(found: DataFrame) -> DataFrame:
