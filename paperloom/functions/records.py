@@ -25,22 +25,31 @@ def prune_record(record: Column, *names: str) -> Column:
     return F.to_variant_object(F.map_filter(_fields(record), lambda k, _: ~k.isin(*drop)))
 
 
-def canonical_json(fields: dict[str, Column], record: Column | None = None) -> Column:
+def canonical_json(
+    fields: dict[str, Column], record: Column | None = None, hidden: tuple[str, ...] = ()
+) -> Column:
     """JSON text with sorted keys.
 
-    `fields` are the typed values, absent ones left out; the fields of the open `record`
-    are added where no typed value has the same name.
+    `fields` are the typed values, absent ones left out. The fields of the open `record` are
+    added, less the `hidden` ones. Where both have a field, the typed value counts, unless it
+    is just the text of the record's, which then keeps its own type.
     """
     if record is None:
         ordered = [fields[n].alias(n) for n in sorted(fields)]
         return F.to_json(F.struct(*ordered))
+
+    def changed(name: str, value: Column) -> Column:
+        same = F.try_variant_get(record, f"$['{name}']", "string") == value.cast("string")
+        return F.when(~F.coalesce(same, F.lit(False)), value).alias(name)
+
     typed = F.map_filter(
-        _fields(F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()]))),
+        _fields(F.to_variant_object(F.struct(*[changed(n, c) for n, c in fields.items()]))),
         lambda _, v: ~F.is_variant_null(v),
     )
+    names = [F.lit(n) for n in hidden]
     rest = F.map_filter(
         F.coalesce(_fields(record), F.create_map().cast("map<string,variant>")),
-        lambda k, _: ~F.map_contains_key(typed, k),
+        lambda k, _: ~F.map_contains_key(typed, k) & ~k.isin(*names),
     )
     merged = F.map_concat(typed, rest)
     ordered = F.transform(

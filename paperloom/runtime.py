@@ -32,10 +32,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if named:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
         return named
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

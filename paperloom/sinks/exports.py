@@ -44,13 +44,16 @@ def catalogue(entries: DataFrame, root: str = "") -> DataFrame:
 
 
 def dump_metadata(entries: DataFrame) -> DataFrame:
-    """(id, line): the whole entry as JSON with sorted keys, absent fields left out."""
+    """(id, line): the whole entry as JSON with sorted keys, absent fields left out.
+
+    There is one DOI key, whichever spelling the record had.
+    """
     raw = F.col("raw") if "raw" in entries.columns else None
     fields = {
         ENTRY_JSON_NAMES.get(c, c): F.col(c) if c in FLAGS or c == "cord_sha" else present(F.col(c))
         for c in entries.columns if c not in ("raw", "oa_source")
     }
-    return entries.select("id", canonical_json(fields, raw).alias("line"))
+    return entries.select("id", canonical_json(fields, raw, ("doi",)).alias("line"))
 
 
 def _write_lines(lines: DataFrame, path: str) -> None:

@@ -150,3 +150,32 @@ def test_ordered_sinks(spark, tmp_path, views):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_files_to_dump_end_to_end(spark, tmp_path):
+    (tmp_path / "release.csv").write_text(
+        "cord_uid,sha,title,doi,pmcid,pubmed_id,license,abstract,publish_time,url\n"
+        "u1,s1,Row title,https://doi.org/10.1/A,,,cc-by,Row abstract,2020-01-01,http://1\n"
+        "u2,,\"Second, title\",,PMC2,,,,2021,http://2\n"
+        "u3,,Same DOI,10.1/a,,,,,2021,http://3\n")
+    (tmp_path / "biblio.jsonl").write_text(json.dumps(
+        {"doi": "10.1/A", "pmid": 5, "title": ["Record title"], "year": 2019, "author": [{"family": "X"}], "abstract": "Old"}) + "\n")
+    (tmp_path / "oa.txt").write_text("2021-01-01\noa/2.tar.gz\tc\tPMC2\tPMID:9\tCC BY\n")
+    none = empty_snapshots(spark)
+    snapshots = Snapshots(**{
+        **none.__dict__, "biblio": sources.read_biblio(spark, str(tmp_path / "biblio.jsonl")),
+        "pmc_oa": sources.read_pmc_oa(spark, str(tmp_path / "oa.txt"))})
+    root = str(tmp_path / "state")
+    done = ingest_release(*sources.read_state(spark, root), sources.read_release(spark, str(tmp_path / "release.csv")), snapshots)
+    sinks.write_state(spark, root, done.changed, done.keys)
+    entries, id_map = sources.read_state(spark, root)
+    first, second = (json.loads(r["line"]) for r in sinks.dump_metadata(entries).orderBy("id").collect())
+    assert first == {
+        "id": "u1", "DOI": "10.1/A", "pmid": 5, "title": ["Record title"], "year": 2019, "author": [{"family": "X"}],
+        "abstract": "Row abstract", "license-simplified": "cc-by", "cord_sha": "s1", "data_path": "u1/u1/",
+        "has_valid_oa_url": False, "has_valid_pdf": False, "has_valid_tei": False,
+        "has_valid_ref_annotation": False, "has_valid_thumbnail": False}
+    assert second["title"] == "Second, title" and second["year"] == "2021" and second["cord_sha"] == ""
+    assert second["oaLink"] == "ftp://ftp.ncbi.nlm.nih.gov/pub/pmc/oa/2.tar.gz" and second["has_valid_oa_url"]
+    assert {(r["kind"], r["key"], r["id"]) for r in id_map.collect()} == {
+        ("id", "u1", "u1"), ("doi", "10.1/a", "u1"), ("pmid", "5", "u1"), ("id", "u2", "u2"), ("pmcid", "PMC2", "u2")}
