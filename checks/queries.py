@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import LEGACY_ROOT, PUB_BASE, view
+from checks.views import LEGACY_ROOT, PUB_BASE, TABLES, view
 from paperloom import functions as fn
 from paperloom import plans, sinks, sources, streaming
 from paperloom.operators import archives, coverage, dedup, fetch, lookup, reports, upsert
@@ -36,7 +36,7 @@ class Views:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self.table = cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        self.table = cache(lambda name: spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet"))
         self.view = cache(lambda name: view(name, self.table))
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import clean_doi, strip
-from paperloom.sources.order import file_order
+from paperloom.sources.order import file_order, numbered
 
 
 def read_id_list(spark: SparkSession, path: str, kind: str) -> DataFrame:
@@ -23,7 +23,7 @@ def read_id_list(spark: SparkSession, path: str, kind: str) -> DataFrame:
     ).where("filled")
     if kind == "pmcid":
         lines = lines.where(F.col("key") != "pmc")
-    return lines.drop("filled")
+    return numbered(lines.drop("filled"))
 
 
 def id_list_size(spark: SparkSession, path: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """File order as a sortable column."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.runtime import cut_lineage
+
 
 def file_place() -> Column:
     """File and block of a row."""
@@ -20,11 +22,17 @@ def file_order() -> Column:
     """Position of a row: file path, then block, then place within the block.
 
     A block is read by one task, so the running id orders its rows. No extra pass and no
-    global sort is needed. Only the order is stable, not the numbers: write the rows out
-    (`cut_lineage`) before joining two uses of them on this column.
+    global sort is needed. Only the order is stable, not the numbers, as they depend on how
+    files are split: rows must be written out (`numbered`) before two uses of them are joined
+    on this column.
     """
     return F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with their file order fixed, by writing them to the shared folder once."""
+    return cut_lineage(rows)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.functions import present
-from paperloom.sources.order import file_order
+from paperloom.sources.order import file_order, numbered
 from paperloom.values import RELEASE_COLUMNS
 
 
@@ -26,7 +26,7 @@ def shape_release(df: DataFrame, position: str = "row_no") -> DataFrame:
 
 
 def read_release(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
-    """Rows of one or more releases in file order, columns united by name.
+    """Rows of one or more releases in file order, columns united by name; read once.
 
     A file whose fields hold line breaks cannot be split, so it is read by one task; pass
     `multi_line=False` where no field does, or keep releases as parquet with `row_no`.
@@ -37,4 +37,4 @@ def read_release(spark: SparkSession, *paths: str, multi_line: bool = True) -> D
         )
         return shape_release(rows.withColumn("row_no", file_order()))
 
-    return reduce(DataFrame.unionByName, [one(p) for p in paths])
+    return numbered(reduce(DataFrame.unionByName, [one(p) for p in paths]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paperloom.functions import present, prune_record
 from paperloom.operators.dedup import last_wins
 from paperloom.schemas import LOCATION_RECORD, PUBLISHER_META
-from paperloom.sources.order import file_order
+from paperloom.sources.order import file_order, numbered
 
 
 def index_pmc_oa(lines: DataFrame, order: str = "line_no") -> DataFrame:
@@ -78,7 +78,7 @@ def _records(spark: SparkSession, path: str, pruned: tuple[str, ...] = ()) -> Da
         file_order().alias("rec_id"), F.try_parse_json("value").alias("raw")
     ).where(F.col("raw").isNotNull())
     raw = F.col("raw")
-    return lines.select(
+    return numbered(lines.select(
         "rec_id",
         _text(raw, "DOI", "doi").alias("doi"),
         _text(raw, "pmid").alias("pmid"),
@@ -90,11 +90,14 @@ def _records(spark: SparkSession, path: str, pruned: tuple[str, ...] = ()) -> Da
         _text(raw, "year").alias("year"),
         _text(raw, "abstract").alias("abstract"),
         (prune_record(raw, *pruned) if pruned else raw).alias("raw"),
-    )
+    ))
 
 
 def read_biblio(spark: SparkSession, path: str) -> DataFrame:
-    """Bibliographic records, one JSON object per line, the whole record kept in `raw`."""
+    """Bibliographic records, one JSON object per line, the whole record kept in `raw`.
+
+    The text is parsed once. Keep the result as parquet where a snapshot serves many runs.
+    """
     return _records(spark, path)
 
 
