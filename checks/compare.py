@@ -1,5 +1,7 @@
 """Run registered queries and their SQL side by side:  python -m checks.compare SF_DIR [name ...]"""
 
+import contextlib
+import io
 import sys
 import time
 
@@ -25,12 +27,22 @@ def canonical(columns: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
+def plan_text(df, mode: str = "simple") -> str:
+    """The physical plan as Spark explains it; `extended` adds the logical ones."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode=mode)
+    return out.getvalue()
+
+
 def compare(spark, con, sf_dir: str, name: str) -> dict:
     start = time.time()
     df = REGISTRY[name](spark, sf_dir)
     ours = canonical(df.columns, [tuple(r) for r in df.collect()])
     spark_s = time.time() - start
     result = {"name": name, "rows": len(ours), "spark_s": round(spark_s, 2), "match": None}
+    plan = plan_text(df)
+    result["cross_join"] = any(j in plan for j in ("CartesianProduct", "NestedLoopJoin"))
     if name in ORACLES:
         start = time.time()
         done = con.execute(ORACLES[name])

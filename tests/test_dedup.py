@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import plan_text
 from paperloom.operators import dedup
 
 RELEASE = "row_no long, cord_uid string, doi string"
@@ -70,7 +71,7 @@ def test_first_and_last(spark):
 
 def test_first_by_is_cut_before_the_shuffle(spark):
     rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    plan = dedup.first_by(rows, ["k"], "id")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(dedup.first_by(rows, ["k"], "id"))
     shuffle = plan.index("Exchange hashpartitioning")
     assert "Partial" in plan[shuffle:] and "WindowGroupLimit" in plan[shuffle:]
 

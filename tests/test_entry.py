@@ -25,4 +25,4 @@ def test_entry(spark):
 def test_query(spark, con, name):
     result = compare(spark, con, SF, name)
     assert result["match"], result
-    assert result["rows"] > 0
+    assert result["rows"] > 0 and not result["cross_join"]
