@@ -34,12 +34,16 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blank = (raw == 0x20) | (raw >= 0x09) & (raw <= 0x0D)
     edge = np.diff(np.concatenate(([1], blank, [1])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power = np.full(len(raw) + 1, BASE, np.uint64)
-    power[0] = 1
-    power = np.cumprod(power, dtype=np.uint64)
+    power, back = powers(BASE, len(raw) + 1), powers(pow(BASE, -1, 1 << 64), len(raw) + 1)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)))
-    # Moved to a common power, equal words have equal sums wherever they stand.
-    return starts, mixed((sums[ends] - sums[starts]) * power[len(raw) - starts])
+    # Moved back to power 0, equal words have equal sums wherever they stand.
+    return starts, mixed((sums[ends] - sums[starts]) * back[starts])
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from paperloom.llm.shared import running_before, stored
 
 SHARDS, ROUNDS = 24, 24
+# Links of more than this part of a shard move into what room the others leave.
+LARGE = 8
 
 
 def narrow_rows(docs: DataFrame) -> DataFrame:
@@ -49,25 +51,31 @@ def propagate(labels: DataFrame, quota: float, shards: int, rounds: int) -> Data
     """Move documents to the shard where most neighbours are and there is room.
 
     Each round, the documents of a link wish to be in the shard with most of that link, among
-    shards with room; those in a shard with more, or as many and a smaller number, stay. If more
-    bytes wish into a shard than there is room, each row moves the share that fits. It ends when
-    nobody moves; `rounds` bounds it, as a link that fills several shards fills one a round.
+    shards with room; those in a shard with more stay, and so do those in one with as many that has
+    room and a smaller number. If more
+    bytes wish into a shard than there is room, each row moves the share that fits, links of a
+    LARGE-th of a shard or more after all others. It ends when nobody moves; `rounds` bounds it, as a link that fills several shards fills one a round.
     """
-    weight = F.struct("n", (-F.col("shard")).alias("first"))
     for turn in range(rounds):
         load = by_shard(labels, "shard", F.col("n") * F.col("size"))
         room = {s: quota - load.get(s, 0) for s in range(shards)}
         is_open = F.col("shard").isin([s for s in room if room[s] > 0])
-        best = F.max(F.when(is_open, weight)).over(W.partitionBy("link"))
-        wishes = labels.withColumn("best", best).select(
-            "link", "size", "shard", "n",
+        weight = F.struct("n", is_open.alias("open"), (-F.col("shard")).alias("first"))
+        link = W.partitionBy("link")
+        wishes = labels.withColumn("best", F.max(F.when(is_open, weight)).over(link)).select(
+            "link", "size", "shard", "n", (F.sum("n").over(link) * F.col("size") > quota / LARGE).alias("large"),
             F.when(weight < F.col("best"), -F.col("best.first")).cast("int").alias("to"))
-        inflow = by_shard(wishes.where("to is not null"), "to", F.col("n") * F.col("size"))
-        if not inflow:
+        moving = wishes.where("to is not null")
+        bytes_of = F.col("n") * F.col("size")
+        small = by_shard(moving.where("not large"), "to", bytes_of)
+        large = by_shard(moving.where("large"), "to", bytes_of)
+        if not small and not large:
             break
-        share = {s: max(0.0, min(1.0, room[s] / inflow[s])) for s in inflow}
-        moves = F.when(F.col("to").isNull(), F.lit(0)).otherwise(
-            drawn(F.col("n"), per_shard(F.col("to"), share, shards), turn))
+        first = {s: max(0.0, min(1.0, room[s] / small[s])) for s in small}
+        then = {s: max(0.0, min(1.0, (room[s] - small.get(s, 0)) / large[s])) for s in large}
+        share = F.when(F.col("large"), per_shard(F.col("to"), then, shards)).otherwise(
+            per_shard(F.col("to"), first, shards))
+        moves = F.when(F.col("to").isNull(), F.lit(0)).otherwise(drawn(F.col("n"), share, turn))
         parts = F.array(
             F.struct(F.col("shard"), (F.col("n") - F.col("moves")).alias("n")),
             F.struct(F.coalesce("to", "shard").alias("shard"), F.col("moves").alias("n")))
@@ -76,6 +84,19 @@ def propagate(labels: DataFrame, quota: float, shards: int, rounds: int) -> Data
     return labels
 
 
+def within_quota(labels: DataFrame, quota: float, shards: int) -> DataFrame:
+    """Labels less what is above the quota of a shard, taken from links that are cut as far as they reach."""
+    cut = F.count("*").over(W.partitionBy("link")) > 1
+    marked = labels.withColumn("cut", cut)
+    weight = F.col("n") * F.col("size")
+    load, of_cut = by_shard(labels, "shard", weight), by_shard(marked.where("cut"), "shard", weight)
+    over = {s: max(0.0, b - quota) for s, b in load.items()}
+    first = {s: min(1.0, over[s] / of_cut[s]) for s in of_cut}
+    then = {s: max(0.0, over[s] - of_cut.get(s, 0)) / max(1, load[s] - of_cut.get(s, 0)) for s in over}
+    share = F.when(F.col("cut"), per_shard(F.col("shard"), first, shards)).otherwise(per_shard(F.col("shard"), then, shards))
+    return marked.withColumn("n", F.col("n") - drawn(F.col("n"), share, -1)).drop("cut")
+
+
 def level(loads: list[float], free: float) -> float:
     """The load up to which shards are filled when `free` bytes are poured over them."""
     sums = accumulate(sorted(loads))
@@ -113,10 +134,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     total = rows.agg(F.sum("size")).first()[0] or 0
     labels = propagate(first_labels(rows, shards), total / shards, shards, rounds)
 
-    load = by_shard(labels, "shard", F.col("n") * F.col("size"))
-    given = {s: max(0.0, 1 - total / shards / b) for s, b in load.items()}
-    labels = stored(labels.withColumn(
-        "n", F.col("n") - drawn(F.col("n"), per_shard(F.col("shard"), given, shards), -1)), "labels")
+    labels = stored(within_quota(labels, total / shards, shards), "labels")
     load = by_shard(labels, "shard", F.col("n") * F.col("size"))
     places = stored(labels.groupBy("link").agg(F.collect_list(F.struct("shard", "n")).alias("places")), "places")
 
