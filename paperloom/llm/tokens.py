@@ -1,13 +1,15 @@
 """Token ids of whole texts with a public tokenizer file, inside tasks."""
 
 import os
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 # Texts encoded at a time, and words whose ids a task remembers at most.
-TEXTS, REMEMBERED = 500, 400_000
+TEXTS, REMEMBERED = 500, 800_000
 
 
 def tokenizer_path() -> str:
@@ -17,8 +19,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# A word of lower-case Latin letters, which no normalizer changes and no rule of the vocabulary splits,
+# with signs and digits behind it, which are split from it.
+PLAIN = rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-@\[-`{-~]*)"
+
+
 class WordEncoder:
-    """Token ids of texts, for tokenizers that never join characters across white space.
+    """Token ids of texts, for tokenizers that never join characters across white space, nor letters
+    and other signs, and that work on lower case.
 
     Such a tokenizer gives for a text the ids of its blank-separated words, one after another,
     so each distinct word is encoded once and remembered. The memory is bounded: it starts
@@ -27,17 +35,42 @@ class WordEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # For plain words the other steps change nothing.
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        for tokenizer in (self.whole, self.letters):
+            tokenizer.model._resize_cache(0)  # every word comes once
+        self.plain = re.compile(PLAIN).fullmatch
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, fresh: list[bytes]) -> None:
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+    def learn(self, fresh: set[bytes]) -> None:
+        plain, other, joined = set(), set(), []
+        for word in fresh:
+            parts = self.plain(word)
+            if parts is None:
+                other.add(word)
+            elif not parts[2]:
+                plain.add(word)
+            else:
+                joined.append((word, parts[1], parts[2]))
+        for _, letters, signs in joined:
+            plain.add(letters)
+            other.add(signs)
+        self.remember(self.letters, plain.difference(self.known))
+        self.remember(self.whole, other.difference(self.known))
+        for word, letters, signs in joined:
+            self.known[word] = self.known[letters] + self.known[signs]
+
+    def remember(self, tokenizer, words: set[bytes]) -> None:
+        rest = list(words)
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
+            found = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             for word, encoding in zip(part, found):
-                self.known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+                self.known[word] = array("I", encoding.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; none for null."""
@@ -45,7 +78,7 @@ class WordEncoder:
             split = [self.split(t) for t in texts[at:at + TEXTS]]
             if len(self.known) > REMEMBERED:
                 self.known.clear()
-            self.learn(list(set().union(*split).difference(self.known)))
+            self.learn(set().union(*split).difference(self.known))
             ids = self.known.__getitem__
             for words in split:
                 yield b"".join(map(ids, words))
