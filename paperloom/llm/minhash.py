@@ -6,7 +6,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.components import components
@@ -179,27 +179,36 @@ def star_links(percent: int) -> Callable:
 def tile_links(percent: int) -> Callable:
     """Links within each tile of a bucket, few enough that they join what is similar.
 
-    Only pairs of different components and, for a tile of two blocks, of different blocks are
-    compared, each in the first band that both share, and none that the tile's links join already.
+    A tile holds some members outside the bucket's main component, and some of all members. Pairs
+    of different components are compared, each in the first band that both share, and none that
+    the tile's links join already.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, low, high), group in groupby(rows_of(batches), lambda r: (r["band"], r["low"], r["high"])):
-            yield from link_batches(tile(list(group), low == high))
+        for _, group in groupby(rows_of(batches), lambda r: (r["band"], r["part"], r["block"])):
+            yield from link_batches(tile(list(group)))
 
-    def tile(rows: list[dict], alone: bool) -> Iterator[tuple[bytes, bytes]]:
+    def tile(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
         sets = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
         bands = np.array([r["bands"] for r in rows])
-        root = [r["root"] for r in rows]
+        root = {r["root"]: r["root"] for r in rows}
+
+        def find(x: bytes) -> bytes:
+            while root[x] != x:
+                x = root[x]
+            return x
+
         for i, a in enumerate(rows):
-            for j in range(i):
-                b = rows[j]
-                if root[i] == root[j] or not alone and a["block"] == b["block"]:
+            for j, b in enumerate(rows):
+                # Two members outside the main component meet twice; once is enough.
+                if a["role"] != 0 or b["role"] == 0 or b["minor"] and a["node"] > b["node"]:
+                    continue
+                one, other = find(a["root"]), find(b["root"])
+                if one == other:
                     continue
                 shared = np.flatnonzero(bands[i] == bands[j])
                 if bands[i, shared[0]] == a["band"] and similar(sets[i], sets[j], percent):
                     yield a["node"], b["node"]
-                    old, new = root[i], root[j]
-                    root = [new if r == old else r for r in root]
+                    root[one] = other
 
     return run
 
@@ -231,22 +240,35 @@ def verified_stars(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
 def verified_tiles(buckets: DataFrame, classes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members, other than the leader, of buckets that still hold several components.
 
-    Such a bucket is cut into blocks, and each pair of blocks is a tile of bounded size; within a tile,
-    links are as few as a tree. So no bucket is capped and no task gets a whole bucket.
+    What is left to compare are the members outside a bucket's main component, with all members. Both
+    are cut into blocks, and a block of the ones with a block of the others is a tile of bounded
+    size. Within a tile, links are as few as a tree. So no bucket is capped and no task gets a
+    whole bucket.
     """
-    rest = buckets.where("node != leader").join(roots, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root"))
-    rest = stored(rest, "rest")
-    several = rest.groupBy("band").agg(
-        F.min("root").alias("low_root"), F.max("root").alias("high_root"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    several = stored(several.where("low_root != high_root").select("band", "blocks"), "several")
-    placed = rest.join(several, "band").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    tiles = placed.select("*", F.explode(others).alias("other")).select(
-        "band", "node", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    order = ["band", "low", "high"]
-    full = tiles.join(classes.select("node", "bands"), "node").join(sets, "node")
-    return full.repartition(*order).sortWithinPartitions(*order, "node").mapInArrow(
+    rest = stored(buckets.where("node != leader").join(roots, "node", "left").select(
+        "band", "node", F.coalesce("root", "node").alias("root")), "rest")
+    parts = rest.groupBy("band", "root").agg(F.count("*").alias("n"))
+    several = parts.groupBy("band").agg(
+        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
+    several = stored(several.where("roots > 1").select(
+        "band", F.col("main.root").alias("main"), F.ceil(F.col("n") / BLOCK).alias("blocks"),
+        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("parts")), "several")
+    members = rest.join(several, "band").withColumn("minor", F.col("root") != F.col("main"))
+
+    def numbers(n: str) -> Column:
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    def own(n: str) -> Column:
+        return F.pmod(F.xxhash64("node"), n)
+
+    columns = ["band", "node", "root", "minor"]
+    asking = members.where("minor").select(
+        *columns, F.lit(0).alias("role"), own("parts").alias("part"), F.explode(numbers("blocks")).alias("block"))
+    asked = members.select(
+        *columns, F.lit(1).alias("role"), own("blocks").alias("block"), F.explode(numbers("parts")).alias("part"))
+    order = ["band", "part", "block"]
+    full = asking.unionByName(asked).join(classes.select("node", "bands"), "node").join(sets, "node")
+    return full.repartition(*order).sortWithinPartitions(*order, "role", "node").mapInArrow(
         tile_links(percent), "a binary, b binary")
 
 
@@ -256,8 +278,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     Words are runs without blanks, A-Z in lower case; a text's set has each of its `width`-word
     shingles once, or its whole sequence if shorter. Texts with equal sets are one class. Classes
     that share a band are candidates. Each bucket's first class is verified against the others;
-    where a bucket is not one component then, all its pairs from different components are
-    verified, in blocks. So every candidate pair is linked or verified, and links are as few as joins need.
+    where a bucket is not one component then, its members outside the main component are verified
+    against all others, in blocks. So every candidate pair is linked or verified, and links are as few as joins need.
 
     Null or empty texts, and those of blanks alone, have an empty set, no node and no root.
     Null keys and repeated rows are rows like others. An empty table gives no rows. Columns
