@@ -16,6 +16,8 @@ from paperloom.llm.shared import as_rows, stored
 BANDS, ROWS = 24, 4
 # Members that one leader row is compared with, and members of a bucket in one block of a tile.
 BESIDE, BLOCK = 64, 64
+# Rounds of stars with drawn members before what is left is compared in tiles.
+TURNS = 3
 # Texts shingled at a time, by characters.
 TEXT_BYTES = 2_000_000
 # Fixed odd numbers of the hash functions.
@@ -220,13 +222,13 @@ def buckets_of(classes: DataFrame) -> DataFrame:
     return stored(members.join(stored(leaders.where("members > 1"), "leaders"), "band"), "buckets")
 
 
-def verified_stars(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of bucket leaders with members, checked on full sets.
+def verified_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among pairs (leader, node), checked on full sets.
 
     A leader stands before at most about BESIDE members at a time, whose sets pass one after another, so
     a leader of a third of all documents is spread over many tasks.
     """
-    pairs = stored(buckets.where("node != leader").select("leader", "node").distinct(), "pairs")
+    pairs = stored(pairs.distinct(), "pairs")
     counts = stored(pairs.groupBy("leader").agg(F.ceil(F.count("*") / BESIDE).alias("parts")), "parts")
     dealt = pairs.join(counts, "leader").select(
         "leader", "node", F.pmod(F.xxhash64("node"), "parts").alias("part"))
@@ -237,23 +239,41 @@ def verified_stars(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFra
     return ready.select("role", "node", "hashes").mapInArrow(star_links(percent), "a binary, b binary")
 
 
-def verified_tiles(buckets: DataFrame, classes: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members, other than the leader, of buckets that still hold several components.
-
-    What is left to compare are the members outside a bucket's main component, with all members. Both
-    are cut into blocks, and a block of the ones with a block of the others is a tile of bounded
-    size. Within a tile, links are as few as a tree. So no bucket is capped and no task gets a
-    whole bucket.
-    """
+def divided(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members (band, node, root, main, minor), other than the leader, of buckets that still hold several
+    components, with sizes (n, n_minor); `minor` are those outside the main, the largest, component."""
     rest = stored(buckets.where("node != leader").join(roots, "node", "left").select(
         "band", "node", F.coalesce("root", "node").alias("root")), "rest")
     parts = rest.groupBy("band", "root").agg(F.count("*").alias("n"))
     several = parts.groupBy("band").agg(
         F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
     several = stored(several.where("roots > 1").select(
-        "band", F.col("main.root").alias("main"), F.ceil(F.col("n") / BLOCK).alias("blocks"),
-        F.ceil((F.col("n") - F.col("main.n")) / BLOCK).alias("parts")), "several")
-    members = rest.join(several, "band").withColumn("minor", F.col("root") != F.col("main"))
+        "band", F.col("main.root").alias("main"), "n", (F.col("n") - F.col("main.n")).alias("n_minor")), "several")
+    return stored(rest.join(several, "band").withColumn("minor", F.col("root") != F.col("main")), "divided")
+
+
+def star_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a drawn member of the main component with the others, and of a drawn other one with all.
+
+    The draw is a hash of member and turn, so buckets that share their members draw the same ones.
+    """
+    drawn = members.groupBy("band", "minor").agg(F.min(F.struct(
+        F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "root")).alias("drawn"))
+    drawn = stored(drawn.select("band", F.col("minor").alias("of_minor"), "drawn.node", "drawn.root"), "drawn")
+    drawn = drawn.select("band", "of_minor", F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+    met = members.join(drawn, "band").where("root != leader_root and (minor or of_minor)")
+    return met.select("leader", "node")
+
+
+def verified_tiles(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between `members` of buckets that hold several components.
+
+    What is left to compare are the members outside a bucket's main component, with all members. Both
+    are cut into blocks, and a block of the ones with a block of the others is a tile of bounded
+    size. Within a tile, links are as few as a tree. So no bucket is capped and no task gets a
+    whole bucket.
+    """
+    members = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("parts", F.ceil(F.col("n_minor") / BLOCK))
 
     def numbers(n: str) -> Column:
         return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
@@ -277,8 +297,8 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
 
     Words are runs without blanks, A-Z in lower case; a text's set has each of its `width`-word
     shingles once, or its whole sequence if shorter. Texts with equal sets are one class. Classes
-    that share a band are candidates. Each bucket's first class is verified against the others;
-    where a bucket is not one component then, its members outside the main component are verified
+    that share a band are candidates. Each bucket's first class is verified against the others, then a few drawn ones are against
+    those of other components; where a bucket is still not one component, its members outside the main component are verified
     against all others, in blocks. So every candidate pair is linked or verified, and links are as few as joins need.
 
     Null or empty texts, and those of blanks alone, have an empty set, no node and no root.
@@ -300,14 +320,22 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     sets = texts.select("text").distinct().mapInArrow(hashed_sets(width), "node binary, hashes binary")
     sets = stored(sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
-    stars = stored(verified_stars(buckets, sets, percent), "links")
-    first = stored(components(stars), "components")
-    tiles = stored(verified_tiles(buckets, classes, first, sets, percent), "links")
-    if not tiles.isEmpty():
-        merged = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(tiles)
-        first = stored(components(merged), "components")
+    def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+        links = stored(links, "links")
+        old = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return roots if links.isEmpty() else stored(components(old.unionByName(links)), "components")
+
+    stars = verified_stars(buckets.where("node != leader").select("leader", "node"), sets, percent)
+    roots = stored(components(stored(stars, "links")), "components")
+    for turn in range(TURNS):
+        members = divided(buckets, roots)
+        if members.isEmpty():
+            break
+        roots = merged(roots, verified_stars(star_pairs(members, turn), sets, percent))
+    else:
+        roots = merged(roots, verified_tiles(divided(buckets, roots), classes, sets, percent))
     rows = sketched.select("key.key", "n_shingles", "node")
-    return rows.join(first, "node", "left").select(
+    return rows.join(roots, "node", "left").select(
         "key", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
 
 
