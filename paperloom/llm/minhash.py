@@ -15,9 +15,9 @@ from paperloom.llm.shared import as_rows, stored
 # Signature coordinates are BANDS x ROWS. A pair of similarity 0.8 shares no band in one case of 300,000.
 BANDS, ROWS = 24, 4
 # Members that one leader row is compared with, and members of a bucket in one block of a tile.
-BESIDE, BLOCK = 64, 64
+BESIDE, BLOCK = 64, 256
 # Rounds of stars with drawn members before what is left is compared in tiles.
-TURNS = 3
+TURNS = 1
 # Texts shingled at a time, by characters.
 TEXT_BYTES = 2_000_000
 # Fixed odd numbers of the hash functions.
