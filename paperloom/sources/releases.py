@@ -1,6 +1,7 @@
 """Metadata releases: CSV with two generations of headers."""
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,15 +27,31 @@ def shape_release(df: DataFrame, position: str = "row_no") -> DataFrame:
 
 
 def read_release(spark: SparkSession, *paths: str, multi_line: bool = True) -> DataFrame:
-    """Rows of one or more releases in file order, columns united by name; read once.
+    """Rows of one or more releases in file order; each file is read by its own header.
 
     A file whose fields hold line breaks cannot be split, so it is read by one task; pass
     `multi_line=False` where no field does, or keep releases as parquet with `row_no`.
     """
-    def one(path: str) -> DataFrame:
+    def one(files: list[str]) -> DataFrame:
         rows = spark.read.csv(
-            path, header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False
+            files, header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False
         )
         return shape_release(rows.withColumn("row_no", file_order()))
 
-    return numbered(reduce(DataFrame.unionByName, [one(p) for p in paths]))
+    return numbered(reduce(DataFrame.unionByName, [one(files) for files in by_header(spark, paths)]))
+
+
+def by_header(spark: SparkSession, paths: tuple[str, ...]) -> list[list[str]]:
+    """Files of each header line, as a reader takes the names of all its files from the first one.
+
+    The driver gets a header per file, no more than the listing that it holds anyway.
+    """
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("line"))
+    first = F.min_by("value", "line").alias("header")
+    found = lines.where("block = 0").groupBy("file").agg(first).collect()
+    groups: dict[str, list[str]] = {}
+    for row in sorted(found):
+        groups.setdefault(row["header"].lstrip("\ufeff").strip(), []).append(unquote(row["file"]))
+    return list(groups.values()) or [list(paths)]

@@ -1,5 +1,7 @@
 """Incremental runs as streams of release files and of entry versions."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,11 +11,10 @@ from paperloom.functions import present
 from paperloom.operators.dedup import last_wins
 from paperloom.operators.reports import state_waterfall
 from paperloom.plans.ingest import Snapshots, ingest_release
-from paperloom.runtime import cut_lineage
 from paperloom.schemas import ID_MAP
 from paperloom.sinks.state import write_state
-from paperloom.sources.order import file_place, order_within
-from paperloom.sources.releases import shape_release
+from paperloom.sources.order import file_place
+from paperloom.sources.releases import read_release, shape_release
 from paperloom.sources.state import read_commits, read_state
 from paperloom.values import RELEASE_COLUMNS
 
@@ -39,7 +40,7 @@ def release_stream(
 
 
 def stream_releases(
-    stream: DataFrame, root: str, snapshots: Snapshots, checkpoint: str
+    stream: DataFrame, root: str, snapshots: Snapshots, checkpoint: str, multi_line: bool = True
 ) -> StreamingQuery:
     """Ingest every batch of release rows into the state under `root`.
 
@@ -52,8 +53,12 @@ def stream_releases(
         if any(c["batch"] == mark for c in commits):
             return
         entries, id_map = read_state(spark, root, commits)
-        rows = batch.withColumn("row_no", order_within("place")).drop("place")
-        done = ingest_release(entries, id_map, cut_lineage(rows), snapshots)
+        # The stream says which files are new; each is read by its own header.
+        files = sorted(r["file"] for r in batch.select("place.file").distinct().collect())
+        if not files:
+            return
+        rows = read_release(spark, *map(unquote, files), multi_line=multi_line)
+        done = ingest_release(entries, id_map, rows, snapshots)
         write_state(spark, root, done.changed, done.keys, mark)
 
     return (

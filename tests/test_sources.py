@@ -33,6 +33,16 @@ def test_read_release_unites_two_generations(spark, tmp_path):
     assert (second["mag_id"], second["arxiv_id"], second["doi"], second["url"]) == ("m2", "ax", " ", None)
 
 
+def test_read_release_reads_each_file_of_a_folder_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    write(folder / "a.csv", "cord_uid,sha,title,doi,url\nu1,s1,T1,10.1/a,http://u1\n")
+    write(folder / "b.csv", "cord_uid,title,sha,doi,url,mag_id\nu2,T2,s2,10.1/b,http://u2,m2\n")
+    rows = [r.asDict() for r in sources.read_release(spark, str(folder)).orderBy("row_no").collect()]
+    assert [tuple(r[c] for c in ("cord_uid", "sha", "title", "doi", "url", "mag_id")) for r in rows] == [
+        ("u1", "s1", "T1", "10.1/a", "http://u1", None), ("u2", "s2", "T2", "10.1/b", "http://u2", "m2")]
+
+
 def test_read_pmc_oa_last_line_wins_and_quotes_are_text(spark, tmp_path):
     path = write(tmp_path / "oa.txt", '2020-09-11 10:00:00\noa/1.tar.gz\t"J. X\tPMC1\tPMID:1\tCC BY\noa/2.tar.gz\tc\tPMC2\t\tNO-CC CODE\noa/3.tar.gz\tc"\tPMC1\tPMID:9\tCC0\n')
     got = {r["pmcid"]: tuple(r)[1:] for r in sources.read_pmc_oa(spark, path).collect()}

@@ -138,6 +138,17 @@ def test_stream_does_not_take_a_replayed_batch_twice(spark, tmp_path, views):
     assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == sorted(r["id"] for r in taken.changed.collect())
 
 
+def test_stream_reads_each_release_by_its_own_header(spark, tmp_path):
+    root, folder = str(tmp_path / "s"), tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("cord_uid,sha,title,doi,url\nu1,,T1,10.1/a,http://u1\n")
+    (folder / "b.csv").write_text("cord_uid,title,sha,doi,url,arxiv_id\nu2,T2,,10.1/b,http://u2,x2\n")
+    rows = streaming.release_stream(spark, str(folder))
+    streaming.stream_releases(rows, root, empty_snapshots(spark), str(tmp_path / "c")).awaitTermination()
+    got = {r["id"]: (r["title"], r["doi"]) for r in sources.read_state(spark, root)[0].collect()}
+    assert got == {"u1": ("T1", "10.1/a"), "u2": ("T2", "10.1/b")}
+
+
 def test_ordered_sinks(spark, tmp_path, views):
     sinks.write_catalogue(views.entries, str(tmp_path / "map"))
     parts = sorted((tmp_path / "map").glob("part-*"))
