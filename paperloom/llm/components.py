@@ -6,19 +6,26 @@ from pyspark.sql import functions as F
 from paperloom.llm.shared import stored
 
 
+def is_settled(edges: DataFrame) -> bool:
+    """Whether every node has one link upwards at most, to a node that has none: stars are left."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(True).alias("below")),
+                   F.struct(F.col("v").alias("node"), F.lit(False).alias("below")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(
+        F.count_if("below").alias("up"), F.count_if(~F.col("below")).alias("down"))
+    return nodes.agg(F.count_if((F.col("up") > 1) | (F.col("up") == 1) & (F.col("down") > 0))).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of `links` (a, b); `root` is the smallest node reachable.
 
     Alternating stars: each node hands its larger neighbours to its smallest one, then its
     smaller ones. Rounds are about the logarithm of the longest path. Minima are summed up
     map-side and written before they are joined, so Spark can split a join on a node that has a
-    third of the links. All tables are in the shared folder; the driver gets one checksum a round.
+    third of the links. All tables are in the shared folder; the driver gets one count a round.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = stored(links.where("a != b").select(high.alias("u"), low.alias("v")).distinct(), "edges")
-    seen = None
-    while (mark := edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != seen:
-        seen = mark
+    while not is_settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         nearest = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "nearest")
         large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
