@@ -2,8 +2,8 @@
 
 A data file is a run of records: length of the payload (8 bytes), masked checksum of these
 8 bytes (4 bytes), payload, masked checksum of the payload (4 bytes). All numbers are little
-endian. A payload is one byte that says whether there is a document id, the id (8 bytes), and
-the token ids (4 bytes each). The index file has, for each record, its offset and its whole
+endian. A payload is one byte that says whether there is a document id, one with the width of a token
+id (2 bytes where the whole vocabulary fits, else 4), the document id (8 bytes), and the token ids. The index file has, for each record, its offset and its whole
 length (8 bytes each). Checksums are CRC-32, rotated right by 15 bits, plus a constant, so that
 the checksum of data that holds checksums stays sound.
 """
@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperloom.llm.tokens import encoded
+from paperloom.llm.tokens import encoded, largest_id
 
 MASK_DELTA = 0xA282EAD8
 # Length, checksum, index entry, and what stands before the ids of a payload.
-HEAD, CHECK, ENTRY, DOC, DOC_SIZE = "<Q", "<I", "<QQ", "<?q", 9
+HEAD, CHECK, ENTRY, DOC, DOC_SIZE = "<Q", "<I", "<QQ", "<?Bq", 10
 # Bytes that a reader gathers before it hands them on.
 CHUNK = 8 << 20
 
@@ -63,6 +63,8 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
     Each task writes files under a name of its own; `manifest` lists those of the tasks that
     counted, so retries and lost executors leave at most files that nobody reads.
     """
+    width = 2 if max(end_id, largest_id(tokenizer)) < 1 << 16 else 4
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -74,19 +76,20 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
         with store.open_output_stream(posixpath.join(base, f"{name}.records")) as data, \
                 store.open_output_stream(posixpath.join(base, f"{name}.index")) as index:
             for doc_id, ids in encoded(batches, tokenizer, end_id):
-                record = frame(struct.pack(DOC, doc_id is not None, doc_id or 0) + ids)
+                stored = np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
+                record = frame(struct.pack(DOC, doc_id is not None, width, doc_id or 0) + stored)
                 data.write(record)
                 index.write(struct.pack(ENTRY, offset, len(record)))
                 offset += len(record)
                 n_records += 1
                 n_tokens += len(ids) // 4
         yield pa.RecordBatch.from_pydict(
-            {"part": [part], "name": [name], "n_records": [n_records], "n_tokens": [n_tokens]})
+            {"part": [part], "name": [name], "width": [width], "n_records": [n_records], "n_tokens": [n_tokens]})
 
     order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    written = dealt.mapInArrow(write, "part long, name string, n_records long, n_tokens long")
+    written = dealt.mapInArrow(write, "part long, name string, width long, n_records long, n_tokens long")
     written.where("n_records > 0").write.parquet(posixpath.join(path, "manifest"))
 
 
@@ -114,13 +117,13 @@ def read_records(spark: SparkSession, path: str, shuffle_seed: int | None = None
 
     def in_order(stream, start: int) -> Iterator[tuple]:
         while (payload := unframe(stream)) is not None:
-            n = (len(payload) - DOC_SIZE) // 4
+            n = (len(payload) - DOC_SIZE) // payload[1]
             yield start, n, payload
             start += n
 
     def by_index(stream, index: np.ndarray, file: dict) -> Iterator[tuple]:
         # Beside the frame of 16 bytes, a record is its id and the tokens.
-        n = (index[:, 1].astype("i8") - 16 - DOC_SIZE) // 4
+        n = (index[:, 1].astype("i8") - 16 - DOC_SIZE) // file["width"]
         starts = file["start"] + np.cumsum(n) - n
         seed = zlib.crc32(f"{shuffle_seed}/{file['part']}".encode())
         for at in np.random.default_rng(seed).permutation(len(index)).tolist():
@@ -130,9 +133,10 @@ def read_records(spark: SparkSession, path: str, shuffle_seed: int | None = None
     def tables(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for start, n, payload in found:
-            has_id, doc_id = struct.unpack_from(DOC, payload)
-            rows.append((doc_id if has_id else None, start, n, payload[DOC_SIZE:]))
-            size += len(payload)
+            has_id, width, doc_id = struct.unpack_from(DOC, payload)
+            ids = np.frombuffer(payload, f"<u{width}", offset=DOC_SIZE).astype("<u4").tobytes()
+            rows.append((doc_id if has_id else None, start, n, ids))
+            size += len(ids)
             if size >= CHUNK or len(rows) >= 10_000:
                 yield table(rows)
                 rows, size = [], 0
@@ -144,7 +148,7 @@ def read_records(spark: SparkSession, path: str, shuffle_seed: int | None = None
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, (_, k) in zip(zip(*rows), kinds)], names=[n for n, _ in kinds])
 
-    schema = "part long, name string, n_records long, n_tokens long"
+    schema = "part long, name string, width long, n_records long, n_tokens long"
     manifest = spark.read.schema(schema).parquet(posixpath.join(path, "manifest"))
     # One row per file: as many as the tasks that wrote.
     files = max(1, manifest.count())

@@ -19,6 +19,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def largest_id(path: str) -> int:
+    """The largest token id of a vocabulary file."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())
+
+
 # A word of lower-case Latin letters, which no normalizer changes and no rule of the vocabulary splits,
 # with signs and digits behind it, which are split from it.
 PLAIN = rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-@\[-`{-~]*)"
