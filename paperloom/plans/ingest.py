@@ -80,8 +80,13 @@ def ingest_release(
         stable_id(F.lit("pmcid"), pmcid),
         stable_id(F.lit("pmid"), pmid),
     )
-    # Rows without uid and DOI may still share a PMC id or PMID; the last such row counts.
+    # Rows without uid and DOI may still share a PMC id or PMID; the last such row counts, unless the
+    # map holds the id that follows from it.
+    keyless = uid.isNull() & doi.isNull()
+    held = id_map.where("kind = 'id'").select(F.col("key").alias("id"))
     identified = taken.withColumn("id", article)
+    identified = identified.where(~keyless).unionByName(
+        identified.where(keyless).join(held, "id", "left_anti"))
     errors = identified.where("id is null").drop("id")
     rows = cut_lineage(last_wins(identified.where("id is not null"), ["id"], "row_no"))
 
