@@ -83,6 +83,17 @@ def test_second_run_over_a_release_takes_nothing(views):
     assert after.count() == after.select("id").distinct().count()
 
 
+def test_second_run_skips_rows_without_uid_and_doi(views):
+    outside = {"pmcid": F.when(F.col("row_no") % 2 == 0, F.concat(F.lit("PMC99"), "row_no")),
+               "pubmed_id": F.concat(F.lit("99"), "row_no")}
+    blank = {"cord_uid": F.lit(None).cast("string"), "doi": F.lit(None).cast("string")}
+    meta = views.meta.where("row_no <= 6").withColumns(blank | outside)
+    done = ingest_release(views.entries, views.id_map, meta, views.snapshots)
+    assert done.changed.count() == meta.count()
+    again = ingest_release(done.entries(views.entries), done.id_map(views.id_map), meta, views.snapshots)
+    assert again.changed.isEmpty() and again.keys.isEmpty()
+
+
 def test_one_release_equals_its_two_halves(views):
     whole = ingest_release(views.entries, views.id_map, views.meta, views.snapshots)
     state = views.entries, views.id_map
