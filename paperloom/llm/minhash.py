@@ -15,7 +15,7 @@ from paperloom.llm.shared import as_rows, stored
 # Signature coordinates are BANDS x ROWS. A pair of similarity 0.8 shares no band in one case of 300,000.
 BANDS, ROWS = 24, 4
 # Members that one leader row is compared with, and members of a bucket in one block of a tile.
-BESIDE, BLOCK = 64, 256
+BESIDE, BLOCK = 64, 512
 # Rounds of stars with drawn members before what is left is compared in tiles.
 TURNS = 1
 # Texts shingled at a time, by characters.
@@ -235,7 +235,7 @@ def verified_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     heads = counts.select("leader", F.col("leader").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     rows = heads.withColumn("role", F.lit(0)).unionByName(dealt.withColumn("role", F.lit(1)))
     order = ["leader", "part", "role"]
-    ready = rows.join(sets, "node").repartition("leader", "part").sortWithinPartitions(*order)
+    ready = rows.join(sets.select("node", "hashes"), "node").repartition("leader", "part").sortWithinPartitions(*order)
     return ready.select("role", "node", "hashes").mapInArrow(star_links(percent), "a binary, b binary")
 
 
@@ -265,7 +265,7 @@ def star_pairs(members: DataFrame, turn: int) -> DataFrame:
     return met.select("leader", "node")
 
 
-def verified_tiles(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between `members` of buckets that hold several components.
 
     What is left to compare are the members outside a bucket's main component, with all members. Both
@@ -287,7 +287,7 @@ def verified_tiles(members: DataFrame, classes: DataFrame, sets: DataFrame, perc
     asked = members.select(
         *columns, F.lit(1).alias("role"), own("blocks").alias("block"), F.explode(numbers("parts")).alias("part"))
     order = ["band", "part", "block"]
-    full = asking.unionByName(asked).join(classes.select("node", "bands"), "node").join(sets, "node")
+    full = asking.unionByName(asked).join(sets, "node")
     return full.repartition(*order).sortWithinPartitions(*order, "role", "node").mapInArrow(
         tile_links(percent), "a binary, b binary")
 
@@ -314,11 +314,10 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     classes = stored(sketched.where("node is not null").groupBy("node").agg(
         F.min("key.text_key").alias("text_key"), F.first("bands").alias("bands")), "classes")
     buckets = buckets_of(classes)
-    needed = buckets.select("node").distinct().join(classes.select("node", "text_key"), "node")
-    wanted = stored(needed, "wanted")
+    wanted = stored(buckets.select("node").distinct().join(classes, "node"), "wanted")
     texts = named.withColumn("text_key", F.xxhash64("text")).join(wanted.select("text_key").distinct(), "text_key", "left_semi")
     sets = texts.select("text").distinct().mapInArrow(hashed_sets(width), "node binary, hashes binary")
-    sets = stored(sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = stored(sets.dropDuplicates(["node"]).join(wanted.select("node", "bands"), "node"), "sets")
 
     def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
         links = stored(links, "links")
@@ -333,7 +332,7 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
             break
         roots = merged(roots, verified_stars(star_pairs(members, turn), sets, percent))
     else:
-        roots = merged(roots, verified_tiles(divided(buckets, roots), classes, sets, percent))
+        roots = merged(roots, verified_tiles(divided(buckets, roots), sets, percent))
     rows = sketched.select("key.key", "n_shingles", "node")
     return rows.join(roots, "node", "left").select(
         "key", "n_shingles", "node", F.coalesce("root", "node").alias("root"))
