@@ -302,6 +302,12 @@ oracle("accept_first_come", "select row_no, cord_uid, doi from fx_meta where row
        recursive=_accepted("rows_keyed", "false"))
 oracle("accept_after_earlier_run", "select row_no, cord_uid, doi from fx_meta where row_no in (select row_no from step where ok)",
        recursive=_accepted("rows_keyed", _KNOWN))
+# Of a chain, every other row is taken, from the first of each unbroken run of row numbers on.
+oracle("accept_long_chain", """
+select row_no, 'u' || (row_no + 1) // 2 as cord_uid, '10.1/' || row_no // 2 as doi
+from (select row_no, row_number() over (partition by run order by row_no) as nth
+      from (select row_no, row_no - row_number() over (order by row_no) as run from fx_meta))
+where nth % 2 = 1""")
 oracle("select_members", """
 select archive_id, first(name order by member_no) filter (where is_file and (ends_with(name, '.pdf') or ends_with(name, '.PDF'))) as pdf_name,
   last(name order by member_no) filter (where is_file and ends_with(name, '.nxml')) as nxml_name,

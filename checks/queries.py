@@ -297,6 +297,15 @@ def accept_after_earlier_run(v):
     return dedup.accept_first_come(v.meta, v.id_map).select("row_no", "cord_uid", "doi")
 
 
+@query
+def accept_long_chain(v):
+    """All articles in one chain: each shares its uid with the one before or its DOI, in turn."""
+    uid = F.concat(F.lit("u"), F.floor((F.col("row_no") + 1) / 2))
+    doi = F.concat(F.lit("10.1/"), F.floor(F.col("row_no") / 2))
+    chained = v.meta.select("row_no", uid.alias("cord_uid"), doi.alias("doi"))
+    return dedup.accept_first_come(chained).select("row_no", "cord_uid", "doi")
+
+
 @query
 def select_members(v):
     return dedup.select_members(v.members)

@@ -1,9 +1,7 @@
 """Which of several rows counts: first, last, first accepted, first successful."""
 
-from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,10 +10,6 @@ from paperloom.functions import doi_key, present
 from paperloom.operators.joins import Load, key_load, spread_join
 from paperloom.runtime import cut_lineage
 
-# Rounds after which a rest of at most TAIL_ROWS narrow rows is settled by one task.
-TAIL_ROUNDS = 8
-TAIL_ROWS = 1_000_000
-
 
 def _ranked_first(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     # `row_number() = 1` is pruned to one row per key before the shuffle, so a frequent key
@@ -71,11 +65,10 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
     """Rows taken in file order: one is taken iff no earlier taken row, and no key of the
     map, shares its uid or DOI. Rejected rows claim nothing.
 
-    Solved in rounds. A row that is the first open one for each of its keys is taken; rows
-    sharing a key with it are decided too. Each round is two aggregations and three joins over
-    (row_no, uid, doi), so the wide release rows are touched once at the end. There are as
-    many rounds as the longest chain of rejections has links; what a few rounds leave open of
-    long chains is settled row by row, once it is known to fit one task.
+    Solved in rounds over (row_no, uid, doi), so the wide release rows are touched once at the
+    end. A round decides the rows without an earlier open rival, all rows that a chain of single
+    rivals leads to one, and the rows that share a key with a taken one. Chains are followed by
+    doubling, so the jobs of a round are as many as the logarithm of its longest chain.
     """
     claims = release_claims(release)
     if id_map is not None:
@@ -84,11 +77,10 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
     keyless = F.col("uid").isNull() & F.col("doi").isNull()
     accepted = [claims.where(keyless).select("row_no")]
     still = claims.where(~keyless)
-    while (load := key_load(still, "uid", "doi")).rows:
-        if len(accepted) > TAIL_ROUNDS and load.rows <= TAIL_ROWS:
-            accepted.append(cut_lineage(_settle(still)))
-            break
-        taken = cut_lineage(_first_of_all_keys(still))
+    # Keys only get rarer, so the first measure serves all rounds.
+    load = key_load(still, "uid", "doi")
+    while not still.isEmpty():
+        taken = cut_lineage(still.join(_decided_to_take(still), "row_no", "left_semi"))
         accepted.append(taken.select("row_no"))
         uids, dois = (taken.where(F.col(k).isNotNull()).select(k) for k in ("uid", "doi"))
         still = cut_lineage(_without(still, uids, dois, load))
@@ -97,35 +89,41 @@ def accept_first_come(release: DataFrame, id_map: DataFrame | None = None) -> Da
     return release.join(chosen, "row_no", "left_semi")
 
 
-def _first_of_all_keys(claims: DataFrame) -> DataFrame:
-    """(row_no, uid, doi) of the claims that are the first for each key they have."""
-    def firsts(key: str, other: str) -> DataFrame:
-        alone = F.min(F.when(F.col(other).isNull(), F.col("row_no")))
-        return claims.where(F.col(key).isNotNull()).groupBy(key).agg(
-            F.min("row_no").alias("row_no"), alone.alias("alone")
-        ).select("row_no", key, (F.col("alone") == F.col("row_no")).alias(f"{key}_only"))
-
-    both = firsts("uid", "doi").join(firsts("doi", "uid"), "row_no", "full")
-    first_of_two = F.col("uid").isNotNull() & F.col("doi").isNotNull()
-    return both.where(first_of_two | F.col("uid_only") | F.col("doi_only")).select("row_no", "uid", "doi")
-
-
-def _settle(claims: DataFrame) -> DataFrame:
-    """`row_no` of the rows taken by the sequential rule, over a bounded rest of open rows."""
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = set()
-        for batch in batches:
-            taken = []
-            for tag, uid, doi in zip(batch["tag"], batch["uid"], batch["doi"]):
-                keys = {key for key in (("id", uid), ("doi", doi)) if key[1] is not None}
-                if not keys & held:
-                    held |= keys
-                    taken.append(tag)
-            yield pd.DataFrame({"tag": taken}, dtype="object")
-
-    tagged = claims.withColumn("tag", F.to_json(F.struct("row_no")))
-    ordered = tagged.repartition(1).sortWithinPartitions("row_no").select("tag", "uid", "doi")
-    return tagged.join(ordered.mapInPandas(walk, "tag string"), "tag", "left_semi").select("row_no")
+def _rivals(claims: DataFrame) -> DataFrame:
+    """(row_no, to): claims with one earlier rival at most, `to`; the others are left out.
+
+    A claim's rivals are earlier claims with its uid or DOI. Only the first two claims of a key can
+    have one rival by it at most, and Spark cuts to them before the shuffle.
+    """
+    def first_two(key: str) -> DataFrame:
+        in_order = W.partitionBy(key).orderBy("row_no")
+        needs = (F.col("uid").isNotNull().cast("int") + F.col("doi").isNotNull().cast("int")).alias("needs")
+        top = claims.where(F.col(key).isNotNull()).select("row_no", key, needs).withColumn(
+            "nth", F.row_number().over(in_order)).where(F.col("nth") <= 2)
+        return top.select("row_no", "needs", F.lag("row_no").over(in_order).alias("rival"))
+
+    found = first_two("uid").unionByName(first_two("doi")).groupBy("row_no").agg(
+        F.count("*").alias("n_keys"), F.max("needs").alias("needs"), F.min("rival").alias("to"), F.max("rival").alias("last"))
+    one = F.col("to").isNull() | (F.col("to") == F.col("last"))
+    return found.where((F.col("n_keys") == F.col("needs")) & one).select("row_no", "to")
+
+
+def _decided_to_take(claims: DataFrame) -> DataFrame:
+    """`row_no` of claims without rival, and of those an even number of single rivals away from one.
+
+    Each step joins open claims with the claim they point to, which doubles the distance. A claim
+    whose end has several rivals finds no partner and stays undecided. At most two claims point to
+    one, and claims that have reached their end are set aside, so no end becomes a hot key.
+    """
+    start = cut_lineage(_rivals(claims).withColumn("rejected", F.col("to").isNotNull()))
+    done, live = start.where("to is null"), start.where("to is not null")
+    while not live.isEmpty():
+        known = done.unionByName(live).select(
+            F.col("row_no").alias("to"), F.col("to").alias("next"), F.col("rejected").alias("turn"))
+        step = cut_lineage(live.join(known, "to").select(
+            "row_no", F.col("next").alias("to"), (F.col("rejected") != F.col("turn")).alias("rejected")))
+        done, live = done.unionByName(step.where("to is null")), step.where("to is not null")
+    return done.where(~F.col("rejected")).select("row_no")
 
 
 def select_members(members: DataFrame) -> DataFrame:

@@ -48,10 +48,27 @@ def test_chain_of_rejections(spark):
     assert accepted(spark, rows) == in_order(rows)
 
 
-@pytest.mark.parametrize("rounds", [2, 100])
-def test_long_chain_is_settled_alike_by_rounds_and_by_a_task(spark, monkeypatch, rounds):
-    monkeypatch.setattr(dedup, "TAIL_ROUNDS", rounds)
-    rows = [(i, f"u{(i + 1) // 2}", f"d{i // 2}") for i in range(24)]
+def chain(n):
+    return [(i, f"u{(i + 1) // 2}", f"d{i // 2}") for i in range(n)]
+
+
+def test_jobs_grow_with_the_logarithm_of_a_chain(spark):
+    def jobs(n):
+        group = f"chain of {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            assert accepted(spark, chain(n)) == list(range(0, n, 2))
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    short, long = jobs(16), jobs(256)
+    assert long - short <= 4 * 12
+
+
+def test_chains_that_meet_in_rows_with_several_rivals(spark):
+    rng = random.Random(3)
+    rows = [(i, f"u{rng.randrange(i // 2 + 1)}", f"d{max(0, i // 2 - rng.randrange(3))}") for i in range(150)]
     assert accepted(spark, rows) == in_order(rows)
 
 
