@@ -462,6 +462,7 @@ oracle("release_files", "select cord_uid, sha, source_x, " + ", ".join(
 oracle("id_list_files", "select kind, key, count(*) as n from key_rows group by kind, key")
 oracle("id_list_sizes", "select count(*) filter (where pmcid <> '') as n_lines from fx_meta")
 oracle("pmc_oa_files", "select pmcid, subpath, pmid, license from pmc")
+oracle("pmc_oa_errors", "select concat_ws(chr(9), subpath, pmcid) as line from fx_pmc_oa where line_no % 10 = 0")
 oracle("pub_map_files", "select kind, key, pdf from pub")
 oracle("publisher_meta_files", """
 select case when page_id % 3 <> 0 then '10.1/' || page_id else '' end as doi, 'S' || page_id as pii,

@@ -475,8 +475,22 @@ def id_list_sizes(v):
 @query
 def pmc_oa_files(v):
     value = F.concat_ws("\t", "subpath", F.lit("cite"), "pmcid", "pmid", "license")
-    lines = v.pmc_oa.select(F.col("line_no").alias("n"), value.alias("value"))
-    return sources.read_pmc_oa(v.spark, _written_lines(v, lines, "pmc"))
+    return sources.read_pmc_oa(v.spark, _pmc_list(v, value))
+
+
+def _pmc_list(v, value) -> str:
+    """The archive list with a time stamp on top, and a torn line after every tenth article."""
+    lines = v.pmc_oa.select((F.col("line_no") * 2).alias("n"), value.alias("value"))
+    torn = v.pmc_oa.where("line_no % 10 = 0").select(
+        (F.col("line_no") * 2 + 1).alias("n"), F.concat_ws("\t", "subpath", "pmcid").alias("value"))
+    stamp = lines.agg((F.min("n") - 1).alias("n"), F.lit("2020-09-11 10:00:00").alias("value"))
+    return _written_lines(v, lines.unionByName(torn).unionByName(stamp), "pmc")
+
+
+@query
+def pmc_oa_errors(v):
+    value = F.concat_ws("\t", "subpath", F.lit("cite"), "pmcid", "pmid", "license")
+    return sources.read_pmc_oa_errors(v.spark, _pmc_list(v, value)).select("line")
 
 
 @query

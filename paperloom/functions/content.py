@@ -1,7 +1,5 @@
 """What a fetched payload is, judged by its bytes."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ SIGNATURES = {
     "png": b"\x89PNG\r\n\x1a\n",
     "gzip": b"\x1f\x8b",
 }
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#x27;": "'", "&apos;": "'", "&amp;": "&"}
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 
 def content_kind(payload: Column) -> Column:
@@ -39,6 +37,24 @@ def is_valid(payload: Column, kind: Column | str) -> Column:
     return F.coalesce(content_kind(payload) == wanted, F.lit(False))
 
 
+def _plain(token: Column) -> Column:
+    """The character an entity stands for; any other token as it is."""
+    digits = F.regexp_extract(token, "(?i)^&#(x?)([0-9a-f]+);$", 2)
+    base = F.when(F.lower(token).startswith("&#x"), 16).otherwise(10)
+    code = F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+    is_character = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    plain = F.when(is_character, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    for entity, character in ENTITIES.items():
+        plain = plain.when(token == entity, F.lit(character))
+    return plain.otherwise(token)
+
+
+def unescaped(text: Column) -> Column:
+    """`text` with named and numeric entities decoded, once."""
+    tokens = F.regexp_extract_all(text, F.lit("(?s)&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-z]+;|[^&]+|&"), F.lit(0))
+    return F.array_join(F.transform(tokens, _plain), "")
+
+
 def redirect_link(payload: Column) -> Column:
     """Address behind the first `a` element with id `redirect` of a page that is not a PDF."""
     text = payload.cast("string")
@@ -47,5 +63,4 @@ def redirect_link(payload: Column) -> Column:
     tag = F.get(F.filter(tags, lambda t: t.rlike(marked)), 0)
     href = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     link = F.coalesce(*[present(F.regexp_extract(tag, href, g)) for g in (1, 2, 3)])
-    plain = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ENTITIES.items(), link)
-    return F.when(~F.coalesce(text.startswith("%PDF-"), F.lit(False)), plain)
+    return F.when(~F.coalesce(text.startswith("%PDF-"), F.lit(False)), unescaped(link))

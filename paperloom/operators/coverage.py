@@ -33,7 +33,7 @@ def official_fulltext(rows: DataFrame, official: DataFrame, load: Load | None =
     """
     def listed(kind: str, column: str, flag: str) -> DataFrame:
         keys = official.where(F.col("kind") == kind).select(F.col("key").alias(column))
-        return keys.distinct().withColumn(flag, F.lit(True))
+        return keys.withColumn(flag, F.lit(True))
 
     keyed = official_keys(rows)
     load = key_load(keyed, "_pmc", "_sha") if load is None else load

@@ -49,7 +49,7 @@ def _without(claims: DataFrame, uids: DataFrame, dois: DataFrame, load: Load) ->
 
 def _unknown(claims: DataFrame, id_map: DataFrame) -> DataFrame:
     def known(kind: str, column: str) -> DataFrame:
-        return id_map.where(F.col("kind") == kind).select(F.col("key").alias(column)).distinct()
+        return id_map.where(F.col("kind") == kind).select(F.col("key").alias(column))
 
     load = key_load(claims, "uid", "doi")
     return _without(claims, known("id", "uid"), known("doi", "doi"), load)

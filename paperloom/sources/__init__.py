@@ -5,6 +5,7 @@ from paperloom.sources.lists import id_list_size, read_id_list
 from paperloom.sources.releases import read_release, shape_release
 from paperloom.sources.snapshots import (
     index_pmc_oa, index_pub_map, read_biblio, read_fallback, read_locations, read_pmc_oa,
+    read_pmc_oa_errors, read_record_errors,
     read_pub_map, read_publisher_meta,
 )
 from paperloom.sources.state import read_commits, read_state
@@ -12,6 +13,7 @@ from paperloom.sources.state import read_commits, read_state
 __all__ = [
     "id_list_size", "index_official", "index_pmc_oa", "index_pub_map", "list_files", "read_biblio",
     "read_commits", "read_content", "read_fallback", "read_id_list", "read_locations", "read_pmc_oa",
+    "read_pmc_oa_errors", "read_record_errors",
     "read_pub_map", "read_publisher_meta", "read_release", "read_state", "scan_archives",
     "scan_artifacts", "scan_official", "shape_release",
 ]

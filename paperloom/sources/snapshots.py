@@ -14,12 +14,25 @@ def index_pmc_oa(lines: DataFrame, order: str = "line_no") -> DataFrame:
     return last_wins(lines, ["pmcid"], order).select("pmcid", "subpath", "pmid", "license")
 
 
+def _pmc_oa_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line, f) of the list in file order, less the first line, which is a time stamp."""
+    lines = numbered(spark.read.text(path).select(file_order().alias("line_no"), F.col("value").alias("line")))
+    top = lines.agg(F.min("line_no").alias("line_no"))
+    return lines.join(top, "line_no", "left_anti").withColumn("f", F.split("line", "\t"))
+
+
+def read_pmc_oa_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of the lines of the list that have fewer than five fields."""
+    return _pmc_oa_lines(spark, path).where(F.size("f") < 5).select("line_no", "line")
+
+
 def read_pmc_oa(spark: SparkSession, path: str) -> DataFrame:
-    """PMC open-access list, by id. No quoting applies; the time stamp on top has no tabs."""
-    fields = F.split("value", "\t")
-    lines = spark.read.text(path).select(file_order().alias("line_no"), fields.alias("f"))
+    """PMC open-access list, by id. No quoting applies. The first line is a time stamp.
+
+    Lines with fewer than five fields are not indexed; `read_pmc_oa_errors` returns them.
+    """
     return index_pmc_oa(
-        lines.where(F.size("f") >= 5).select(
+        _pmc_oa_lines(spark, path).where(F.size("f") >= 5).select(
             "line_no",
             F.get("f", 0).alias("subpath"),
             F.get("f", 2).alias("pmcid"),
@@ -73,6 +86,12 @@ def _text(record: Column, *names: str) -> Column:
     return present(F.coalesce(*[F.try_variant_get(record, f"$.{n}", "string") for n in names]))
 
 
+def read_record_errors(spark: SparkSession, path: str) -> DataFrame:
+    """(rec_id, line) of the lines that `read_biblio` and `read_fallback` leave out: those that are not JSON."""
+    lines = spark.read.text(path).select(file_order().alias("rec_id"), F.col("value").alias("line"))
+    return numbered(lines.where(F.try_parse_json("line").isNull()))
+
+
 def _records(spark: SparkSession, path: str, pruned: tuple[str, ...] = ()) -> DataFrame:
     lines = spark.read.text(path).select(
         file_order().alias("rec_id"), F.try_parse_json("value").alias("raw")

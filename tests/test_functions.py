@@ -72,6 +72,8 @@ def test_missing_payload_is_not_valid(spark):
 @pytest.mark.parametrize("page, link", [
     (b'<a id="redirect" href="http://h/x?a=1&amp;b=2">', "http://h/x?a=1&b=2"),
     (b"<A class=q HREF='/y' ID='redirect'>", "/y"),
+    (b'<a id="redirect" href="/x?a&#38;b&#x26;c&#X2f;d&#233;&#x1F600;">', "/x?a&b&c/d\u00e9\U0001F600"),
+    (b'<a id="redirect" href="/x?a&amp;#38;b&c&unknown;&#55296;&#0;&">', "/x?a&#38;b&c&unknown;&#55296;&#0;&"),
     (b'<a href="/no">1</a><a href="/first" id=redirect>2</a><a id="redirect" href="/second">', "/first"),
     (b'<a data-id="redirect" href="/no">', None), (b'<a id="redirected" href="/no">', None),
     (b'<abbr id="redirect" href="/no">', None), (b'<a id="redirect">', None),

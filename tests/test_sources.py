@@ -49,6 +49,18 @@ def test_read_pmc_oa_last_line_wins_and_quotes_are_text(spark, tmp_path):
     assert got == {"PMC1": ("oa/3.tar.gz", "PMID:9", "CC0"), "PMC2": ("oa/2.tar.gz", "", "NO-CC CODE")}
 
 
+def test_short_lines_of_the_archive_list_are_error_rows(spark, tmp_path):
+    path = write(tmp_path / "oa.txt", "2020-09-11\ta\tb\tc\td\noa/1.tar.gz\tc\tPMC1\t\tCC0\noa/2.tar.gz\tPMC2\n\n")
+    assert [r["pmcid"] for r in sources.read_pmc_oa(spark, path).collect()] == ["PMC1"]
+    assert sorted(r["line"] for r in sources.read_pmc_oa_errors(spark, path).collect()) == ["", "oa/2.tar.gz\tPMC2"]
+
+
+def test_lines_that_are_not_json_are_error_rows(spark, tmp_path):
+    path = write(tmp_path / "biblio.jsonl", '{"doi": "10.1/a"}\n{"doi": \nnot json\n')
+    assert [r["doi"] for r in sources.read_biblio(spark, path).collect()] == ["10.1/a"]
+    assert sorted(r["line"] for r in sources.read_record_errors(spark, path).collect()) == sorted(["not json", "{\"doi\": "])
+
+
 def test_read_pub_map(spark, tmp_path):
     path = write(tmp_path / "map.csv.gz", gzip.compress(b"doi,pii,pmid,pdf\n10.1/A,S1,,one.pdf\n,S2,,two.pdf\n10.1/a,,,three.pdf\n"))
     got = {(r["kind"], r["key"]): r["pdf"] for r in sources.read_pub_map(spark, path).collect()}

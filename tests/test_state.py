@@ -64,6 +64,12 @@ def test_a_run_that_died_before_its_commit_leaves_no_trace(spark, tmp_path):
     assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == ["a", "b"]
 
 
+def test_the_last_put_holds_a_key(spark):
+    put = spark.createDataFrame([("z", "10.1/a", 1), ("b", "10.1/a", 2)], "id string, doi string, at int")
+    held = lambda keys: keys.where("kind = 'doi'").first()["id"]
+    assert held(latest_keys(put, "at")) == "b" and held(latest_keys(put)) == "z"
+
+
 def test_open_records_survive_the_state(spark, tmp_path):
     root = str(tmp_path / "s")
     row = conform(spark.sql("""select 'a' as id, parse_json('{"x": [1, {"y": null}]}') as raw"""), ENTRY)
