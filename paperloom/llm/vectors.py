@@ -19,8 +19,6 @@ from paperloom.llm.shared import stored
 SAMPLE, LISTS, CODES, SUBSPACES, STEPS = 16_384, 1024, 16, 16, 10
 # Vectors of a shelf, the unit that is compared with itself and with each other one.
 SHELF = 1024
-# A list is probed if a neighbour there need not lie further off than so many standard deviations.
-SPREAD = 3.0
 
 
 @dataclass(frozen=True)
@@ -118,13 +116,15 @@ def tile_links(index: Index, cosine: float) -> Callable:
         }
 
     def probes(q: dict, lists: np.ndarray) -> np.ndarray:
-        """Which of `lists` each query probes: it is near enough to the border with its own list."""
+        """Which of `lists` each query probes: all that a vector within reach can be at home in, whatever way it lies.
+
+        That a list is further off than the own one, in squares, changes by at most 2 * between per step.
+        """
         d = squared_distances(q["x"], index.centroids[lists])
         own = index.centroids[q["list"]]
         at_home = ((q["x"] - own) ** 2).sum(1)
         between = np.sqrt(np.maximum(squared_distances(own, index.centroids[lists]), 0))
-        margin = min(reach, SPREAD * reach / math.sqrt(index.dim))
-        return d - at_home[:, None] <= 2 * margin * between + 1e-9
+        return d - at_home[:, None] <= 2 * reach * between + 1e-9
 
     def links(q: dict, m: dict, alone: bool) -> np.ndarray:
         """Whether query and member are linked, each pair once."""
