@@ -36,10 +36,13 @@ class SegmentTree:
             self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     def find(self, at: int) -> tuple[int, int]:
-        """Segment that holds character `at`, and the place in it; the end of the text is in the last one."""
-        if at >= self.chars[1]:
-            return len(self.parts) - 1, len(self.parts[-1])
+        """Segment that holds character `at`, and the place in it; the end of the text is in the last one
+        that is not empty, as text put there continues its last word."""
         node = 1
+        if at >= self.chars[1]:
+            while node < self.width:
+                node = 2 * node + (self.chars[2 * node + 1] > 0)
+            return node - self.width, self.chars[node]
         while node < self.width:
             node *= 2
             if at >= self.chars[node]:
