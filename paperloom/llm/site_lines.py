@@ -21,8 +21,9 @@ def lines_of(text: Column) -> Column:
 def boilerplate(pages: DataFrame, max_share: float, min_pages: int) -> DataFrame:
     """(host, page, keys): for each text (host, page) with boilerplate lines, the keys of these.
 
-    `pages` has host, page and text. Copies of a text on a host are counted first, so a text on a
-    third of all pages is split into lines once. Page counts are map-side sums by (host, line).
+    `pages` has host, page and text of every page: one with a null text has no lines, but counts for its
+    host. Copies of a text on a host are counted first, so a text on a third of all pages is split into
+    lines once. Page counts are map-side sums by (host, line).
     """
     texts = pages.groupBy("host", "page").agg(F.count("*").alias("copies"), F.min("text").alias("text"))
     full = F.filter(lines_of(F.col("text")), lambda line: line.rlike(WORD))
@@ -52,7 +53,7 @@ def drop_boilerplate(
         F.unhex(F.md5(F.coalesce(F.col("row")[text], F.lit("")))).alias("page"),
     )
     pages = rows.select("host", "page", F.col("row")[text].alias("text"))
-    found = stored(boilerplate(pages.where(F.col("text").isNotNull()), max_share, min_pages), "boilerplate")
+    found = stored(boilerplate(pages, max_share, min_pages), "boilerplate")
     joined = rows.join(found, ["host", "page"], "left").select(
         "row", lines_of(F.col("row")[text]).alias("lines"), F.coalesce("keys", F.array().cast("array<binary>")).alias("keys"))
     kept = F.when(F.size("keys") == 0, F.col("lines")).otherwise(
