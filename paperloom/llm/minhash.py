@@ -66,7 +66,8 @@ def _shingle_sets(raws: list[bytes], width: int) -> Iterator[np.ndarray]:
     bounds = np.searchsorted(starts, np.cumsum([0] + [len(r) + 1 for r in raws]))
     rolled = words.copy()
     for k in range(1, width):
-        rolled[:len(words) - k] = mixed(rolled[:len(words) - k] * np.uint64(STEP) + words[k:])
+        n = max(0, len(words) - k)
+        rolled[:n] = mixed(rolled[:n] * np.uint64(STEP) + words[k:])
     for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         if last - first >= width:
             yield np.unique(rolled[first:last - width + 1])
