@@ -97,7 +97,8 @@ def read_records(spark: SparkSession, path: str, shuffle_seed: int | None = None
     """(doc_id, start, n_tokens, ids) of every record; `start` counts the ids before it.
 
     With a seed, each file is read through its index in an order that the seed and the file's
-    name decide. Damaged records raise an error.
+    name decide. Damaged records raise an error, and so does a file that has not the records and
+    tokens that the manifest says.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -108,22 +109,31 @@ def read_records(spark: SparkSession, path: str, shuffle_seed: int | None = None
                 data = posixpath.join(base, f"{file['name']}.records")
                 if shuffle_seed is None:
                     with store.open_input_stream(data) as stream:
-                        yield from tables(in_order(stream, file["start"]))
+                        yield from tables(in_order(stream, file))
                 else:
                     with store.open_input_stream(posixpath.join(base, f"{file['name']}.index")) as stream:
                         index = np.frombuffer(stream.read(), dtype="<u8").reshape(-1, 2)
                     with store.open_input_file(data) as stream:
                         yield from tables(by_index(stream, index, file))
 
-    def in_order(stream, start: int) -> Iterator[tuple]:
+    def whole(file: dict, n_records: int, n_tokens: int) -> None:
+        if (n_records, n_tokens) != (file["n_records"], file["n_tokens"]):
+            raise ValueError(f"{file['name']} has {n_records} records and {n_tokens} tokens, "
+                             f"not {file['n_records']} and {file['n_tokens']}")
+
+    def in_order(stream, file: dict) -> Iterator[tuple]:
+        start, n_records = file["start"], 0
         while (payload := unframe(stream)) is not None:
             n = (len(payload) - DOC_SIZE) // payload[1]
             yield start, n, payload
             start += n
+            n_records += 1
+        whole(file, n_records, start - file["start"])
 
     def by_index(stream, index: np.ndarray, file: dict) -> Iterator[tuple]:
         # Beside the frame of 16 bytes, a record is its id and the tokens.
         n = (index[:, 1].astype("i8") - 16 - DOC_SIZE) // file["width"]
+        whole(file, len(n), int(n.sum()))
         starts = file["start"] + np.cumsum(n) - n
         seed = zlib.crc32(f"{shuffle_seed}/{file['part']}".encode())
         for at in np.random.default_rng(seed).permutation(len(index)).tolist():
