@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import (
-    edit_counts, host_quality, language, minhash, mixing, packing, records, sharding, site_lines, vectors,
+    decontamination, edit_counts, host_quality, language, minhash, mixing, packing, records, sharding, site_lines,
+    spelling, vectors, whitening,
 )
 from paperloom.llm.shared import stored
 from paperloom.llm.tokens import tokenizer_path
@@ -81,6 +82,56 @@ def host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *host_quality.MEASURES, "base_failed", "host_rate", "kept")
 
 
+def whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector and component; no rows where vectors have no spread. Vectors without
+    finite entries are left out, repeated rows come each time."""
+    given = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    model = whitening.fit(given)
+    whitened = whitening.whiten(given, model)
+    error = whitening.identity_error(whitened, model.n, len(model.variances))
+    rows = whitened.select(F.col("key").alias("vec_id"), "deviation", F.posexplode("whitened").alias("place", "value"))
+    explained = F.array(*map(F.lit, model.explained.tolist())) if len(model.explained) else F.lit(None).cast("array<double>")
+    return rows.select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation",
+        F.col("value").alias("whitened"), F.get(explained, F.col("place")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"))
+
+
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document, repeated ones and those without text included."""
+    tests = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    scanned = decontamination.scan(documents(spark, sf_dir).select("doc_id", "text"), tests)
+    hit = decontamination.n_hit(F.col("spans"))
+    return scanned.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per word of the vocabulary."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+# Test items and texts as word lists; a window of the test set is hit wherever it stands.
+BENCHMARK_HITS = """
+WITH letters AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), big, small), word) AS w FROM documents, letters),
+tests AS (SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''), big, small), word) AS w FROM benchmark, letters),
+sized AS (SELECT item_id, w, least(10, len(w)) AS size FROM tests WHERE len(w) > 0),
+starts AS (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM sized),
+windows AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS run FROM starts),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size),
+runs AS (SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS run FROM places),
+hits AS (SELECT r, size, i, item_id FROM runs JOIN windows USING (size, run)),
+marked AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS place FROM hits) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (r) LEFT JOIN named USING (r)
+"""
+
 REGISTRY = {
     "op1_near_vectors": near_vectors,
     "op2_binary_records": binary_records,
@@ -92,5 +143,8 @@ REGISTRY = {
     "op8_balanced_shards": balanced_shards,
     "op9_source_mix": source_mix,
     "op10_host_quality": host_quality_rules,
+    "op11_whitened_vectors": whitened_vectors,
+    "op12_benchmark_hits": benchmark_hits,
+    "op13_spelling_variants": spelling_variants,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_benchmark_hits": BENCHMARK_HITS}

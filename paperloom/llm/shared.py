@@ -1,5 +1,8 @@
 """Helpers that several operators use."""
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,3 +47,16 @@ def running_before(totals: DataFrame, value: str, within: list[str]) -> DataFram
     return totals.withColumn("block", block).join(blocks, [*within, "block"]).withColumn(
         "before", F.col("to_block") + F.coalesce(F.sum(value).over(inside), F.lit(0))
     ).drop("block", "to_block")
+
+
+# Bytes of a piece of text, and what no word holds: ASCII other than letters and digits.
+PIECE, BREAK = 1 << 20, re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """The text in pieces of a little over PIECE bytes, none of which ends inside a word."""
+    start = 0
+    while len(text) - start > PIECE and (found := BREAK.search(text, start + PIECE)):
+        yield text[start:found.start()]
+        start = found.start()
+    yield text[start:]
