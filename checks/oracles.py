@@ -43,8 +43,12 @@ def _id_case() -> str:
 
 
 PARTS["files"] = f"""
-select path, {_id_case()} as id, {_kind_case()} as kind, file, size
-from (select path, size, string_split(path, '/')[-1] as file from fx_files) f"""
+select *, coalesce(case when kind = 'pdf' then starts_with(head_hex, '255044462D')
+    when starts_with(kind, 'thumb') then starts_with(head_hex, '89504E470D0A1A0A')
+    when kind in ('json', 'ref_annotations') then head_hex <> '' and json_valid(decode(unhex(head_hex)))
+    else starts_with(head_hex, '3C3F786D6C') end, false) as valid
+from (select path, {_id_case()} as id, {_kind_case()} as kind, file, size, head_hex
+  from (select path, size, head_hex, string_split(path, '/')[-1] as file from fx_files) f) k"""
 PARTS["pmc"] = """
 select pmcid, subpath, pmid, license from fx_pmc_oa
 qualify row_number() over (partition by pmcid order by line_no desc) = 1"""
@@ -90,7 +94,7 @@ def _legacy(entries: str) -> str:
     stem = f"'{LEGACY_ROOT}/' || {_path('e.id')} || e.id"
     return f"""
 select * from (
-  select e.id, case when exists (select 1 from files f where f.id = e.id and f.kind = 'pdf' and f.size > 0) then {stem} || '.pdf' end as pdf_path,
+  select e.id, case when exists (select 1 from files f where f.id = e.id and f.kind = 'pdf' and f.valid) then {stem} || '.pdf' end as pdf_path,
     case when exists (select 1 from files f where f.id = e.id and f.kind = 'nxml') then {stem} || '.nxml' end as nxml_path
   from {entries} e) x
 where pdf_path is not null or nxml_path is not null"""
@@ -221,6 +225,20 @@ oracle("pmc_lookup", f"""
 select e.id, '{PMC_ARCHIVE_BASE}' || o.subpath as url, o.license from fx_entries e join pmc o on o.pmcid = e.pmcid""")
 oracle("choose_location", "select doi, url from loc")
 oracle("legacy_lookup", _legacy("fx_entries"))
+_OPEN = "(coalesce(e.oa_link, '') <> '' and not coalesce(e.has_valid_pdf, false))"
+PARTS["asked"] = """
+select * replace (has_valid_tei as has_valid_pdf, case when pmid is not null then coalesce(oa_link, 'https://example.org/lost') end as oa_link)
+from fx_entries"""
+oracle("reuse_legacy", f"""
+select e.id, case when {_OPEN} and h.id is not null then coalesce(l.url, e.oa_link) else e.oa_link end as oa_link,
+  coalesce(e.has_valid_oa_url, false) as has_valid_oa_url,
+  coalesce(e.has_valid_pdf, false) or ({_OPEN} and h.pdf_path is not null) as has_valid_pdf
+from asked e left join ({_legacy("asked")}) h on h.id = e.id
+left join (select * from loc where url is not null) l on l.doi = {_doi('e.doi')}""")
+oracle("reuse_legacy_copies", f"""
+select h.id, k.kind, case k.kind when 'pdf' then pdf_path else nxml_path end as source
+from ({_legacy("asked")}) h join asked e on e.id = h.id and {_OPEN}, (values ('pdf'), ('nxml')) k(kind)
+where case k.kind when 'pdf' then pdf_path else nxml_path end is not null""")
 PARTS["linked"] = _linked("fx_entries")
 oracle("resolve_oa_link", "select id, doi, oa_link, oa_source, has_valid_oa_url, has_valid_pdf from linked")
 oracle("missing_entries", "select kind, key, id from fx_id_map where id not in (select id from fx_entries)")
@@ -355,7 +373,7 @@ oracle("state_versions", "select 'entry' as kind, doi as key, id from updated_en
 oracle("select_failed", "select id from fx_entries where not has_valid_oa_url or not has_valid_pdf or not has_valid_tei")
 oracle("select_failed_with_extras", "select id from fx_entries where not (" + " and ".join(FLAGS) + ")")
 oracle("advance_flags", "select id, has_valid_oa_url, " + ", ".join(
-    f"{flag} or id in (select id from files where kind = '{kind}' and size > 0) as {flag}"
+    f"{flag} or id in (select id from files where kind = '{kind}' and valid) as {flag}"
     for flag, kind in (("has_valid_pdf", "pdf"), ("has_valid_tei", "pdf_tei"),
                        ("has_valid_ref_annotation", "ref_annotations"), ("has_valid_thumbnail", "thumb_small"))
 ) + " from fx_entries")
@@ -422,6 +440,19 @@ select id, oa_link as url, class, id || case when class = 'archive' then '.tar.g
   nullif(lower(regexp_extract(oa_link, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]+)', 1)), '') as host
 from (select *, case when starts_with(oa_link, 'file://') then 'file' when ends_with(oa_link, '.tar.gz') then 'archive' else 'direct' end as class
   from linked where not has_valid_pdf and oa_link is not null) x""")
+# Every step of the way from a first address on; a step is final if no further one follows from it.
+oracle("redirect_plan", """
+select * from (with recursive links as (
+  select url, starts_with(page, '%PDF-') as is_pdf, case when not starts_with(page, '%PDF-')
+    then nullif(replace(regexp_extract(page, 'id="redirect" href="([^"]*)"', 1), '&amp;', '&'), '') end as link
+  from (select url, decode(unhex(payload_hex)) as page from fx_hops) p),
+steps as (
+  select id, url, url as last_url, [url] as seen, 0 as round from fx_starts
+  union all select s.id, s.url, l.link, list_append(s.seen, l.link), s.round + 1 from steps s join links l on l.url = s.last_url
+  where l.link is not null and not list_contains(s.seen, l.link) and s.round < 5)
+select s.id, s.url, s.last_url, s.round, case when l.url is null then 'fetch' when l.is_pdf then 'pdf' when l.link is null then 'end'
+  when list_contains(s.seen, l.link) then 'loop' else 'too_many' end as outcome
+from (select * from steps qualify row_number() over (partition by id order by round desc) = 1) s left join links l on l.url = s.last_url) x""")
 oracle("apply_fetch_results", """
 select e.id, has_valid_pdf or coalesce(t.status = 'success' and p.good, false) as has_valid_pdf,
   case when t.status is null then 'none' when t.status = 'failed' then 'failed' when coalesce(p.good, false) then 'success' else 'invalid' end as fetch_status
@@ -455,6 +486,11 @@ oracle("place_artifacts", "select * from (" + " union all ".join(
                        ("ref_annotations", "has_valid_ref_annotation"), ("thumb_small", "has_valid_thumbnail"),
                        ("thumb_medium", "has_valid_thumbnail"), ("thumb_large", "has_valid_thumbnail"))) + ") x")
 
+oracle("place_found_artifacts", "select id, kind, min(path) as source, " + _path("id") + " || id || case kind "
+       + " ".join(f"when '{k}' then '{x}'" for k, x in ARTIFACT_SUFFIXES.items()) + """ end as path
+from files where kind in ('pdf', 'nxml', 'pdf_tei', 'json', 'ref_annotations', 'thumb_small', 'thumb_medium', 'thumb_large')
+  and (kind <> 'pdf' or valid) and id in (select id from fx_entries) group by id, kind""")
+
 # Through files
 oracle("release_files", "select cord_uid, sha, source_x, " + ", ".join(
     f"nullif({c}, '') as {c}" for c in ("title", "doi", "pmcid", "pubmed_id", "license", "abstract", "publish_time", "url"))
@@ -471,6 +507,14 @@ oracle("artifact_scan", "select id, kind, id || suffix as file, octet_length(enc
        + "case page_id % 7 " + " ".join(f"when {i} then '{k}'" for i, k in enumerate(("pdf", "pdf_tei", "json", "ref_annotations", "thumb_small", "nxml", "jats_tei")))
        + " end as kind, case page_id % 7 " + " ".join(f"when {i} then '{ARTIFACT_SUFFIXES[k]}'" for i, k in enumerate(("pdf", "pdf_tei", "json", "ref_annotations", "thumb_small", "nxml", "jats_tei")))
        + " end as suffix from pages) x")
+_KINDS = ("pdf", "pdf_tei", "json", "ref_annotations", "thumb_small", "nxml", "jats_tei")
+_PAGE_KIND = "case page_id % 7 " + " ".join(f"when {i} then '{k}'" for i, k in enumerate(_KINDS)) + " end"
+oracle("artifact_validity", f"""
+select id, kind, cast(case when page_id % 3 = 0 then case when page_id % 2 = 0 then n else 0 end
+  when kind = 'pdf' then 9 + n when kind = 'thumb_small' then 8 + n when kind in ('json', 'ref_annotations')
+  then 3 + 300 * length(cast(page_id as varchar)) + case when page_id % 4 <> 0 then 1 else 0 end else 23 + n end as bigint) as size,
+  page_id % 3 <> 0 and (kind not in ('json', 'ref_annotations') or page_id % 4 <> 0) as valid
+from (select page_id, octet_length(encode(html)) as n, substr(md5(cast(page_id as varchar)), 1, 12) as id, {_PAGE_KIND} as kind from pages) x""")
 oracle("official_scan", """
 select case when page_id % 2 = 0 then 'pmc' else 'pdf' end as kind,
   case when page_id % 2 = 0 then 'PMC' || page_id else md5(cast(page_id as varchar)) end as key from pages""")
@@ -482,6 +526,19 @@ select 'a' || page_id as id, case when page_id % 11 <> 0 and page_id % 5 <> 0 th
   page_id % 11 = 0 or page_id % 5 = 0 as no_pdf, page_id % 11 = 0 as failed from pages"""
 oracle("extract_archives", _ARCHIVES)
 oracle("archive_files", _ARCHIVES)
+_KEY = f"{_path('id')} || id"
+oracle("archives_to_tree", f"""
+select id, 'pdf' as kind, {_KEY} || '.pdf' as path, cast(9 + n as bigint) as size, md5('%PDF-1.7 ' || html) as md5, null as error from packed
+where page_id % 11 <> 0 and page_id % 5 <> 0
+union all select id, 'nxml', {_KEY} || '.nxml', n, md5(html), null from packed where page_id % 11 <> 0 and page_id % 3 <> 0
+union all select id, 'pdf', null, null, null, 'no pdf' from packed where page_id % 11 <> 0 and page_id % 5 = 0
+union all select id, null, null, null, null, 'ReadError' from packed where page_id % 11 = 0""",
+       {"packed": "select 'a' || page_id as id, page_id, html, octet_length(encode(html)) as n from pages"})
+oracle("place_files", f"""
+select id, kind, {_KEY} || suffix as path, n as size, n as size_there, null as error from placed
+union all select id, 'nxml', null, null, null, 'gone' from placed where kind = 'pdf'""",
+       {"placed": f"""select *, case kind {" ".join(f"when '{k}' then '{x}'" for k, x in ARTIFACT_SUFFIXES.items())} end as suffix
+from (select octet_length(encode(html)) as n, substr(md5(cast(page_id as varchar)), 1, 12) as id, {_PAGE_KIND} as kind from pages) x"""})
 oracle("decompress", """
 select page_id as id, case when page_id % 3 <> 1 then md5(html) end as payload_md5, page_id % 3 <> 1 as usable from pages""")
 oracle("convert_files", f"""
@@ -502,4 +559,5 @@ oracle("stream_waterfall", f"""
 select n as n_total, n as n_invalid_url, n as n_invalid_pdf, n as n_invalid_tei, cast(0 as bigint) as n_fully_valid,
   cast(0 as bigint) as n_valid_url, cast(0 as bigint) as n_valid_pdf, cast(0 as bigint) as n_valid_tei, 0 as batch
 from (select count(*) as n from fx_entries) x
-union all select *, 1 from waterfall""", {"waterfall": _WATERFALL})
\ No newline at end of file
+union all select *, 1 from waterfall union all select *, 2 from waterfall""", {"waterfall": _WATERFALL})
+oracle("stream_entries", f"select id, doi, oa_link, {', '.join(FLAGS)} from fx_entries")

@@ -13,6 +13,7 @@ from checks.views import LEGACY_ROOT, PUB_BASE, TABLES, view
 from paperloom import functions as fn
 from paperloom import plans, sinks, sources, streaming
 from paperloom.operators import archives, coverage, dedup, fetch, lookup, reports, upsert
+from paperloom.files import file_uri
 from paperloom.operators.joins import shuffle_tasks, spread_join
 from paperloom.plans import Snapshots, ingest_ids, ingest_release, resolve_oa_link
 from paperloom.plans import sample as take_sample
@@ -47,7 +48,13 @@ class Views:
 
     @property
     def artifacts(self) -> DataFrame:
-        return artifact_index(self.files)
+        return artifact_index(self.files.select("path", "size"))
+
+    @property
+    def judged(self) -> DataFrame:
+        """The files with a verdict on their content."""
+        heads = self.files.select("path", "size", F.unhex("head_hex").alias("head"))
+        return fn.judge_artifacts(artifact_index(heads)).drop("head")
 
     @property
     def payload_bytes(self) -> DataFrame:
@@ -58,7 +65,7 @@ class Views:
         return Snapshots(
             biblio=self.biblio, fallback=self.crossref.drop("reference"),
             pub_map=sources.index_pub_map(self.pub_map), pub_files=self.pub_files,
-            legacy=self.artifacts, pmc_oa=sources.index_pmc_oa(self.pmc_oa),
+            legacy=self.judged, pmc_oa=sources.index_pmc_oa(self.pmc_oa),
             locations=lookup.choose_flat_location(self.oa_loc),
             pub_base=PUB_BASE, legacy_root=LEGACY_ROOT,
         )
@@ -184,7 +191,24 @@ def choose_location(v):
 
 @query
 def legacy_lookup(v):
-    return lookup.legacy_lookup(v.entries, v.artifacts, LEGACY_ROOT)
+    return lookup.legacy_lookup(v.entries, v.judged, LEGACY_ROOT)
+
+
+def _reused(v) -> tuple[DataFrame, DataFrame]:
+    """Entries of which some with a file in the older tree lack a PDF, and some of these a link."""
+    link = F.when(F.col("pmid").isNotNull(), F.coalesce("oa_link", F.lit("https://example.org/lost")))
+    entries = v.entries.withColumns({"has_valid_pdf": F.col("has_valid_tei"), "oa_link": link})
+    return lookup.reuse_legacy(entries, v.judged, lookup.choose_flat_location(v.oa_loc), LEGACY_ROOT)
+
+
+@query
+def reuse_legacy(v):
+    return _reused(v)[0].select("id", "oa_link", "has_valid_oa_url", "has_valid_pdf")
+
+
+@query
+def reuse_legacy_copies(v):
+    return _reused(v)[1]
 
 
 @query
@@ -363,7 +387,7 @@ def select_failed_with_extras(v):
 
 @query
 def advance_flags(v):
-    return upsert.advance_flags(v.entries, v.artifacts).select("id", *FLAGS)
+    return upsert.advance_flags(v.entries, v.judged).select("id", *FLAGS)
 
 
 @query
@@ -408,6 +432,12 @@ def fetch_plan(v):
     )
 
 
+@query
+def redirect_plan(v):
+    pages = v.hops.select("url", F.unhex("payload_hex").alias("payload"))
+    return fetch.redirect_plan(v.starts, pages)
+
+
 @query
 def apply_fetch_results(v):
     done = fetch.apply_fetch_results(v.entries, v.attempts, v.payload_bytes)
@@ -440,6 +470,11 @@ def place_artifacts(v):
     return sinks.place_artifacts(v.entries)
 
 
+@query
+def place_found_artifacts(v):
+    return sinks.place_found(v.entries, v.judged)
+
+
 # Through files: derived from the tables, written with a sink, read with a source
 
 
@@ -540,6 +575,29 @@ def artifact_scan(v):
     return sources.scan_artifacts(v.spark, _put(v, _tree(v), "tree")).select("id", "kind", "file", "size")
 
 
+def _mixed_tree(v) -> DataFrame:
+    """A tree with one file per page, a third of which is not what its name says, or cut off."""
+    page = F.col("page_id")
+    html, tail = F.col("html"), F.col("page_id").cast("string")
+    right = (
+        F.when(F.col("kind") == "pdf", F.concat(F.lit("%PDF-1.7 "), html))
+        .when(F.col("kind").isin("pdf_tei", "nxml", "jats_tei"), F.concat(F.lit(" \n<?xml version='1.0'?>"), html))
+        .otherwise(F.concat(F.lit('["'), F.repeat(tail, 300), F.lit('"'), F.when(page % 4 != 0, F.lit("]")).otherwise(F.lit("")))))
+    content = F.when(page % 3 == 0, F.when(page % 2 == 0, html).otherwise(F.lit(""))).otherwise(right).cast("binary")
+    content = F.when((F.col("kind") == "thumb_small") & (page % 3 != 0), F.concat(F.lit(b"\x89PNG\r\n\x1a\n"), html.cast("binary"))).otherwise(content)
+    kinds = F.array(*[F.lit(k) for k in ("pdf", "pdf_tei", "json", "ref_annotations", "thumb_small", "nxml", "jats_tei")])
+    rows = v.table("pages").select("page_id", "html", F.element_at(kinds, (page % 7 + 1).cast("int")).alias("kind"))
+    article = F.substring(F.md5(F.col("page_id").cast("string")), 1, 12)
+    return rows.select(
+        F.concat(fn.storage_path(article), fn.artifact_name(article, F.col("kind"))).alias("path"), content.alias("content"))
+
+
+@query
+def artifact_validity(v):
+    """Files of a real tree, judged by what tasks read of them."""
+    return sources.scan_judged(v.spark, _put(v, _mixed_tree(v), "mixed")).select("id", "kind", "size", "valid")
+
+
 @query
 def official_scan(v):
     name = F.md5(F.col("page_id").cast("string"))
@@ -595,6 +653,30 @@ def archive_files(v):
     return _members_found(archives.extract_archives(sources.read_content(sources.scan_archives(v.spark, root), root)))
 
 
+@query
+def archives_to_tree(v):
+    """Archives unpacked into a tree; what is there is read again."""
+    files = _packed(v).select(F.concat("id", F.lit(".tar.gz")).alias("path"), "content")
+    root, tree = _put(v, files, "archives"), v.path("unpacked")
+    manifest = sinks.archives_to_tree(sources.scan_archives(v.spark, root), root, tree)
+    placed = manifest.where("error is null").select("id", "kind", F.col("path").alias("key"), "size")
+    whole = placed.withColumn("path", F.concat(F.lit(file_uri(tree) + "/"), "key"))
+    found = sources.read_content(whole, tree).select(
+        "id", "kind", F.col("key").alias("path"), "size", F.md5("content").alias("md5"), F.lit(None).cast("string").alias("error"))
+    return found.unionByName(manifest.where("error is not null").withColumn("md5", F.lit(None).cast("string")))
+
+
+@query
+def place_files(v):
+    """Copies of a tree's files in a second tree, and of files that are not there."""
+    root, target = _put(v, _tree(v), "tree"), v.path("copied")
+    found = sources.scan_artifacts(v.spark, root).select("id", "kind", F.col("path").alias("source"))
+    gone = found.where("kind = 'pdf'").select("id", F.lit("nxml").alias("kind"), F.concat("source", F.lit(".gone")).alias("source"))
+    manifest = sinks.place_files(found.unionByName(gone), target)
+    there = sources.scan_artifacts(v.spark, target).select("id", "kind", F.col("size").alias("size_there"))
+    return manifest.join(there, ["id", "kind"], "left").select("id", "kind", "path", "size", "size_there", "error")
+
+
 @query
 def decompress(v):
     @F.pandas_udf("binary")
@@ -711,16 +793,29 @@ def stream_first_seen(v):
     return v.spark.read.parquet(out)
 
 
+def _versions(v):
+    """Entries arrive three times: without any flag, then as they are, then half of them once more, older."""
+    folder = v.path("versions")
+    blank = v.entries.withColumns({f: F.lit(False) for f in FLAGS}).withColumn("version", F.lit(0))
+    older = v.entries.where("has_valid_pdf").withColumns({f: F.lit(True) for f in FLAGS}).withColumn("version", F.lit(0))
+    for at, rows in enumerate((blank, v.entries.withColumn("version", F.lit(1)), older)):
+        rows.write.parquet(f"{folder}/part{at}")
+        yield v.spark.readStream.schema(blank.schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
 @query
 def stream_waterfall(v):
-    """Entries arrive twice: first without any flag, then as they are."""
-    folder, root, out, progress = (v.path(n) for n in ("versions", "state", "counts", "progress"))
-    blank = v.entries.withColumns({f: F.lit(False) for f in FLAGS})
-    for at, rows in enumerate((blank, v.entries)):
-        rows.withColumn("version", F.lit(at)).write.parquet(f"{folder}/part{at}")
-        updates = (
-            v.spark.readStream.schema(blank.withColumn("version", F.lit(0)).schema)
-            .option("recursiveFileLookup", "true").parquet(folder)
-        )
-        streaming.stream_waterfall(updates, root, out, progress).awaitTermination()
-    return v.spark.read.parquet(out)
+    """The counts after each of the batches."""
+    out, progress = v.path("counts"), v.path("progress")
+    for updates in _versions(v):
+        streaming.stream_waterfall(updates, out, progress).awaitTermination()
+    return v.spark.read.parquet(f"{out}/counts")
+
+
+@query
+def stream_entries(v):
+    root, progress = v.path("state"), v.path("progress")
+    for at, updates in enumerate(_versions(v)):
+        if at < 2:
+            streaming.stream_entries(updates, root, progress).awaitTermination()
+    return sources.read_state(v.spark, root)[0].select("id", "doi", "oa_link", *FLAGS)

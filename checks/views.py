@@ -128,14 +128,18 @@ _X = ARTIFACT_SUFFIXES
 
 # Six files per article; which kinds they are differs from article to article.
 _FILES = f"""
-select concat(folder, substr(u,1,2), '/', substr(u,3,2), '/', substr(u,5,2), '/', substr(u,7,2), '/', u, '/', u, ext) as path, size
+select concat(folder, substr(u,1,2), '/', substr(u,3,2), '/', substr(u,5,2), '/', substr(u,7,2), '/', u, '/', u, ext) as path, size,
+  case when size = 0 then '' when n % 11 = 3 or n % 22 = 10 then hex('<html>moved</html>')
+    when ext like '%.pdf' then hex(concat('%PDF-1.5 ', u)) when ext like '%.png' then concat('89504E470D0A1A0A', hex(u))
+    when ext like '%.json' then hex(concat('["', u, case when n % 13 = 4 then '"' else '"]' end))
+    else hex(concat('<?xml version="1.0"?><article>', u, '</article>')) end as head_hex
 from (
-  select '' as folder, u, '{_X["json"]}' as ext, size from {_ARTICLES} d1
-  union all select '', u, case when n % 3 <> 0 then '{_X["pdf"]}' else '{_X["thumb_small"]}' end, size from {_ARTICLES} d2
-  union all select '', u, case when n % 3 = 1 then '{_X["pdf_tei"]}' else '{_X["ref_annotations"]}' end, size from {_ARTICLES} d3
-  union all select '', u, case when n % 10 = 0 then '{_X["nxml"]}' else '{_X["thumb_medium"]}' end, size from {_ARTICLES} d4
-  union all select '', u, case when n % 10 = 0 and n % 50 <> 0 then '{_X["jats_tei"]}' else '{_X["thumb_large"]}' end, size from {_ARTICLES} d5
-  union all select 'copies/', u, case when n % 20 = 0 then '{_X["nxml"]}' when n % 20 = 4 then '{_X["nlm"]}' else '.txt' end, size from {_ARTICLES} d6) x"""
+  select '' as folder, u, n, '{_X["json"]}' as ext, size from {_ARTICLES} d1
+  union all select '', u, n, case when n % 3 <> 0 then '{_X["pdf"]}' else '{_X["thumb_small"]}' end, size from {_ARTICLES} d2
+  union all select '', u, n, case when n % 3 = 1 then '{_X["pdf_tei"]}' else '{_X["ref_annotations"]}' end, size from {_ARTICLES} d3
+  union all select '', u, n, case when n % 10 = 0 then '{_X["nxml"]}' else '{_X["thumb_medium"]}' end, size from {_ARTICLES} d4
+  union all select '', u, n, case when n % 10 = 0 and n % 50 <> 0 then '{_X["jats_tei"]}' else '{_X["thumb_large"]}' end, size from {_ARTICLES} d5
+  union all select 'copies/', u, n, case when n % 20 = 0 then '{_X["nxml"]}' when n % 20 = 4 then '{_X["nlm"]}' else '.txt' end, size from {_ARTICLES} d6) x"""
 
 _OFFICIAL = """
 select concat('document_parses/pmc_json/PMC', cast(5000000 + 4 * doc_id as {S}), '.xml.json') as path from documents
@@ -169,6 +173,21 @@ select {_id('4 * page_id')} as id, url,
     else hex(html) end as payload_hex
 from pages"""
 
+# Pages that lead to one another in blocks of 16: two short ways to a PDF, one that is too long from its
+# first pages, two pages that name each other, an end, an address that nobody has fetched.
+_HOPS = """
+select concat('https://r.example/p?v=1&k=', cast(k as {S})) as url,
+  case when k % 16 in (3, 11) then hex(concat('%PDF-1.4 ', html)) when k % 16 = 14 then hex(concat('<html>', html, '</html>'))
+    else hex(concat('<a id="redirect" href="https://r.example/p?v=1&amp;k=',
+      case when k % 16 = 13 then cast(k - 1 as {S}) when k % 16 = 15 then concat('x', cast(k as {S})) else cast(k + 1 as {S}) end, '">go</a>')) end as payload_hex
+from (select page_id as k, html from pages) x"""
+
+# Addresses to fetch: a third of the articles share one, others lead beyond the pages.
+_STARTS = f"""
+select {_id('2 * doc_id')} as id, concat('https://r.example/p?v=1&k=',
+  cast(case when doc_id % 3 = 0 then 4 else doc_id end as {{S}})) as url
+from documents"""
+
 VIEWS = {
     "fx_meta": _META,
     "fx_pmc_oa": _PMC_OA,
@@ -184,6 +203,8 @@ VIEWS = {
     "fx_attempts": _ATTEMPTS,
     "fx_members": _MEMBERS,
     "fx_payloads": _PAYLOADS,
+    "fx_hops": _HOPS,
+    "fx_starts": _STARTS,
 }
 
 # The columns the views use, declared so that no query has to look into the files first.

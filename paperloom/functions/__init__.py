@@ -1,4 +1,4 @@
-from paperloom.functions.content import content_kind, is_valid, redirect_link
+from paperloom.functions.content import CONTENT_KINDS, content_kind, is_valid, judge_artifacts, redirect_link
 from paperloom.functions.identifiers import (
     artifact_name, artifact_parts, clean_doi, doi_key, present, publish_year,
     stable_id, storage_path, strip,
@@ -9,8 +9,8 @@ from paperloom.functions.urls import (
 )
 
 __all__ = [
-    "artifact_name", "artifact_parts", "canonical_json", "clean_doi", "contains_any",
-    "content_kind", "doi_key", "fetch_target", "init_flags", "is_valid", "join_url",
+    "CONTENT_KINDS", "artifact_name", "artifact_parts", "canonical_json", "clean_doi", "contains_any",
+    "content_kind", "doi_key", "fetch_target", "init_flags", "is_valid", "join_url", "judge_artifacts",
     "present", "prune_record", "publish_year", "redirect_link", "stable_id",
     "storage_path", "strip", "target_key", "transport_order", "url_class", "url_host",
 ]

@@ -1,6 +1,6 @@
 """What a fetched payload is, judged by its bytes."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.identifiers import present
@@ -11,6 +11,11 @@ SIGNATURES = {
     "png": b"\x89PNG\r\n\x1a\n",
     "gzip": b"\x1f\x8b",
 }
+# Content that a file of each artifact kind must have (fixed values).
+CONTENT_KINDS = {
+    "pdf": "pdf", "nxml": "xml", "nlm": "xml", "pdf_tei": "xml", "jats_tei": "xml", "json": "json",
+    "ref_annotations": "json", "thumb_small": "png", "thumb_medium": "png", "thumb_large": "png",
+}
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 
@@ -37,6 +42,15 @@ def is_valid(payload: Column, kind: Column | str) -> Column:
     return F.coalesce(content_kind(payload) == wanted, F.lit(False))
 
 
+def judge_artifacts(artifacts: DataFrame) -> DataFrame:
+    """`artifacts` (kind, head, ...) plus `valid`: whether a file's content is what its name says.
+
+    `head` is the start of the file, or all of a JSON file. Files of other kinds are not valid.
+    """
+    wanted = F.create_map(*[F.lit(x) for pair in CONTENT_KINDS.items() for x in pair])
+    return artifacts.withColumn("valid", is_valid(F.col("head"), F.element_at(wanted, F.col("kind"))))
+
+
 def _plain(token: Column) -> Column:
     """The character an entity stands for; any other token as it is."""
     digits = F.regexp_extract(token, "(?i)^&#(x?)([0-9a-f]+);$", 2)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperloom.functions import (
-    contains_any, doi_key, join_url, present, stable_id, storage_path,
+    contains_any, doi_key, init_flags, join_url, present, stable_id, storage_path,
 )
 from paperloom.operators.dedup import first_location
 from paperloom.operators.joins import Load, first_hit, key_load, probe_keys, spread_join
@@ -178,9 +178,12 @@ def choose_flat_location(locations: DataFrame, pmc_base: str = PMC_WEB_BASE) ->
 
 
 def legacy_lookup(entries: DataFrame, legacy: DataFrame, root: str) -> DataFrame:
-    """(id, pdf_path, nxml_path) of files that an older tree already holds for an entry."""
+    """(id, pdf_path, nxml_path) of files that an older tree already holds for an entry.
+
+    `legacy` has id, kind and `valid`. A PDF counts if its content is one; an NXML file if it is there.
+    """
     held = legacy.where(F.col("kind").isin("pdf", "nxml")).groupBy("id").agg(
-        F.bool_or((F.col("kind") == "pdf") & (F.col("size") > 0)).alias("pdf"),
+        F.bool_or((F.col("kind") == "pdf") & F.col("valid")).alias("pdf"),
         F.bool_or(F.col("kind") == "nxml").alias("nxml"),
     )
     stem = F.concat(F.lit(root.rstrip("/") + "/"), storage_path(F.col("id")), F.col("id"))
@@ -192,6 +195,32 @@ def legacy_lookup(entries: DataFrame, legacy: DataFrame, root: str) -> DataFrame
     ).where("pdf_path is not null or nxml_path is not null")
 
 
+def reuse_legacy(entries: DataFrame, legacy: DataFrame, locations: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """Entries that take over files of an older tree, and the copies (id, kind, source) to make.
+
+    Only entries with a link and without a valid PDF are looked at. A valid PDF of the older tree sets
+    their PDF flag. Whether PDF or NXML is taken over, the link becomes the online one again: the
+    location (doi, url) chosen for the DOI, if there is one, else it stays as it is. The others pass
+    as they are, without a shuffle.
+    """
+    flagged = init_flags(entries)
+    open_ = present(F.col("oa_link")).isNotNull() & ~F.col("has_valid_pdf")
+    asked = flagged.where(open_)
+    held = legacy_lookup(asked, legacy, root)
+    online = spread_join(
+        asked.select("id", doi_key(F.col("doi")).alias("doi")).where("doi is not null").join(held.select("id"), "id", "left_semi"),
+        locations.where("doi is not null and url is not null").select("doi", F.col("url").alias("_online")),
+        ["doi"], "inner", "id").select("id", "_online")
+    taken = asked.join(held, "id", "left").join(online, "id", "left").withColumns({
+        "has_valid_pdf": F.col("has_valid_pdf") | F.col("pdf_path").isNotNull(),
+        "oa_link": F.coalesce("_online", "oa_link"),
+    }).drop("pdf_path", "nxml_path", "_online")
+    files = F.array(F.struct(F.lit("pdf").alias("kind"), F.col("pdf_path").alias("source")),
+                    F.struct(F.lit("nxml").alias("kind"), F.col("nxml_path").alias("source")))
+    copies = held.select("id", F.inline(files)).where("source is not null")
+    return flagged.where(~open_).unionByName(taken.select(*flagged.columns)), copies
+
+
 def missing_entries(id_map: DataFrame, entries: DataFrame) -> DataFrame:
     """Map rows whose id has no entry: what a silent failure leaves behind."""
     rows = id_map.withColumn("_k", F.concat_ws(":", "kind", "key"))

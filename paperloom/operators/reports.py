@@ -30,6 +30,23 @@ def state_waterfall(entries: DataFrame) -> DataFrame:
     )
 
 
+def flag_classes(entries: DataFrame, *more: str) -> DataFrame:
+    """(id, oa_url, pdf, tei) of `entries`, and `more` columns: the flags of the waterfall, null counting as false."""
+    return entries.select("id", *more, *[
+        F.coalesce(F.col(f"has_valid_{n}"), F.lit(False)).alias(n) for n in ("oa_url", "pdf", "tei")])
+
+
+def waterfall_of(classes: DataFrame) -> DataFrame:
+    """The waterfall from counts (oa_url, pdf, tei, n) of entries per combination of flags."""
+    url, pdf, tei = F.col("oa_url"), F.col("pdf"), F.col("tei")
+    steps = {"n_total": F.lit(True), "n_invalid_url": ~url, "n_invalid_pdf": ~(url & pdf),
+             "n_invalid_tei": ~(url & pdf & tei), "n_fully_valid": url & pdf & tei}
+    counts = classes.agg(*[
+        F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(name) for name, c in steps.items()])
+    return counts.select(
+        "*", *[(F.col("n_total") - F.col(f"n_invalid_{s}")).alias(f"n_valid_{s}") for s in ("url", "pdf", "tei")])
+
+
 def identifier_integrity(id_map: DataFrame, entries: DataFrame) -> DataFrame:
     """Distinct ids of the map, and the number of map rows whose id has no entry.
 

@@ -96,9 +96,13 @@ def select_failed(entries: DataFrame, thumbnail: bool = False, annotation: bool
 
 
 def advance_flags(entries: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Flags set from the files found for an entry; a set flag is never taken back."""
+    """Flags set from the files found for an entry; a set flag is never taken back.
+
+    `artifacts` has id, kind and `valid`, which content decides: a file that is empty, or an error
+    page under the name of a PDF, sets nothing.
+    """
     found = kinds_by_article(
-        artifacts.where("size > 0"), found_pdf=("pdf",), found_tei=("pdf_tei",),
+        artifacts.where("valid"), found_pdf=("pdf",), found_tei=("pdf_tei",),
         found_ref_annotation=("ref_annotations",), found_thumbnail=("thumb_small",),
     )
     joined = init_flags(entries).join(found, "id", "left")

@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom import files as store
 from paperloom.functions import artifact_name, canonical_json, present, storage_path, target_key
 from paperloom.operators.coverage import extra, missed
 from paperloom.operators.reports import collection_rows
-from paperloom.sources.listings import file_uri
 from paperloom.values import ARTIFACT_SUFFIXES, ENTRY_JSON_NAMES, FLAGS, PUB_MAP_COLUMNS
 
 
@@ -132,20 +132,15 @@ def place_artifacts(entries: DataFrame) -> DataFrame:
 def write_payloads(files: DataFrame, root: str) -> None:
     """Write (path, content) rows, one file each, under `root`; tasks write on their own.
 
-    A retried task writes the same bytes to the same path again.
+    A file appears under its name when it is whole; a retried task puts the same bytes there again.
     """
-    uri = file_uri(root)
+    uri = store.file_uri(root)
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        target, base = fs.FileSystem.from_uri(uri)
+        target, base = store.store_of(uri)
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                full = f"{base.rstrip('/')}/{path}"
-                target.create_dir(full.rpartition("/")[0], recursive=True)
-                with target.open_output_stream(full, compression=None) as out:
-                    out.write(content)
+                store.write_file(target, f"{base}/{path}", [content])
             yield pd.DataFrame({"n": [len(batch)]})
 
     written = files.select("path", "content").mapInPandas(put, "n long")

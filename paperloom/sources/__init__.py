@@ -1,5 +1,5 @@
 from paperloom.sources.listings import (
-    index_official, list_files, read_content, scan_archives, scan_artifacts, scan_official,
+    index_official, list_files, read_content, read_heads, scan_archives, scan_artifacts, scan_judged, scan_official,
 )
 from paperloom.sources.lists import id_list_size, read_id_list
 from paperloom.sources.releases import read_release, shape_release
@@ -12,8 +12,8 @@ from paperloom.sources.state import read_commits, read_state
 
 __all__ = [
     "id_list_size", "index_official", "index_pmc_oa", "index_pub_map", "list_files", "read_biblio",
-    "read_commits", "read_content", "read_fallback", "read_id_list", "read_locations", "read_pmc_oa",
+    "read_commits", "read_content", "read_fallback", "read_heads", "read_id_list", "read_locations", "read_pmc_oa",
     "read_pmc_oa_errors", "read_record_errors",
     "read_pub_map", "read_publisher_meta", "read_release", "read_state", "scan_archives",
-    "scan_artifacts", "scan_official", "shape_release",
+    "scan_artifacts", "scan_judged", "scan_official", "shape_release",
 ]

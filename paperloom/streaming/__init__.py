@@ -1,5 +1,7 @@
 from paperloom.streaming.releases import (
-    release_stream, stream_first_seen, stream_releases, stream_waterfall,
+    flag_changes, release_stream, stream_entries, stream_first_seen, stream_releases, stream_waterfall,
 )
 
-__all__ = ["release_stream", "stream_first_seen", "stream_releases", "stream_waterfall"]
+__all__ = [
+    "flag_changes", "release_stream", "stream_entries", "stream_first_seen", "stream_releases", "stream_waterfall",
+]

@@ -1,15 +1,18 @@
 """Incremental runs as streams of release files and of entry versions."""
 
+from collections.abc import Iterator
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from paperloom.functions import present
 from paperloom.operators.dedup import last_wins
-from paperloom.operators.reports import state_waterfall
+from paperloom.operators.reports import flag_classes, waterfall_of
 from paperloom.plans.ingest import Snapshots, ingest_release
 from paperloom.schemas import ID_MAP
 from paperloom.sinks.state import write_state
@@ -78,21 +81,65 @@ def stream_first_seen(stream: DataFrame, event_time: str | None = None, lateness
     return keyed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(["cord_uid"])
 
 
-def stream_waterfall(updates: DataFrame, root: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Waterfall counts after each batch of entry versions, written to `out/batch=N`.
-
-    Entries that were counted may change, so the counts come from the state, not from sums.
-    """
+def stream_entries(updates: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Put every batch of entry versions (..., version) into the state under `root`, the last of each id."""
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         mark = f"{checkpoint}#{number}"
         if not any(c["batch"] == mark for c in read_commits(spark, root)):
             latest = last_wins(batch, ["id"], "version").drop("version")
             write_state(spark, root, latest, spark.createDataFrame([], ID_MAP), mark)
-        entries, _ = read_state(spark, root)
-        state_waterfall(entries).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
         updates.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+
+
+def flag_changes(updates: DataFrame) -> DataFrame:
+    """Stream of signed differences (oa_url, pdf, tei, n) of the counts per combination of flags.
+
+    The state store keeps the flags and the version of each entry. An entry that a batch changes is
+    looked up there alone: it leaves its old combination and joins its new one. A version that is
+    not newer than the one kept changes nothing.
+    """
+    names = ["oa_url", "pdf", "tei"]
+
+    def change(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = state.get if state.exists else None
+        new = old
+        for frame in frames:
+            last = frame.iloc[frame["version"].argmax()]
+            if new is None or last["version"] > new[3]:
+                new = (*[bool(last[n]) for n in names], int(last["version"]))
+        if new != old:
+            state.update(new)
+            rows = [(*new[:3], 1)] + ([(*old[:3], -1)] if old else [])
+            yield pd.DataFrame(rows, columns=[*names, "n"])
+
+    return flag_classes(updates, "version").groupBy("id").applyInPandasWithState(
+        change, "oa_url boolean, pdf boolean, tei boolean, n long",
+        "oa_url boolean, pdf boolean, tei boolean, version long", "update", GroupStateTimeout.NoTimeout)
+
+
+def stream_waterfall(updates: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Waterfall counts after each batch of entry versions (..., version), written to `out/counts/batch=N`.
+
+    A batch costs what it changes: its signed differences are summed up, a row per combination of
+    flags, and added to the counts that the batch before left under `out/classes`. Entries are
+    never counted again. A batch that is replayed writes the same counts again. For a state that
+    exists already, let its entries be the first batch.
+    """
+    def take(batch: DataFrame, number: int) -> None:
+        spark, names = batch.sparkSession, ["oa_url", "pdf", "tei"]
+        counts = batch.groupBy(*names).agg(F.sum("n").alias("n"))
+        if number:
+            counts = counts.unionByName(spark.read.parquet(f"{out}/classes/at={number - 1}"))
+        written = f"{out}/classes/at={number}"
+        counts.groupBy(*names).agg(F.sum("n").alias("n")).coalesce(1).write.mode("overwrite").parquet(written)
+        waterfall_of(spark.read.parquet(written)).write.mode("overwrite").parquet(f"{out}/counts/batch={number}")
+
+    return (
+        flag_changes(updates).writeStream.outputMode("update").foreachBatch(take)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )

@@ -91,7 +91,7 @@ def test_ladder_of_links(spark):
         entries,
         pub_map=spark.createDataFrame([("doi", "10.1/p", "p.pdf")], "kind string, key string, pdf string"),
         pub_files=spark.createDataFrame([("p.pdf",)], "pdf string"),
-        legacy=spark.createDataFrame([("leg", "pdf", 5), ("pmc", "pdf", 0), ("pmc", "nxml", 5)], "id string, kind string, size long"),
+        legacy=spark.createDataFrame([("leg", "pdf", True), ("pmc", "pdf", False), ("pmc", "nxml", True)], "id string, kind string, valid boolean"),
         pmc_oa=spark.createDataFrame([("PMC1", "oa/1.tar.gz", "CC")], "pmcid string, subpath string, license string"),
         locations=spark.createDataFrame([("10.1/l", "http://l")], "doi string, url string"),
         pub_base="/pub", legacy_root="/old",

@@ -69,7 +69,7 @@ def test_identifier_integrity_counts_rows_without_entry(spark):
 
 
 def test_flags_only_advance(spark):
-    held = artifact_index(spark.createDataFrame([("e0.pdf", 5), ("e1.pdf", 0), ("e2-thumb-small.png", 3), ("e3-ref-annotations.json", 1), ("e4.grobid.tei.xml", 1)], "path string, size long"))
+    held = artifact_index(spark.createDataFrame([("e0.pdf", True), ("e1.pdf", False), ("e2-thumb-small.png", True), ("e3-ref-annotations.json", True), ("e4.grobid.tei.xml", True)], "path string, valid boolean"))
     before = entries(spark, 30)
     after = upsert.advance_flags(before, held)
     both = before.alias("b").join(after.alias("a"), "id")

@@ -116,7 +116,7 @@ def empty_snapshots(spark):
     return Snapshots(
         biblio=none(f"rec_id long, {keys}"), fallback=none("rec_id long, doi string, title string"),
         pub_map=none("kind string, key string, pdf string"), pub_files=none("pdf string"),
-        legacy=none("id string, kind string, size long"),
+        legacy=none("id string, kind string, valid boolean"),
         pmc_oa=none("pmcid string, subpath string, license string"), locations=none("doi string, url string"),
         pub_base="/p", legacy_root="/l")
 
