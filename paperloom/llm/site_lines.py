@@ -10,30 +10,32 @@ MAX_SHARE, MIN_PAGES = 0.1, 5
 
 
 def line_key(line: Column) -> Column:
-    """128 bits that tell lines apart, whatever blanks stand around them."""
-    return F.unhex(F.md5(F.regexp_replace(line, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", "")))
+    """128 bits, in hexadecimal, that tell lines apart, whatever blanks stand around them."""
+    return F.md5(F.regexp_replace(line, "^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$", ""))
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def has_word(line: Column) -> Column:
+    return line.rlike(WORD)
+
+
 def boilerplate(pages: DataFrame, max_share: float, min_pages: int) -> DataFrame:
-    """(host, page, keys): for each text (host, page) with boilerplate lines, the keys of these.
+    """(host, keys): for each host with boilerplate lines, the keys of these.
 
-    `pages` has host, page and text of every page: one with a null text has no lines, but counts for its
-    host. Copies of a text on a host are counted first, so a text on a third of all pages is split into
-    lines once. Page counts are map-side sums by (host, line).
+    `pages` has host and text of every page: one with a null text has no lines, but counts for its
+    host. No text is shuffled: each page gives its distinct line keys, which are counted map-side by
+    (host, line). A boilerplate line is on a fixed share of the pages, so a host has no more of them
+    than a few times the lines of its average page.
     """
-    texts = pages.groupBy("host", "page").agg(F.count("*").alias("copies"), F.min("text").alias("text"))
-    full = F.filter(lines_of(F.col("text")), lambda line: line.rlike(WORD))
-    keys = F.explode(F.array_distinct(F.transform(full, line_key)))
-    lines = stored(texts.select("host", "page", "copies", keys.alias("key")), "lines")
-    totals = pages.groupBy("host").agg(F.count("*").alias("total"))
-    counts = lines.groupBy("host", "key").agg(F.sum("copies").alias("on_pages"))
-    enough = counts.where(F.col("on_pages") >= min_pages).join(totals, "host")
-    frequent = stored(enough.where(F.col("on_pages") > max_share * F.col("total")).select("host", "key"), "frequent")
-    return lines.join(frequent, ["host", "key"]).groupBy("host", "page").agg(F.collect_set("key").alias("keys"))
+    totals = stored(pages.groupBy("host").agg(F.count("*").alias("total")), "totals")
+    keys = F.array_distinct(F.transform(F.filter(lines_of(F.col("text")), has_word), line_key))
+    lines = pages.select("host", F.explode(keys).alias("key")).select("host", F.unhex("key").alias("key"))
+    counts = lines.groupBy("host", "key").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= min_pages)
+    frequent = counts.join(totals, "host").where(F.col("on_pages") > max_share * F.col("total"))
+    return frequent.groupBy("host").agg(F.collect_set(F.lower(F.hex("key"))).alias("keys"))
 
 
 def drop_boilerplate(
@@ -43,22 +45,22 @@ def drop_boilerplate(
     """(row, text, n_lines, n_dropped): each document's row with its text less boilerplate lines.
 
     The share of a line is the number of its host's pages that have it, over all pages of the host.
-    Each row of `docs` is a page; repeated rows count each time. Lines end at line feeds and are
-    compared without blanks around them; lines without a word are neither counted nor dropped.
-    Null is a host too. A null text stays null, without lines; a text may end up empty. `row` is
-    the unchanged row, so no column name can clash. An empty table gives no rows.
+    Each row of `docs` is a page; repeated rows count each time. `min_pages` keeps a line of a host of
+    few pages, where any line is on a large share of them: a host of one page has each line on all.
+    Lines end at line feeds and are compared without blanks around them; lines without a word are
+    neither counted nor dropped. Null is a host too. A null text stays null, without lines; a text may
+    end up empty. `row` is the unchanged row, so no column name can clash. An empty table gives no rows.
     """
-    rows = as_rows(docs).select(
-        "row", F.struct(F.col("row")[host].alias("name")).alias("host"),
-        F.unhex(F.md5(F.coalesce(F.col("row")[text], F.lit("")))).alias("page"),
-    )
-    pages = rows.select("host", "page", F.col("row")[text].alias("text"))
+    rows = as_rows(docs).select("row", F.struct(F.col("row")[host].alias("name")).alias("host"))
+    pages = rows.select("host", F.col("row")[text].alias("text"))
     found = stored(boilerplate(pages, max_share, min_pages), "boilerplate")
-    joined = rows.join(found, ["host", "page"], "left").select(
-        "row", lines_of(F.col("row")[text]).alias("lines"), F.coalesce("keys", F.array().cast("array<binary>")).alias("keys"))
-    kept = F.when(F.size("keys") == 0, F.col("lines")).otherwise(
-        F.filter("lines", lambda line: ~(line.rlike(WORD) & F.array_contains("keys", line_key(line)))))
-    cleaned = joined.select("row", "lines", kept.alias("left"))
+    split = rows.join(found, "host", "left").select("row", "keys", lines_of(F.col("row")[text]).alias("lines"))
+    own = F.transform("lines", lambda line: F.when(has_word(line), line_key(line)).otherwise(F.lit("")))
+    keyed = split.select("row", "lines", "keys", F.when(F.col("keys").isNotNull(), own).alias("own"))
+    marked = keyed.select("row", "lines", "own", F.array_intersect("own", "keys").alias("bad"))
+    kept = F.when(F.coalesce(F.size("bad"), F.lit(0)) <= 0, F.col("lines")).otherwise(
+        F.filter("lines", lambda line, i: ~F.array_contains("bad", F.get("own", i))))
+    cleaned = marked.select("row", "lines", kept.alias("left"))
     is_text = F.col("row")[text].isNotNull()
     return cleaned.select(
         "row", F.when(is_text, F.array_join("left", "\n")).alias("text"),
