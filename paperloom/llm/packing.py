@@ -14,22 +14,32 @@ ROWS = 4096
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
-    """Cut `n` tokens into whole sequences and then into ever smaller reciprocal classes."""
+    """Cut `n` tokens into whole sequences and then into ever smaller reciprocal classes.
+
+    Of a rest, the largest capacity / k that it holds is cut off, rounded down; what is left is less
+    than a k-th of it, so the rests shrink quadratically.
+    """
     whole, rest = divmod(n, capacity)
-    return [capacity] * whole + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
+    out = [capacity] * whole
+    while rest:
+        length = capacity // (capacity // (rest + 1) + 1)
+        out.append(length)
+        rest -= length
+    return out
 
 
 class Bins:
-    """The open bin of each class of one worker; class k takes k pieces of capacity / k tokens."""
+    """The open bin of each class of one worker; class k takes the pieces of capacity / k tokens, always as many."""
 
     def __init__(self, capacity: int, first: int):
         self.capacity, self.next, self.open = capacity, first, {}
 
     def close(self, pieces: list[tuple]) -> Iterator[tuple]:
-        length, sequence = pieces[0][2], self.next
+        sequence, at = self.next, 0
         self.next += 1
-        for at, (doc_id, start, _, n, piece) in enumerate(pieces):
-            yield doc_id, start, length, n, sequence, at * length, piece
+        for doc_id, start, length, n, piece in pieces:
+            yield doc_id, start, length, n, sequence, at, piece
+            at += length
 
     def add(self, doc_id: int | None, ids: bytes) -> Iterator[tuple]:
         n, start = len(ids) // 4, 0
@@ -37,26 +47,35 @@ class Bins:
             held = self.open.setdefault(length, [])
             held.append((doc_id, start, length, n, ids[4 * start:4 * (start + length)]))
             start += length
-            if len(held) * length == self.capacity:
+            if len(held) == self.capacity // length:
                 yield from self.close(self.open.pop(length))
 
     def rest(self) -> Iterator[tuple]:
-        """What is left in open bins, in sequences of a power of two, which need no padding."""
-        for held in self.open.values():
-            while held:
-                take = 1 << (len(held).bit_length() - 1)
-                yield from self.close(held[:take])
-                held = held[take:]
+        """What is left in open bins, cut anew: full sequences, then ones of a power of two."""
+        pieces = [p for held in self.open.values() for p in held][::-1]
+        left = sum(p[2] for p in pieces)
+        while pieces:
+            size = min(self.capacity, 1 << left.bit_length() - 1)
+            left, taken = left - size, []
+            while size:
+                doc_id, start, length, n, ids = pieces.pop()
+                if length > size:
+                    pieces.append((doc_id, start + size, length - size, n, ids[4 * size:]))
+                    length, ids = size, ids[:4 * size]
+                taken.append((doc_id, start, length, n, ids))
+                size -= length
+            yield from self.close(taken)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048) -> DataFrame:
     """Pieces (doc_id, start, length, doc_tokens, sequence_id, offset, ids) of every document.
 
-    A document, its ids and `end_id`, is cut into pieces whose lengths are capacity / k for k a
-    power of two. Bins of class k take exactly k such pieces and are full then. Each task packs the
-    rows of its own partition and holds at most one open bin per class; nothing is shuffled. Bins
-    that are open at the end of a partition are cut into sequences of a power of two, so no
-    sequence needs padding. `sequence_id` is unique; its upper bits are the task's number.
+    A document, its ids and `end_id`, is cut into pieces whose lengths are capacity / k, rounded down.
+    A bin takes pieces of one length, always as many as it holds; what a bin lacks to `capacity` is
+    less than one of its pieces. Each task packs the rows of its own partition and holds at most one
+    open bin per length, some ninety in all; nothing is shuffled. What is open at the end of a
+    partition is cut anew into full sequences and some of a power of two, which need no padding.
+    `sequence_id` is unique; its upper bits are the task's number.
 
     A null or empty text is the end id alone. Null ids and repeated rows are packed like any row.
     An empty table gives no rows. Columns other than doc_id and text are ignored.
