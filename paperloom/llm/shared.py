@@ -3,7 +3,7 @@
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,13 +16,29 @@ BLANKS = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+# Folders that `stored` has made in this process, oldest first.
+SCRATCH: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet to the shared folder and read it from there."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    SCRATCH.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that `stored` has made, for a caller whose own result was written.
+
+    Frames that still read from them are lost.
+    """
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        SCRATCH.remove(path)
+
+
 def words(text: Column) -> Column:
     """Array of the words of `text`; empty for null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
