@@ -8,8 +8,9 @@ from paperloom.llm.shared import WORD, as_rows, stored, words
 SYMBOLS = "[#*$%&|<>]"
 # Base rules: at least so many words, and at most this percentage of them in repeated windows.
 MIN_WORDS, MAX_REPEATED = 50, 50
-# A host whose shrunk failure rate is above this is rejected as a whole.
-MAX_HOST_RATE = 0.5
+# A host whose odds of failing are more than MAX_ODDS times those of all hosts, with a probability of
+# SURE, is rejected as a whole; Z is that probability's quantile of the normal distribution.
+MAX_ODDS, SURE, Z = 4.0, 0.95, 1.645
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -66,34 +67,57 @@ def measure(docs: DataFrame, text: Column, host: Column) -> DataFrame:
     return counted.select(*[c for c in counted.columns if c not in steps], failed.alias("base_failed"))
 
 
-def host_verdicts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def beta_prior(hosts: DataFrame) -> tuple[float, float | None]:
+    """(mean, weight) of a beta prior of the hosts' failure rates; the weight counts like pages.
+
+    Moments of the beta-binomial distribution, with hosts weighted by their pages: what rates vary
+    beyond the noise that so many pages have anyhow is spread between hosts. No weight: there is
+    none, and all hosts fail at the mean rate.
+    """
+    n, f = F.col("n_pages"), F.col("n_failed")
+    k, pages, failed, squares, rates = hosts.agg(
+        F.count("*"), F.sum(n), F.sum(f), F.sum(n.cast("double") * n), F.sum(f.cast("double") * f / n)).first()
+    mean = failed / pages if pages else 0.0
+    noise = mean * (1 - mean)
+    room = noise * (pages - squares / pages - (k - 1)) if pages else 0.0
+    if room <= 0:
+        return mean, None
+    share = (rates - pages * mean * mean - noise * (k - 1)) / room
+    return mean, 1 / min(share, 0.999) - 1 if share > 0 else None
+
+
+def host_verdicts(measured: DataFrame, max_odds: float = MAX_ODDS) -> DataFrame:
     """(host, n_pages, n_failed, host_rate, host_kept), one row per host; null is a host too.
 
-    The prior is a beta distribution whose mean and variance are those of the failure rates of all
-    hosts (method of moments). Where rates do not vary, or vary more than any beta distribution
-    can, the prior weighs as one page. A host's rate is (failed + a) / (pages + a + b).
+    A host's rate is (failed + weight * mean) / (pages + weight), the mean of its beta posterior. A host
+    is rejected if its odds of failing are above `max_odds` times those of the prior mean, with a
+    probability of SURE: the posterior mean less Z deviations is held against that limit. So the
+    limit follows the corpus, a host of few pages is not judged by chance, and where hosts do not
+    differ by more than chance none is rejected.
     """
-    hosts = measured.groupBy("host").agg(
-        F.count("*").alias("n_pages"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
-    rates = hosts.select((F.col("n_failed") / F.col("n_pages")).alias("rate"))
-    # One row; the numbers go into the plan as constants.
-    prior = rates.agg(F.avg("rate").alias("mean"), F.var_pop("rate").alias("var")).first()
-    mean, var = prior["mean"] or 0.0, prior["var"] or 0.0
-    weight = mean * (1 - mean) / var - 1 if var > 0 else 0.0
-    weight = weight if weight > 0 else 1.0
-    rate = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_pages") + F.lit(weight))
-    return hosts.withColumn("host_rate", rate).withColumn("host_kept", F.col("host_rate") <= max_rate)
-
-
-def judge(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    hosts = stored(measured.groupBy("host").agg(
+        F.count("*").alias("n_pages"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")), "hosts")
+    # Two numbers go into the plan as constants.
+    mean, weight = beta_prior(hosts)
+    if weight is None:
+        return hosts.withColumn("host_rate", F.lit(mean)).withColumn("host_kept", F.lit(True))
+    limit = max_odds * mean / (1 - mean + max_odds * mean)
+    total = F.col("n_pages") + F.lit(weight)
+    rate = (F.col("n_failed") + F.lit(mean * weight)) / total
+    surely = F.col("host_rate") - Z * F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (total + 1))
+    return hosts.withColumn("host_rate", rate).withColumn("host_kept", surely <= limit)
+
+
+def judge(measured: DataFrame, max_odds: float = MAX_ODDS) -> DataFrame:
     """Measured documents with their host's counts, rate and `kept`.
 
-    Hosts are counted with map-side sums, so a host with a third of the pages is a few rows. The
-    join has one row per host on one side; Spark broadcasts it if small, or splits skewed parts.
+    Hosts are counted with map-side sums, so a host with a third of the pages is a few rows. Verdicts
+    are written, one row per host, so Spark knows their size before it plans the join: it broadcasts
+    them if they are few, and else splits skewed parts.
     """
     # Marked keys, as null is a host too.
     keys = {"_no_host": F.col("host").isNull(), "_host": F.coalesce("host", F.lit(""))}
-    verdicts = host_verdicts(measured, max_rate).withColumns(keys).drop("host")
+    verdicts = stored(host_verdicts(measured, max_odds).withColumns(keys).drop("host"), "verdicts")
     joined = measured.withColumns(keys).join(verdicts, list(keys), "left").drop(*keys)
     return joined.withColumn("kept", ~F.col("base_failed") & F.col("host_kept"))
 

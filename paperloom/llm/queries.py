@@ -112,6 +112,45 @@ def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(documents(spark, sf_dir))
 
 
+# Lines by page and place; a line of a host is judged by its text without blanks around it.
+LINE_DEDUP = """
+WITH pages AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM pages),
+keyed AS (SELECT r, i, source, regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS key
+          FROM each WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
+counted AS (SELECT source, key, count(DISTINCT r) AS n FROM keyed GROUP BY source, key),
+frequent AS (SELECT c.source, key FROM counted c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= 5 AND n > 0.1 * total),
+bad AS (SELECT k.r, k.i FROM keyed k JOIN frequent f ON k.key = f.key AND k.source IS NOT DISTINCT FROM f.source),
+kept AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM each ANTI JOIN bad USING (r, i) GROUP BY r)
+SELECT doc_id, CASE WHEN p.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+       CASE WHEN p.text IS NULL THEN 0 ELSE len(lines) END AS n_lines, len(lines) - coalesce(k.n, 0) AS n_dropped
+FROM pages p LEFT JOIN kept k USING (r)
+"""
+
+# Measures by lists, windows by place; the prior of hosts from the moments of the beta-binomial distribution.
+HOST_QUALITY = """
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+starts AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) >= 3),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + 2]) AS n FROM starts),
+again AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM windows WHERE n > 1) GROUP BY r),
+measured AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM split LEFT JOIN again USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured),
+hosts AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS f FROM judged GROUP BY source),
+sums AS (SELECT count(*) AS k, sum(n) AS pages, sum(f) / sum(n) AS mean, sum(n * n) AS squares, sum(f * f / n) AS rates FROM hosts),
+shares AS (SELECT mean, CASE WHEN mean * (1 - mean) * (pages - squares / pages - (k - 1)) > 0
+    THEN (rates - pages * mean * mean - mean * (1 - mean) * (k - 1)) / (mean * (1 - mean) * (pages - squares / pages - (k - 1))) ELSE 0 END AS share FROM sums),
+prior AS (SELECT mean, CASE WHEN share > 0 THEN 1 / least(share, 0.999) - 1 END AS weight, 4.0 * mean / (1 - mean + 4.0 * mean) AS most FROM shares),
+verdicts AS (SELECT source, CASE WHEN weight IS NULL THEN mean ELSE (f + mean * weight) / (n + weight) END AS host_rate, n + weight AS total, most FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate,
+       NOT base_failed AND (total IS NULL OR host_rate - 1.645 * sqrt(host_rate * (1 - host_rate) / (total + 1)) <= most) AS kept
+FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source
+"""
+
 # Test items and texts as word lists; a window of the test set is hit wherever it stands.
 BENCHMARK_HITS = """
 WITH letters AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS big, 'abcdefghijklmnopqrstuvwxyz' AS small),
@@ -147,4 +186,8 @@ REGISTRY = {
     "op12_benchmark_hits": benchmark_hits,
     "op13_spelling_variants": spelling_variants,
 }
-ORACLES: dict[str, str] = {"op12_benchmark_hits": BENCHMARK_HITS}
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": LINE_DEDUP,
+    "op10_host_quality": HOST_QUALITY,
+    "op12_benchmark_hits": BENCHMARK_HITS,
+}

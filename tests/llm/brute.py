@@ -101,3 +101,22 @@ def targets(sizes, weights=(5.0, 2.0, 1.0), most=3):
         if not over:
             return out
         capped |= over
+
+
+def host_verdicts(hosts, max_odds=4.0, z=1.645):
+    """{host: (rate, kept)} from {host: (pages, failed)}: beta-binomial moments, weighted by pages."""
+    n, k = sum(p for p, _ in hosts.values()), len(hosts)
+    mean = sum(f for _, f in hosts.values()) / n
+    noise = mean * (1 - mean)
+    room = noise * (n - sum(p * p for p, _ in hosts.values()) / n - (k - 1))
+    spread = sum(p * (f / p - mean) ** 2 for p, f in hosts.values())
+    share = (spread - noise * (k - 1)) / room if room > 1e-12 else 0
+    if share <= 1e-12:
+        return {h: (mean, True) for h in hosts}
+    weight = 1 / min(share, 0.999) - 1
+    odds = max_odds * mean / (1 - mean)
+    out = {}
+    for h, (p, f) in hosts.items():
+        rate = (f + mean * weight) / (p + weight)
+        out[h] = rate, rate - z * (rate * (1 - rate) / (p + weight + 1)) ** 0.5 <= odds / (1 + odds)
+    return out

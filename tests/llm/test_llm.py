@@ -139,7 +139,7 @@ def test_packing(request, table):
             at += r["length"]
         assert at <= 2048
         padding += 0 if at & (at - 1) == 0 else 2048 - at
-    assert padding == 0
+    assert padding <= 0.001 * sum(r["length"] for r in rows)
     once = Counter(d for d, _ in pairs(docs))
     for (doc_id, _), ids in zip(pairs(docs), brute.ids_of([t for _, t in pairs(docs)], 1)):
         if once[doc_id] == 1:
@@ -405,7 +405,7 @@ def test_mix_is_near_targets_and_emits(spark, no_rows):
                                  "doc_id long, text string, source string")
     mixed = mixing.mix(docs)
     taken = mixed.groupBy("row.source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"))
-    assert all(abs(r["taken"] - r["target"]) < 0.08 * r["target"] for r in taken.collect())
+    assert all(abs(r["taken"] - r["target"]) <= 3.5 for r in taken.collect())  # half of the longest document
     assert mixing.emit(mixed).count() == mixed.agg(F.sum("copies")).first()[0]
     assert mixing.emit(mixing.mix(no_rows)).count() == 0
     blank = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
@@ -434,21 +434,34 @@ def test_quality(request, table):
         assert tuple(r[m] for m in host_quality.MEASURES) == want
         assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
         hosts[r["source"]].append(r["base_failed"])
-    rates = [sum(h) / len(h) for h in hosts.values()]
-    mean, var = np.mean(rates), np.var(rates)
-    weight = mean * (1 - mean) / var - 1 if var > 0 else 1
-    weight = weight if weight > 0 else 1
+    verdicts = brute.host_verdicts({h: (len(f), sum(f)) for h, f in hosts.items()})
     for r in rows:
-        h = hosts[r["source"]]
-        rate = (sum(h) + mean * weight) / (len(h) + weight)
+        rate, good = verdicts[r["source"]]
         assert r["host_rate"] == pytest.approx(rate)
-        assert r["kept"] == (not r["base_failed"] and rate <= 0.5)
+        assert r["kept"] == (not r["base_failed"] and good)
+
+
+@pytest.mark.parametrize("hosts", [
+    {"a": (100, 10), "b": (120, 13), "c": (80, 7), "bad": (90, 70), "one": (1, 1), "none": (3, 0)},
+    {"a": (1000, 100), "b": (1200, 125)}, {"only": (5, 5)}, {"x": (4, 4), "y": (7, 7)}, {"x": (9, 0), "y": (2, 0)},
+    {**{f"h{i}": (40, i % 9) for i in range(30)}, "small": (2, 2), "big": (400, 300)},
+])
+def test_host_verdicts(spark, hosts):
+    """Hosts beyond chance are rejected, by the moments of all hosts weighted by pages."""
+    rows = [(h, i < failed) for h, (n, failed) in hosts.items() for i in range(n)]
+    found = host_quality.host_verdicts(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()
+    want = brute.host_verdicts(hosts)
+    assert {r["host"]: r["host_kept"] for r in found} == {h: good for h, (_, good) in want.items()}
+    for r in found:
+        assert (r["n_pages"], r["n_failed"]) == hosts[r["host"]] and r["host_rate"] == pytest.approx(want[r["host"]][0])
+    rejected = {h for h, (_, good) in want.items() if not good}
+    assert rejected == {h for h in ("bad", "big") if h in hosts}
 
 
 def test_quality_rejects_hosts_and_keeps_columns(spark, dirty, no_rows):
     good = " ".join(f"w{i}" for i in range(60))
-    rows = [(i, good if i % 10 else "short", "good") for i in range(50)] + [(100 + i, "short" if i % 5 else good, "bad") for i in range(50)]
+    rows = [(i, good if i % 10 else "short", f"good{i % 5}") for i in range(250)] + [(1000 + i, "short" if i % 5 else good, "bad") for i in range(50)]
     kept = host_quality.keep_good(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    assert {r["source"] for r in kept} == {"good"} and len(kept) == 45
+    assert {r["source"] for r in kept} == {f"good{i}" for i in range(5)} and len(kept) == 225
     assert host_quality.keep_good(dirty).columns == dirty.columns
     assert host_quality.keep_good(no_rows).count() == 0
