@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm import bloom
+from paperloom.llm.bloom import may_hold
 from paperloom.llm.components import components
 from paperloom.llm.shared import as_rows, stored
 
@@ -128,12 +130,14 @@ def sketches(width: int) -> Callable:
     return run
 
 
-def hashed_sets(width: int) -> Callable:
-    """(text) to (node, hashes) of texts with words."""
+def hashed_sets(width: int, wanted: np.ndarray) -> Callable:
+    """(row_hash, text) to (node, hashes) of texts with words whose hash the filter `wanted` lets through."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                sets = [s for s in shingle_sets(batch.slice(at, 256).column(0).to_pylist(), width) if len(s)]
+            mask = may_hold(wanted, batch.column(0).to_numpy(zero_copy_only=False))
+            texts = batch.column(1).filter(pa.array(mask))
+            for at in range(0, len(texts), 256):
+                sets = [s for s in shingle_sets(texts.slice(at, 256).to_pylist(), width) if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([set_key(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"])
@@ -217,10 +221,18 @@ def tile_links(percent: int) -> Callable:
 
 
 def buckets_of(classes: DataFrame) -> DataFrame:
-    """(band, node) of members of buckets with two classes at least, with the bucket's leader and size."""
-    members = classes.select("node", F.explode("bands").alias("band"))
-    leaders = members.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("members"))
-    return stored(members.join(stored(leaders.where("members > 1"), "leaders"), "band"), "buckets")
+    """(band, node, size) of members of buckets with two classes at least, with the bucket's leader, its size, and
+    the number of members."""
+    members = classes.select("node", "size", F.explode("bands").alias("band"))
+    leaders = members.groupBy("band").agg(F.min(F.struct("node", "size")).alias("first"), F.count("*").alias("members"))
+    leaders = leaders.where("members > 1").select(
+        "band", F.col("first.node").alias("leader"), F.col("first.size").alias("leader_size"), "members")
+    return stored(members.join(stored(leaders, "leaders"), "band"), "buckets")
+
+
+def alike(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def verified_stars(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -244,7 +256,7 @@ def divided(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Members (band, node, root, main, minor), other than the leader, of buckets that still hold several
     components, with sizes (n, n_minor); `minor` are those outside the main, the largest, component."""
     rest = stored(buckets.where("node != leader").join(roots, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root")), "rest")
+        "band", "node", "size", F.coalesce("root", "node").alias("root")), "rest")
     parts = rest.groupBy("band", "root").agg(F.count("*").alias("n"))
     several = parts.groupBy("band").agg(
         F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"), F.count("*").alias("roots"))
@@ -253,17 +265,18 @@ def divided(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(rest.join(several, "band").withColumn("minor", F.col("root") != F.col("main")), "divided")
 
 
-def star_pairs(members: DataFrame, turn: int) -> DataFrame:
+def star_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of a drawn member of the main component with the others, and of a drawn other one with all.
 
     The draw is a hash of member and turn, so buckets that share their members draw the same ones.
     """
     drawn = members.groupBy("band", "minor").agg(F.min(F.struct(
-        F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "root")).alias("drawn"))
-    drawn = stored(drawn.select("band", F.col("minor").alias("of_minor"), "drawn.node", "drawn.root"), "drawn")
-    drawn = drawn.select("band", "of_minor", F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+        F.xxhash64(F.lit(turn), "node").alias("draw"), "node", "root", "size")).alias("drawn"))
+    drawn = stored(drawn.select("band", F.col("minor").alias("of_minor"), "drawn.node", "drawn.root", "drawn.size"), "drawn")
+    drawn = drawn.select(
+        "band", "of_minor", F.col("node").alias("leader"), F.col("root").alias("leader_root"), F.col("size").alias("leader_size"))
     met = members.join(drawn, "band").where("root != leader_root and (minor or of_minor)")
-    return met.select("leader", "node")
+    return met.where(alike("size", "leader_size", percent)).select("leader", "node")
 
 
 def verified_tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -307,17 +320,19 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
     other than the two are ignored. Shingles are told apart by 64-bit hashes, sets by 128-bit hashes.
     """
     named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    named = named.select("key", F.xxhash64("key", "text").alias("row_hash"), "text")
     kind = named.schema["key"].dataType.simpleString()
     sketched = stored(
-        named.select(F.struct("key", F.xxhash64("text").alias("text_key")).alias("key"), "text").mapInArrow(
-            sketches(width), f"key struct<key:{kind},text_key:bigint>, n_shingles long, node binary, bands array<bigint>"),
+        named.select(F.struct("key", "row_hash").alias("key"), "text").mapInArrow(
+            sketches(width), f"key struct<key:{kind},row_hash:bigint>, n_shingles long, node binary, bands array<bigint>"),
         "sketches")
     classes = stored(sketched.where("node is not null").groupBy("node").agg(
-        F.min("key.text_key").alias("text_key"), F.first("bands").alias("bands")), "classes")
+        F.min("key.row_hash").alias("row_hash"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands")), "classes")
     buckets = buckets_of(classes)
+    # Texts stay where they are: a filter of bounded size names one row of each class to shingle again.
     wanted = stored(buckets.select("node").distinct().join(classes, "node"), "wanted")
-    texts = named.withColumn("text_key", F.xxhash64("text")).join(wanted.select("text_key").distinct(), "text_key", "left_semi")
-    sets = texts.select("text").distinct().mapInArrow(hashed_sets(width), "node binary, hashes binary")
+    sets = named.select("row_hash", "text").mapInArrow(
+        hashed_sets(width, bloom.build(wanted.select("row_hash"))), "node binary, hashes binary")
     sets = stored(sets.dropDuplicates(["node"]).join(wanted.select("node", "bands"), "node"), "sets")
 
     def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -325,13 +340,14 @@ def near_duplicates(docs: DataFrame, key: str, text: str, width: int = 5, percen
         old = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         return roots if links.isEmpty() else stored(components(old.unionByName(links)), "components")
 
-    stars = verified_stars(buckets.where("node != leader").select("leader", "node"), sets, percent)
+    led = buckets.where("node != leader").where(alike("size", "leader_size", percent))
+    stars = verified_stars(led.select("leader", "node"), sets, percent)
     roots = stored(components(stored(stars, "links")), "components")
     for turn in range(TURNS):
         members = divided(buckets, roots)
         if members.isEmpty():
             break
-        roots = merged(roots, verified_stars(star_pairs(members, turn), sets, percent))
+        roots = merged(roots, verified_stars(star_pairs(members, turn, percent), sets, percent))
     else:
         roots = merged(roots, verified_tiles(divided(buckets, roots), sets, percent))
     rows = sketched.select("key.key", "n_shingles", "node")
