@@ -128,6 +128,8 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> Data
     Repeated rows are judged alike; an empty table stays empty. No column name can clash, as the
     row travels as one struct.
     """
-    rows = as_rows(docs)
-    measured = stored(measure(rows, F.col("row")[text], F.col("row")[host]), "measured")
-    return judge(measured).where("kept").select("row.*")
+    # The rows are read twice, once for the hosts' counts and once for the verdict, and of the measures
+    # only those that the base rules need are worked out: less than to write whole texts in between.
+    measured = measure(as_rows(docs), F.col("row")[text], F.col("row")[host])
+    # A filter would be pushed into the measures, whose steps Spark would then work out over and over.
+    return judge(measured).select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")).select("row.*")

@@ -21,7 +21,7 @@ BESIDE, BLOCK = 64, 512
 # Rounds of stars with drawn members before what is left is compared in tiles.
 TURNS = 1
 # Texts shingled at a time, by characters.
-TEXT_BYTES = 2_000_000
+TEXT_BYTES = 250_000
 # Fixed odd numbers of the hash functions.
 BASE, MIX_A, MIX_B, STEP = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
 PERM_A, PERM_B = 0x85EBCA6B, 0xC2B2AE35

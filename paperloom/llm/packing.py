@@ -10,7 +10,7 @@ from paperloom.llm.tokens import encoded
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-ROWS = 4096
+ROWS = 1024
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:

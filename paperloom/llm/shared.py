@@ -18,12 +18,14 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 # Folders that `stored` has made in this process, oldest first.
 SCRATCH: list[str] = []
+# Bytes that a writing task gathers before it writes them; whole texts make larger groups costly to hold.
+ROW_GROUP = 16 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet to the shared folder and read it from there."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     SCRATCH.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

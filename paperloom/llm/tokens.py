@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts encoded at a time, and words whose ids a task remembers at most.
-TEXTS, REMEMBERED = 500, 800_000
+TEXTS, REMEMBERED = 200, 800_000
 
 
 def tokenizer_path() -> str:
