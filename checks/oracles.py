@@ -220,24 +220,25 @@ from resolved r left join fx_entries e on e.id = r.id where r.kind = 'doi'""")
 PARTS["asked"] = """
 select row_no, dkey, pmid_key, pmcid_key, substr(md5('istex' || row_no), 1, 12) as istexid from rows_keyed"""
 oracle("biblio_lookup", _biblio("asked", istex=True, fallback=True))
+oracle("biblio_from_index", _biblio("asked", istex=True, fallback=True))
 oracle("pub_file_lookup", _pub_lookup("fx_entries"))
 oracle("pmc_lookup", f"""
 select e.id, '{PMC_ARCHIVE_BASE}' || o.subpath as url, o.license from fx_entries e join pmc o on o.pmcid = e.pmcid""")
 oracle("choose_location", "select doi, url from loc")
 oracle("legacy_lookup", _legacy("fx_entries"))
 _OPEN = "(coalesce(e.oa_link, '') <> '' and not coalesce(e.has_valid_pdf, false))"
-PARTS["asked"] = """
+PARTS["reusable"] = """
 select * replace (has_valid_tei as has_valid_pdf, case when pmid is not null then coalesce(oa_link, 'https://example.org/lost') end as oa_link)
 from fx_entries"""
 oracle("reuse_legacy", f"""
 select e.id, case when {_OPEN} and h.id is not null then coalesce(l.url, e.oa_link) else e.oa_link end as oa_link,
   coalesce(e.has_valid_oa_url, false) as has_valid_oa_url,
   coalesce(e.has_valid_pdf, false) or ({_OPEN} and h.pdf_path is not null) as has_valid_pdf
-from asked e left join ({_legacy("asked")}) h on h.id = e.id
+from reusable e left join ({_legacy("reusable")}) h on h.id = e.id
 left join (select * from loc where url is not null) l on l.doi = {_doi('e.doi')}""")
 oracle("reuse_legacy_copies", f"""
 select h.id, k.kind, case k.kind when 'pdf' then pdf_path else nxml_path end as source
-from ({_legacy("asked")}) h join asked e on e.id = h.id and {_OPEN}, (values ('pdf'), ('nxml')) k(kind)
+from ({_legacy("reusable")}) h join reusable e on e.id = h.id and {_OPEN}, (values ('pdf'), ('nxml')) k(kind)
 where case k.kind when 'pdf' then pdf_path else nxml_path end is not null""")
 PARTS["linked"] = _linked("fx_entries")
 oracle("resolve_oa_link", "select id, doi, oa_link, oa_source, has_valid_oa_url, has_valid_pdf from linked")

@@ -174,6 +174,14 @@ def biblio_lookup(v):
     return lookup.biblio_lookup(_asked(v), v.biblio, v.crossref).drop("raw")
 
 
+@query
+def biblio_from_index(v):
+    """The same through an index that was kept."""
+    path = v.path("index")
+    sinks.write_biblio_index(v.spark, v.biblio, path, v.crossref)
+    return lookup.biblio_from_index(_asked(v), sources.read_biblio_index(v.spark, path)).drop("raw")
+
+
 @query
 def pub_file_lookup(v):
     return lookup.pub_file_lookup(v.entries, sources.index_pub_map(v.pub_map), v.pub_files, PUB_BASE)

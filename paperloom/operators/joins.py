@@ -2,12 +2,12 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Number of frequent keys that are told apart, and of keys the frequency sketch tracks.
-HEAVY_KEYS = 256
-TRACKED_KEYS = 4096
+# Keys the frequency sketch tracks per shuffle task. A heavy key has at least a task's share of the rows,
+# so there are no more heavy keys than tasks, and the sketch tells all of them apart.
+TRACKED_PER_TASK = 16
 # Tasks that merge the sketches of the map tasks before the last one does.
 MERGE_LANES = 256
 # A key with fewer rows than this is never worth splitting.
@@ -38,23 +38,25 @@ def key_load(df: DataFrame, *keys: str) -> Load:
     must split the same keys, and a sketch may vary from run to run. The measure only decides
     how rows are spread; results do not depend on it.
     """
+    tasks = shuffle_tasks(df)
+    tracked = max(4096, TRACKED_PER_TASK * tasks)
     lane = F.pmod(F.spark_partition_id(), F.lit(MERGE_LANES))
     parts, whole = [F.count("*").alias("rows")], [F.sum("rows").alias("rows")]
     for at, key in enumerate(keys):
         parts += [
-            F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias(f"sketch{at}"),
+            F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias(f"sketch{at}"),
             F.count(key).alias(f"filled{at}"),
         ]
-        merged = f"approx_top_k_combine(sketch{at}, {TRACKED_KEYS})"
+        merged = f"approx_top_k_combine(sketch{at}, {tracked})"
         whole += [
-            F.expr(f"approx_top_k_estimate({merged}, {HEAVY_KEYS})").alias(f"top{at}"),
+            F.expr(f"approx_top_k_estimate({merged}, {tasks})").alias(f"top{at}"),
             F.sum(f"filled{at}").alias(f"filled{at}"),
         ]
     merges = df.select(*keys, lane.alias("lane")).groupBy("lane").agg(*parts)
     found = merges.groupBy(F.lit("all")).agg(*whole).first()
     if found is None:
         return Load(0, {k: [] for k in keys}, {k: False for k in keys})
-    share = max(HEAVY_ROWS, found["rows"] // shuffle_tasks(df))
+    share = max(HEAVY_ROWS, -(-found["rows"] // tasks))
     return Load(
         found["rows"],
         {k: [t["item"] for t in found[f"top{at}"] if t["item"] is not None and t["count"] >= share]
@@ -63,14 +65,20 @@ def key_load(df: DataFrame, *keys: str) -> Load:
     )
 
 
+def heavy_frame(spark: SparkSession, key: str, heavy: list) -> DataFrame:
+    """The heavy keys, no more than shuffle tasks, as a frame to be broadcast."""
+    return F.broadcast(spark.createDataFrame([(k,) for k in heavy], f"`{key}` string"))
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str, row: str, load: Load | None = None
 ) -> DataFrame:
     """Join a `right` side that is unique on `on`, whatever the key counts on the left.
 
     Rows of a heavy key, and rows without a key where those are many, are dealt out over
-    shards by the hash of their `row` column; the matching right rows, at most HEAVY_KEYS,
-    are repeated per shard. The last column of `on` is the one watched; `load` is its measure
+    shards by the hash of their `row` column; the matching right rows, no more than there are
+    tasks, are repeated per shard. Which keys are heavy comes to both sides as a small frame of
+    known bound. The last column of `on`, a string, is the one watched; `load` is its measure
     where it was taken before.
     """
     key = on[-1]
@@ -79,12 +87,14 @@ def spread_join(
     if not heavy and not blank:
         return left.join(right, on, how)
     n = SHARDS_PER_TASK * shuffle_tasks(left)
-    first, is_heavy = F.lit(0), F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    marks = heavy_frame(left.sparkSession, key, heavy).withColumn("_heavy", F.lit(True))
+    first, is_heavy = F.lit(0), F.col("_heavy").isNotNull()
     dealt = F.pmod(F.xxhash64(row), F.lit(n)).cast("int")
     shard = F.when(is_heavy | F.col(key).isNull(), dealt).otherwise(first)
     copies = F.when(is_heavy, F.sequence(first, F.lit(n - 1))).otherwise(F.array(first))
-    repeated = right.select("*", F.explode(copies).alias("_shard"))
-    return left.withColumn("_shard", shard).join(repeated, [*on, "_shard"], how).drop("_shard")
+    marked = left.join(marks, key, "left").withColumn("_shard", shard).select(*left.columns, "_shard")
+    repeated = right.join(marks, key, "left").select(*right.columns, F.explode(copies).alias("_shard"))
+    return marked.join(repeated, [*on, "_shard"], how).drop("_shard")
 
 
 def probe_keys(rows: DataFrame, row: str, rungs: list[tuple[str, str, Column]]) -> DataFrame:

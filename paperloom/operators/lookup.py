@@ -1,5 +1,7 @@
 """Lookups of articles in identifier map, snapshots, listings and earlier state."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -8,7 +10,7 @@ from paperloom.functions import (
     contains_any, doi_key, init_flags, join_url, present, stable_id, storage_path,
 )
 from paperloom.operators.dedup import first_location
-from paperloom.operators.joins import Load, first_hit, key_load, probe_keys, spread_join
+from paperloom.operators.joins import Load, first_hit, heavy_frame, key_load, probe_keys, spread_join
 from paperloom.schemas import ENTRY, conform
 from paperloom.values import PMC_ARCHIVE_BASE, PMC_PDF_MARKS, PMC_WEB_BASE
 
@@ -54,43 +56,64 @@ def _record_index(snapshot: DataFrame, source: str, kinds: dict[str, Column]) ->
     return first.select("kind", "key", _numbered(source))
 
 
-def biblio_lookup(keys: DataFrame, biblio: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
-    """(row_no, matched_by, record fields) of the rows for which a record exists.
+@dataclass(frozen=True)
+class BiblioIndex:
+    """Keys (kind, key, value) of bibliographic records, unique by (kind, key), and the records by `value`."""
 
-    `keys` has row_no, doi, pmid, pmcid and optionally istexid. The first hit counts, in the
-    order doi, pmid, pmcid, istexid, then the fallback snapshot by doi. Only keys travel
-    through the ladder; the record itself is joined once, by its number. Where records share
-    a key, the first record counts.
+    keys: DataFrame
+    records: DataFrame
+
+
+def biblio_index(biblio: DataFrame, fallback: DataFrame | None = None) -> BiblioIndex:
+    """The index of a snapshot and of the fallback snapshot. Where records share a key, the first one counts.
+
+    `sinks.write_biblio_index` keeps it, so that an update need not go through the snapshot again.
     """
-    index = _record_index(biblio, "biblio", {
+    keys = _record_index(biblio, "biblio", {
         "doi": doi_key(F.col("doi")),
         "pmid": present(F.col("pmid")),
         "pmcid": present(F.col("pmcid")),
         "istexid": present(F.col("istexid")),
     })
+    records = _records(biblio, "biblio")
+    if fallback is not None:
+        keys = keys.unionByName(_record_index(fallback, "fallback", {"fallback": doi_key(F.col("doi"))}))
+        records = records.unionByName(_records(fallback, "fallback"))
+    return BiblioIndex(keys, records)
+
+
+def biblio_lookup(keys: DataFrame, biblio: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """`biblio_from_index` over snapshots that have no kept index."""
+    return biblio_from_index(keys, biblio_index(biblio, fallback), fallback is not None)
+
+
+def biblio_from_index(keys: DataFrame, index: BiblioIndex, fallback: bool = True) -> DataFrame:
+    """(row_no, matched_by, record fields) of the rows for which a record exists.
+
+    `keys` has row_no, doi, pmid, pmcid and optionally istexid. The first hit counts, in the
+    order doi, pmid, pmcid, istexid, then the fallback snapshot by doi. Only keys travel
+    through the ladder; the record itself is joined once, by its number.
+    """
     rungs = [("doi", "doi", F.col("doi")), ("pmid", "pmid", F.col("pmid")),
              ("pmcid", "pmcid", F.col("pmcid"))]
     if "istexid" in keys.columns:
         rungs.append(("istexid", "istexid", F.col("istexid")))
-    records = _records(biblio, "biblio")
-    if fallback is not None:
-        index = index.unionByName(
-            _record_index(fallback, "fallback", {"fallback": doi_key(F.col("doi"))})
-        )
+    if fallback:
         rungs.append(("fallback", "fallback", F.col("doi")))
-        records = records.unionByName(_records(fallback, "fallback"))
     cleaned = keys.withColumns({
         c: doi_key(F.col(c)) if c == "doi" else present(F.col(c))
         for c in ("doi", "pmid", "pmcid", "istexid") if c in keys.columns
     })
     probes = probe_keys(cleaned, "row_no", rungs)
     load = key_load(probes, "key")
-    hits = first_hit(probes, index, load)
+    hits = first_hit(probes, index.keys, load)
     # A record has few keys, so it can only be asked for often if one of them is heavy.
-    asked_often = index.where(F.col("key").isin(load.heavy["key"])).select("value").distinct()
-    often = [r["value"] for r in asked_often.collect()] if load.heavy["key"] else []
+    often = []
+    if load.heavy["key"]:
+        heavy = heavy_frame(keys.sparkSession, "key", load.heavy["key"])
+        often = [r["value"] for r in index.keys.join(heavy, "key").select("value").distinct().collect()]
     found = spread_join(
-        hits, records, ["value"], "inner", "row", Load(load.rows, {"value": often}, {"value": False})
+        hits, index.records, ["value"], "inner", "row", Load(load.rows, {"value": often}, {"value": False})
     )
     return found.select(
         F.col("row").alias("row_no"), F.col("rung").alias("matched_by"), *RECORD_FIELDS

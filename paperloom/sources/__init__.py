@@ -1,3 +1,4 @@
+from paperloom.sources.index import read_biblio_index
 from paperloom.sources.listings import (
     index_official, list_files, read_content, read_heads, scan_archives, scan_artifacts, scan_judged, scan_official,
 )
@@ -11,7 +12,7 @@ from paperloom.sources.snapshots import (
 from paperloom.sources.state import read_commits, read_state
 
 __all__ = [
-    "id_list_size", "index_official", "index_pmc_oa", "index_pub_map", "list_files", "read_biblio",
+    "id_list_size", "index_official", "index_pmc_oa", "index_pub_map", "list_files", "read_biblio", "read_biblio_index",
     "read_commits", "read_content", "read_fallback", "read_heads", "read_id_list", "read_locations", "read_pmc_oa",
     "read_pmc_oa_errors", "read_record_errors",
     "read_pub_map", "read_publisher_meta", "read_release", "read_state", "scan_archives",

@@ -59,3 +59,25 @@ def test_first_hit_takes_the_first_rung(spark, split_all):
     rungs = [("doi", "doi", F.col("doi")), ("pii", "pii", F.col("pii"))]
     got = first_hit(probe_keys(rows, "n", rungs), index).collect()
     assert sorted(map(tuple, got)) == [(1, "doi", 10), (2, "pii", 20), (3, "pii", 20)]
+
+
+def test_more_hot_keys_than_a_few_hundred(spark, monkeypatch):
+    """600 keys that each outweigh a task of 1,000: all are found and split, none is left whole."""
+    from paperloom.operators import joins
+
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 2)
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(60_000).repartition(8).select(
+            F.col("id").alias("n"), F.concat(F.lit("k"), F.pmod("id", F.lit(600))).alias("key"))
+        load = key_load(rows, "key")
+        assert len(load.heavy["key"]) == 600
+        right = spark.range(600).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("value"))
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        joined = spread_join(rows, right, ["key"], "inner", "n", load)
+        assert joined.count() == 60_000 and joined.where("value != cast(substr(key, 2) as long)").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
