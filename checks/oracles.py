@@ -350,14 +350,14 @@ select m.cord_uid as id, coalesce(f.doi, nullif(m.doi, '')) as doi, coalesce(f.p
   m.sha as cord_sha, nullif(m.license, '') as license_simplified, nullif(m.abstract, '') as abstract, f.oa_link, {_FLAG_FALSE}
 from fx_meta m left join found f on f.row_no = m.row_no""", {"found": _biblio("asked", istex=False, fallback=False)})
 PARTS["updates"] = """
-select cord_uid as id, nullif(doi, '') as doi, nullif(pubmed_id, '') as pmid, nullif(pmcid, '') as pmcid from firsts"""
+select cord_uid as id, row_no, nullif(doi, '') as doi, nullif(pubmed_id, '') as pmid, nullif(pmcid, '') as pmcid from firsts"""
 
 
 def _keys_of(entries: str) -> str:
     return f"""
-select kind, key, max(id) as id from (
-  select 'id' as kind, id as key, id from {entries} union all select 'doi', {_doi('doi')}, id from {entries}
-  union all select 'pmid', pmid, id from {entries} union all select 'pmcid', pmcid, id from {entries}) u
+select kind, key, arg_max(id, row_no) as id from (
+  select 'id' as kind, id as key, id, row_no from {entries} union all select 'doi', {_doi('doi')}, id, row_no from {entries}
+  union all select 'pmid', pmid, id, row_no from {entries} union all select 'pmcid', pmcid, id, row_no from {entries}) u
 where key is not null group by kind, key"""
 
 
@@ -371,6 +371,7 @@ union all select id, doi, pmid, pmcid, null from updates"""
 oracle("upsert_id_map", "select * from updated_map")
 oracle("upsert_entries", "select * from updated_entries")
 oracle("state_versions", "select 'entry' as kind, doi as key, id from updated_entries union all select kind, key, id from updated_map")
+oracle("state_reset", "select 'entry' as kind, doi as key, id from updates union all select kind, key, id from update_keys")
 oracle("select_failed", "select id from fx_entries where not has_valid_oa_url or not has_valid_pdf or not has_valid_tei")
 oracle("select_failed_with_extras", "select id from fx_entries where not (" + " and ".join(FLAGS) + ")")
 oracle("advance_flags", "select id, has_valid_oa_url, " + ", ".join(
@@ -414,20 +415,27 @@ select kind, key, id from (
 join (select uid, row_no from taken) t on t.uid = u.id
 where key is not null qualify row_number() over (partition by kind, key order by row_no desc) = 1"""},
        _accepted("rows_keyed", _KNOWN))
+oracle("ingest_sample", f"select {_OUT} from changed", {
+    **_TAKEN, "taken": _TAKEN["taken"] + " order by md5(uid), uid limit 20"}, _accepted("rows_keyed", _KNOWN))
+oracle("ingest_release_again", "select uid as id, 'first' as run from taken", _TAKEN, _accepted("rows_keyed", _KNOWN))
+oracle("ingest_errors", """
+select version, batch, 'no identifier' as reason, title from fx_meta, (values (0, 'first'), (1, 'second')) b(version, batch) where row_no % 7 = 0""")
 oracle("stream_releases", _AFTER, _TAKEN, _accepted("rows_keyed", _KNOWN))
-oracle("ingest_id_list", f"""
+for _list, _kind, _asked in (("id", "doi", "dkey"), ("pmid", "pmid", "pmid_key"), ("pmcid", "pmcid", "pmcid_key")):
+    oracle(f"ingest_{_list}_list", f"""
 select id, doi, pmid, pmcid, pii, title, year, oa_link, oa_source, {", ".join(FLAGS)}, {_path('id')} as data_path from changed""", {
-    "listed": """
-select row_no, id, key as dkey, cast(null as varchar) as pmid_key, cast(null as varchar) as pmcid_key
-from resolved where kind = 'doi' qualify row_number() over (partition by id order by row_no desc) = 1""",
-    "unknown_rows": "select * from listed where id not in (select id from fx_entries)",
-    "found": _biblio("unknown_rows", istex=False, fallback=True),
-    "merged": """
-select l.id, l.dkey as doi, coalesce(e.pmid, f.pmid) as pmid, coalesce(e.pmcid, f.pmcid) as pmcid, coalesce(e.pii, f.pii) as pii,
+        "listed": "select row_no, id, " + ", ".join(
+            f"key as {c}" if c == _asked else f"cast(null as varchar) as {c}" for c in ("dkey", "pmid_key", "pmcid_key"))
+        + f" from resolved where kind = '{_kind}' qualify row_number() over (partition by id order by row_no desc) = 1",
+        "unknown_rows": "select * from listed where id not in (select id from fx_entries)",
+        "found": _biblio("unknown_rows", istex=False, fallback=True),
+        "merged": """
+select l.id, coalesce(l.dkey, e.doi, f.doi) as doi, coalesce(l.pmid_key, e.pmid, f.pmid) as pmid,
+  coalesce(l.pmcid_key, e.pmcid, f.pmcid) as pmcid, coalesce(e.pii, f.pii) as pii,
   f.title, f.year, coalesce(e.oa_link, f.oa_link) as oa_link, """ + ", ".join(f"coalesce(e.{f}, false) as {f}" for f in FLAGS) + """
 from listed l left join fx_entries e on e.id = l.id left join found f on f.row_no = l.row_no""",
-    "changed": _linked("merged"),
-})
+        "changed": _linked("merged"),
+    })
 
 oracle("reprocess_failed", f"""
 select id, oa_link, oa_source, {", ".join(FLAGS)}, {_path("id")} as data_path from linked

@@ -370,12 +370,12 @@ def _updates(v) -> DataFrame:
         v.meta.select("row_no", F.col("cord_uid").alias("id"), "doi", F.col("pubmed_id").alias("pmid"), "pmcid"),
         ["id"], "row_no",
     )
-    return firsts.select("id", *[fn.present(F.col(c)).alias(c) for c in ("doi", "pmid", "pmcid")])
+    return firsts.select("id", "row_no", *[fn.present(F.col(c)).alias(c) for c in ("doi", "pmid", "pmcid")])
 
 
 @query
 def upsert_id_map(v):
-    return upsert.upsert_id_map(v.id_map, _updates(v))
+    return upsert.upsert_id_map(v.id_map, _updates(v), "row_no")
 
 
 @query
@@ -410,10 +410,53 @@ def ingest_release_keys(v):
     return done.id_map(v.id_map)
 
 
+@query
+def ingest_sample(v):
+    """A run that takes twenty of the new articles."""
+    done = ingest_release(v.entries, v.id_map, v.meta, v.snapshots, sample=20)
+    return done.changed.select(*ENTRY_OUT)
+
+
+@query
+def ingest_errors(v):
+    """The ledger after two runs of a release of which every seventh row has no key at all."""
+    blank = F.col("row_no") % 7 == 0
+    keys = ("cord_uid", "doi", "pmcid", "pubmed_id")
+    release = v.meta.withColumns({c: F.when(blank, F.lit("")).otherwise(F.col(c)) for c in keys})
+    root = v.path("state")
+    for batch in ("first", "second"):
+        entries, id_map = sources.read_state(v.spark, root)
+        done = ingest_release(entries, id_map, release, v.snapshots, errors=sources.read_errors(v.spark, root, last=True))
+        sinks.write_state(v.spark, root, done.changed, done.keys, batch, errors=done.errors)
+    line = F.from_json("line", "title string, source_x string")
+    return sources.read_errors(v.spark, root).select("version", "batch", "reason", line["title"].alias("title"))
+
+
+@query
+def ingest_release_again(v):
+    """The same release twice: the second run changes nothing."""
+    once = ingest_release(v.entries, v.id_map, v.meta, v.snapshots)
+    again = ingest_release(once.entries(v.entries), once.id_map(v.id_map), v.meta, v.snapshots)
+    return once.changed.select("id", F.lit("first").alias("run")).unionByName(again.changed.select("id", F.lit("second").alias("run")))
+
+
 @query
 def ingest_id_list(v):
-    dois = _keys(v).where("kind = 'doi'")
-    done = ingest_ids(v.entries, v.id_map, dois, v.snapshots)
+    return _ingest_list(v, "doi")
+
+
+@query
+def ingest_pmid_list(v):
+    return _ingest_list(v, "pmid")
+
+
+@query
+def ingest_pmcid_list(v):
+    return _ingest_list(v, "pmcid")
+
+
+def _ingest_list(v, kind: str) -> DataFrame:
+    done = ingest_ids(v.entries, v.id_map, _keys(v).where(F.col("kind") == kind), v.snapshots)
     return done.changed.select(*[c for c in ENTRY_OUT if c not in ("cord_sha", "license_simplified", "abstract")])
 
 
@@ -757,7 +800,19 @@ def state_versions(v):
     root = v.path("state")
     sinks.write_state(v.spark, root, v.entries, v.id_map)
     new = _updates(v)
-    sinks.write_state(v.spark, root, new, upsert.latest_keys(new))
+    sinks.write_state(v.spark, root, new, upsert.latest_keys(new, "row_no"))
+    entries, id_map = sources.read_state(v.spark, root)
+    return entries.select(F.lit("entry").alias("kind"), F.col("doi").alias("key"), "id").unionByName(id_map)
+
+
+@query
+def state_reset(v):
+    """A state that is reset and written anew holds the new rows alone; the ledger goes on."""
+    root = v.path("state")
+    sinks.write_state(v.spark, root, v.entries, v.id_map)
+    sinks.reset_state(v.spark, root)
+    new = _updates(v)
+    sinks.write_state(v.spark, root, new, upsert.latest_keys(new, "row_no"))
     entries, id_map = sources.read_state(v.spark, root)
     return entries.select(F.lit("entry").alias("kind"), F.col("doi").alias("key"), "id").unionByName(id_map)
 

@@ -58,20 +58,18 @@ def upsert_keys(id_map: DataFrame, keys: DataFrame) -> DataFrame:
     return kept.unionByName(keys)
 
 
-def latest_keys(entries: DataFrame, order: str | None = None) -> DataFrame:
+def latest_keys(entries: DataFrame, order: str) -> DataFrame:
     """The keys of `entries`, one row each; where ids share a key, the last put holds it.
 
-    `order` is the column that puts follow. Without one, entries count as put by ascending id.
+    `order` is the column that puts follow; of equal places the greater id counts as later.
     """
-    if order is None:
-        return union_keys(entries).groupBy("kind", "key").agg(F.max("id").alias("id"))
     put = entries.select("id", F.col(order).alias("_put"))
     keys = union_keys(entries).join(put, "id")
     return keys.groupBy("kind", "key").agg(F.max_by("id", F.struct("_put", "id")).alias("id"))
 
 
-def upsert_id_map(id_map: DataFrame, entries: DataFrame, order: str | None = None) -> DataFrame:
-    """Identifier map after every entry, unique by id, has put its keys; the last put wins."""
+def upsert_id_map(id_map: DataFrame, entries: DataFrame, order: str) -> DataFrame:
+    """Identifier map after every entry, unique by id, has put its keys in `order`; the last put wins."""
     return upsert_keys(id_map, latest_keys(entries, order))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from paperloom.functions import doi_key, init_flags, present, stable_id
 from paperloom.operators.dedup import accept_first_come, last_wins
-from paperloom.operators.lookup import biblio_lookup, resolve_ids
+from paperloom.operators.lookup import BiblioIndex, biblio_from_index, biblio_lookup, resolve_ids
 from paperloom.operators.upsert import (
     merge_release, select_failed, union_keys, upsert_entries, upsert_keys, with_data_path,
 )
@@ -30,11 +30,13 @@ class Snapshots:
     locations: DataFrame
     pub_base: str
     legacy_root: str
+    # A kept index of the first two, which spares a pass over them.
+    index: BiblioIndex | None = None
 
 
 @dataclass(frozen=True)
 class Ingested:
-    """Outcome of an update: what it changed. `errors` are rows that no key identifies."""
+    """Outcome of an update: what it changed. `errors` (reason, line) are rows that no key identifies."""
 
     changed: DataFrame
     keys: DataFrame
@@ -52,6 +54,34 @@ def sample(rows: DataFrame, n: int) -> DataFrame:
     return rows.orderBy(F.md5("id"), "id").limit(n)
 
 
+def _sampled(rows: DataFrame, n: int | None) -> DataFrame:
+    """`rows` (id, ...), or those of a sample of `n` articles."""
+    return rows if n is None else rows.join(sample(rows.select("id"), n), "id", "left_semi")
+
+
+def _found(asked: DataFrame, snapshots: Snapshots) -> DataFrame:
+    if snapshots.index is not None:
+        return biblio_from_index(asked, snapshots.index)
+    return biblio_lookup(asked, snapshots.biblio, snapshots.fallback)
+
+
+def rejected(rows: DataFrame, reason: str) -> DataFrame:
+    """(reason, line) of rows for the ledger of errors, as JSON without their place, equal rows once."""
+    columns = [c for c in rows.columns if c != "row_no"]
+    return rows.select(F.lit(reason).alias("reason"), F.to_json(F.struct(*columns)).alias("line")).distinct()
+
+
+def with_retries(release: DataFrame, errors: DataFrame) -> DataFrame:
+    """`release` behind the rows of a ledger of errors (reason, line), which are tried again first."""
+    columns = [c for c in release.columns if c != "row_no"]
+    schema = StructType([release.schema[c] for c in columns])
+    lines = errors.select("line").distinct()
+    again = F.struct(F.lit(0).alias("turn"), F.lit(None).cast(release.schema["row_no"].dataType).alias("row"), F.md5("line").alias("digest"))
+    fresh = F.struct(F.lit(1).alias("turn"), F.col("row_no").alias("row"), F.lit("").alias("digest"))
+    old = lines.select(again.alias("row_no"), F.from_json("line", schema).alias("r")).select("row_no", "r.*")
+    return old.unionByName(release.select(fresh.alias("row_no"), *columns))
+
+
 def _link(entries: DataFrame, snapshots: Snapshots) -> DataFrame:
     s = snapshots
     linked = resolve_oa_link(
@@ -65,12 +95,17 @@ def _as_record(entries: DataFrame) -> DataFrame:
 
 
 def ingest_release(
-    entries: DataFrame, id_map: DataFrame, release: DataFrame, snapshots: Snapshots
+    entries: DataFrame, id_map: DataFrame, release: DataFrame, snapshots: Snapshots,
+    sample: int | None = None, errors: DataFrame | None = None,
 ) -> Ingested:
     """Take the rows of a release that are new, in file order, into the state.
 
-    Known rows are skipped, so a second run over the same release changes nothing.
+    Known rows are skipped, so a second run over the same release changes nothing. `sample` takes that
+    many of the new articles only. `errors` are the rows that the last run could not take; they are
+    tried again before the release, and those that fail once more are errors of this run too.
     """
+    if errors is not None:
+        release = with_retries(release, errors)
     taken = accept_first_come(release, id_map)
     uid, doi = present(F.col("cord_uid")), doi_key(F.col("doi"))
     pmcid, pmid = present(F.col("pmcid")), present(F.col("pubmed_id"))
@@ -87,15 +122,15 @@ def ingest_release(
     identified = taken.withColumn("id", article)
     identified = identified.where(~keyless).unionByName(
         identified.where(keyless).join(held, "id", "left_anti"))
-    errors = identified.where("id is null").drop("id")
-    rows = cut_lineage(last_wins(identified.where("id is not null"), ["id"], "row_no"))
+    failed = rejected(identified.where("id is null").drop("id"), "no identifier")
+    rows = cut_lineage(_sampled(last_wins(identified.where("id is not null"), ["id"], "row_no"), sample))
 
     known = rows.select("row_no", "id").join(_as_record(entries), "id", "inner")
     unknown = rows.join(known.select("row_no"), "row_no", "left_anti")
     asked = unknown.select(
         "row_no", F.col("doi"), F.col("pubmed_id").alias("pmid"), F.col("pmcid")
     )
-    looked_up = biblio_lookup(asked, snapshots.biblio, snapshots.fallback)
+    looked_up = _found(asked, snapshots)
     records = known.select("row_no", "record").unionByName(
         _record(looked_up)
     )
@@ -103,7 +138,7 @@ def ingest_release(
     merged = cut_lineage(merge_release(rows.join(records, "row_no", "left")))
     changed = cut_lineage(_link(merged, snapshots))
     keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
-    return Ingested(changed, _last_keys(keyed), errors)
+    return Ingested(changed, _last_keys(keyed), failed)
 
 
 def _record(found: DataFrame) -> DataFrame:
@@ -117,23 +152,21 @@ def _last_keys(keyed: DataFrame) -> DataFrame:
 
 
 def ingest_ids(
-    entries: DataFrame, id_map: DataFrame, keys: DataFrame, snapshots: Snapshots
+    entries: DataFrame, id_map: DataFrame, keys: DataFrame, snapshots: Snapshots, sample: int | None = None
 ) -> Ingested:
     """Take a list (row_no, kind, key) into the state.
 
     Unlike releases, known identifiers are processed again under their id. An entry keeps
     the identifier it was asked for. Where several lines lead to one id, the last one counts.
+    `sample` takes that many articles only.
     """
     resolved = resolve_ids(keys, id_map).where("id is not null")
-    rows = cut_lineage(last_wins(resolved, ["id"], "row_no").select("row_no", "kind", "key", "id"))
+    rows = cut_lineage(_sampled(last_wins(resolved, ["id"], "row_no").select("row_no", "kind", "key", "id"), sample))
     given = {k: F.when(F.col("kind") == k, F.col("key")) for k in ("doi", "pmid", "pmcid")}
 
     known = rows.select("row_no", "id").join(_as_record(entries), "id", "inner")
     unknown = rows.join(known.select("row_no"), "row_no", "left_anti")
-    looked_up = biblio_lookup(
-        unknown.select("row_no", *[c.alias(k) for k, c in given.items()]),
-        snapshots.biblio, snapshots.fallback,
-    )
+    looked_up = _found(unknown.select("row_no", *[c.alias(k) for k, c in given.items()]), snapshots)
     records = known.select("row_no", "record").unionByName(_record(looked_up))
     joined = rows.join(records, "row_no", "left")
     record = F.col("record")
@@ -143,7 +176,7 @@ def ingest_ids(
     ])
     changed = cut_lineage(_link(cut_lineage(init_flags(filled)), snapshots))
     keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
-    return Ingested(changed, _last_keys(keyed), keys.where("key is null"))
+    return Ingested(changed, _last_keys(keyed), rejected(keys.where("key is null"), "no identifier"))
 
 
 def reprocess_failed(

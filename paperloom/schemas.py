@@ -23,9 +23,12 @@ ENTRY = T.StructType(
 
 ID_MAP = T.StructType(_strings("kind", "key", "id"))
 
+# The ledger of rows that a run could not take.
+ERRORS = T.StructType(_strings("batch", "reason", "line"))
+
 COMMITS = T.StructType(
     [T.StructField("version", T.LongType()), T.StructField("batch", T.StringType()),
-     T.StructField("full", T.BooleanType())]
+     T.StructField("full", T.BooleanType()), T.StructField("token", T.StringType())]
 )
 
 LOCATION = T.StructType(_strings("url", "url_for_pdf"))

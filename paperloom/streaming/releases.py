@@ -18,7 +18,7 @@ from paperloom.schemas import ID_MAP
 from paperloom.sinks.state import write_state
 from paperloom.sources.order import file_place
 from paperloom.sources.releases import read_release, shape_release
-from paperloom.sources.state import read_commits, read_state
+from paperloom.sources.state import is_taken, read_all_commits, read_errors, read_state
 from paperloom.values import RELEASE_COLUMNS
 
 
@@ -48,21 +48,22 @@ def stream_releases(
     """Ingest every batch of release rows into the state under `root`.
 
     The number of the batch is committed with the state version it made, so a batch that is
-    replayed after a failure is not taken twice.
+    replayed after a failure is not taken twice, even if the state was compacted since. Rows that
+    cannot be taken go into the ledger and are tried again with the next batch.
     """
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        commits, mark = read_commits(spark, root), f"{checkpoint}#{number}"
-        if any(c["batch"] == mark for c in commits):
+        mark, seen = f"{checkpoint}#{number}", len(read_all_commits(spark, root))
+        if is_taken(spark, root, mark):
             return
-        entries, id_map = read_state(spark, root, commits)
+        entries, id_map = read_state(spark, root)
         # The stream says which files are new; each is read by its own header.
         files = sorted(r["file"] for r in batch.select("place.file").distinct().collect())
         if not files:
             return
         rows = read_release(spark, *map(unquote, files), multi_line=multi_line)
-        done = ingest_release(entries, id_map, rows, snapshots)
-        write_state(spark, root, done.changed, done.keys, mark)
+        done = ingest_release(entries, id_map, rows, snapshots, errors=read_errors(spark, root, last=True))
+        write_state(spark, root, done.changed, done.keys, mark, errors=done.errors, read_at=seen)
 
     return (
         stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
@@ -86,7 +87,7 @@ def stream_entries(updates: DataFrame, root: str, checkpoint: str) -> StreamingQ
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         mark = f"{checkpoint}#{number}"
-        if not any(c["batch"] == mark for c in read_commits(spark, root)):
+        if not is_taken(spark, root, mark):
             latest = last_wins(batch, ["id"], "version").drop("version")
             write_state(spark, root, latest, spark.createDataFrame([], ID_MAP), mark)
 

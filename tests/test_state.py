@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,11 +37,11 @@ def test_first_run_reads_empty_state(spark, tmp_path):
 def test_versions_deltas_compaction_and_reset(spark, tmp_path):
     root = str(tmp_path / "s")
     first = entries(spark, ("a", "1"), ("b", "2"))
-    assert sinks.write_state(spark, root, first, latest_keys(first)) == 0
+    assert sinks.write_state(spark, root, first, latest_keys(first, "id")) == 0
     second = entries(spark, ("b", "3"), ("c", "4"))
-    sinks.write_state(spark, root, second, latest_keys(second), "r2")
+    sinks.write_state(spark, root, second, latest_keys(second, "id"), "r2")
     third = entries(spark, ("b", "5"))
-    sinks.write_state(spark, root, third, latest_keys(third), "r3")
+    sinks.write_state(spark, root, third, latest_keys(third, "id"), "r3")
     want = [("a", "1"), ("b", "5"), ("c", "4")]
     state, id_map = sources.read_state(spark, root)
     assert sorted(map(tuple, state.select("id", "doi").collect())) == want
@@ -56,24 +57,74 @@ def test_versions_deltas_compaction_and_reset(spark, tmp_path):
 def test_a_run_that_died_before_its_commit_leaves_no_trace(spark, tmp_path):
     root = str(tmp_path / "s")
     first = entries(spark, ("a", "1"))
-    sinks.write_state(spark, root, first, latest_keys(first))
+    sinks.write_state(spark, root, first, latest_keys(first, "id"))
     entries(spark, ("dead", "0")).write.parquet(f"{root}/entries/version=1")
     assert [r["id"] for r in sources.read_state(spark, root)[0].collect()] == ["a"]
     second = entries(spark, ("b", "2"))
-    assert sinks.write_state(spark, root, second, latest_keys(second)) == 1
+    assert sinks.write_state(spark, root, second, latest_keys(second, "id")) == 1
     assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == ["a", "b"]
 
 
 def test_the_last_put_holds_a_key(spark):
     put = spark.createDataFrame([("z", "10.1/a", 1), ("b", "10.1/a", 2)], "id string, doi string, at int")
     held = lambda keys: keys.where("kind = 'doi'").first()["id"]
-    assert held(latest_keys(put, "at")) == "b" and held(latest_keys(put)) == "z"
+    assert held(latest_keys(put, "at")) == "b"
+    with pytest.raises(TypeError):
+        latest_keys(put)
+
+
+def test_a_second_writer_is_refused(spark, tmp_path, monkeypatch):
+    """One that read the state before the other's commit, and one that would commit in the same place."""
+    root = str(tmp_path / "s")
+    first = entries(spark, ("a", "1"))
+    sinks.write_state(spark, root, first, latest_keys(first, "id"))
+    seen = len(sources.read_all_commits(spark, root))
+    sinks.write_state(spark, root, entries(spark, ("b", "2")), latest_keys(first, "id"), read_at=seen)
+    with pytest.raises(sinks.StateConflict):
+        sinks.write_state(spark, root, entries(spark, ("c", "3")), latest_keys(first, "id"), read_at=seen)
+    from paperloom.sinks import state
+    monkeypatch.setattr(state, "read_all_commits", lambda spark, root: sources.read_all_commits(spark, root)[:1])
+    with pytest.raises(sinks.StateConflict):
+        sinks.write_state(spark, root, entries(spark, ("d", "4")), latest_keys(first, "id"))
+    assert sorted(r["id"] for r in sources.read_state(spark, root)[0].collect()) == ["a", "b"]
+
+
+def test_marks_and_ledger_outlive_compaction(spark, tmp_path):
+    root = str(tmp_path / "s")
+    rows = entries(spark, ("a", "1"))
+    bad = spark.createDataFrame([("no identifier", '{"title": "x"}')], "reason string, line string")
+    sinks.write_state(spark, root, rows, latest_keys(rows, "id"), "c#0", errors=bad)
+    sinks.compact_state(spark, root)
+    assert sources.is_taken(spark, root, "c#0") and not sources.is_taken(spark, root, "c#1")
+    ledger = [tuple(r) for r in sources.read_errors(spark, root).orderBy("version").collect()]
+    assert ledger == [(0, "c#0", "no identifier", '{"title": "x"}'), (1, "compact", "no identifier", '{"title": "x"}')]
+    assert sources.read_errors(spark, root, last=True).count() == 1
+    assert sources.read_errors(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_failed_rows_are_tried_again(spark, views):
+    """A row of the ledger that has a key by now, as its reader learned more, comes before the release."""
+    line = '{"cord_uid": "late", "title": "Late", "doi": "10.9/late"}'
+    errors = spark.createDataFrame([("no identifier", line), ("no identifier", '{"title": "still none"}')], "reason string, line string")
+    meta = views.meta.where("row_no < 3")
+    done = ingest_release(views.entries, views.id_map, meta, views.snapshots, errors=errors)
+    assert done.changed.where("id = 'late' and title = 'Late'").count() == 1
+    assert [json.loads(r["line"]) for r in done.errors.collect()] == [{"title": "still none"}]
+
+
+def test_index_serves_an_update(spark, views, tmp_path):
+    s = views.snapshots
+    sinks.write_biblio_index(spark, s.biblio, str(tmp_path / "i"), s.fallback)
+    kept = replace(s, index=sources.read_biblio_index(spark, str(tmp_path / "i")))
+    rows = views.meta.where("row_no < 60")
+    a, b = (ingest_release(views.entries, views.id_map, rows, x) for x in (s, kept))
+    assert rows_of(a.changed.drop("raw")) == rows_of(b.changed.drop("raw")) and not a.changed.isEmpty()
 
 
 def test_open_records_survive_the_state(spark, tmp_path):
     root = str(tmp_path / "s")
     row = conform(spark.sql("""select 'a' as id, parse_json('{"x": [1, {"y": null}]}') as raw"""), ENTRY)
-    sinks.write_state(spark, root, row, latest_keys(row))
+    sinks.write_state(spark, root, row, latest_keys(row, "id"))
     back = sources.read_state(spark, root)[0]
     assert json.loads(back.select(F.to_json("raw")).first()[0]) == {"x": [1, {"y": None}]}
     line = json.loads(sinks.dump_metadata(back).first()["line"])
@@ -128,7 +179,7 @@ def test_rows_without_uid_get_an_id_from_their_keys_and_keyless_rows_are_errors(
     ], "row_no long, cord_uid string, doi string, pmcid string, pubmed_id string, title string"))
     none = spark.createDataFrame([], ENTRY), spark.createDataFrame([], ID_MAP)
     done = ingest_release(*none, release, empty_snapshots(spark))
-    assert [r["title"] for r in done.errors.collect()] == ["lost"]
+    assert [json.loads(r["line"])["title"] for r in done.errors.collect()] == ["lost"]
     assert sorted(r["title"] for r in done.changed.collect()) == ["by doi", "by pmid", "by uid", "later"]
 
 
