@@ -420,7 +420,8 @@ oracle("ingest_sample", f"select {_OUT} from changed", {
 oracle("ingest_release_again", "select uid as id, 'first' as run from taken", _TAKEN, _accepted("rows_keyed", _KNOWN))
 oracle("ingest_errors", """
 select version, batch, 'no identifier' as reason, title from fx_meta, (values (0, 'first'), (1, 'second')) b(version, batch) where row_no % 7 = 0""")
-oracle("stream_releases", _AFTER, _TAKEN, _accepted("rows_keyed", _KNOWN))
+for _name in ("stream_releases", "stream_two_headers"):
+    oracle(_name, _AFTER, _TAKEN, _accepted("rows_keyed", _KNOWN))
 for _list, _kind, _asked in (("id", "doi", "dkey"), ("pmid", "pmid", "pmid_key"), ("pmcid", "pmcid", "pmcid_key")):
     oracle(f"ingest_{_list}_list", f"""
 select id, doi, pmid, pmcid, pii, title, year, oa_link, oa_source, {", ".join(FLAGS)}, {_path('id')} as data_path from changed""", {
@@ -501,7 +502,8 @@ from files where kind in ('pdf', 'nxml', 'pdf_tei', 'json', 'ref_annotations', '
   and (kind <> 'pdf' or valid) and id in (select id from fx_entries) group by id, kind""")
 
 # Through files
-oracle("release_files", "select cord_uid, sha, source_x, " + ", ".join(
+for _name in ("release_files", "release_two_headers"):
+    oracle(_name, "select cord_uid, sha, source_x, " + ", ".join(
     f"nullif({c}, '') as {c}" for c in ("title", "doi", "pmcid", "pubmed_id", "license", "abstract", "publish_time", "url"))
     + " from fx_meta")
 oracle("id_list_files", "select kind, key, count(*) as n from key_rows group by kind, key")

@@ -820,36 +820,56 @@ def state_reset(v):
 # Streams
 
 
-def _releases(v, parts: int):
-    """The release as several folders of files, one written per step, in row order."""
+def _releases(v, parts: int, turned: bool = False):
+    """The release as several folders of files, one written per step, in row order.
+
+    `turned`: every second folder has its columns in another order, and one more.
+    """
     folder, rows = v.path("parts"), v.meta
     last = rows.agg(F.max("row_no")).first()[0]
     for at in range(parts):
         low, high = last * at // parts, last * (at + 1) // parts
         part = rows.where((F.col("row_no") > low - (at == 0)) & (F.col("row_no") <= high))
-        ordered = part.repartitionByRange("row_no").sortWithinPartitions("row_no")
-        sinks.write_csv(ordered.drop("row_no"), f"{folder}/part{at}")
+        ordered = part.repartitionByRange("row_no").sortWithinPartitions("row_no").drop("row_no")
+        if turned and at % 2:
+            ordered = ordered.select(*reversed(ordered.columns), F.lit("more").alias("note"))
+        sinks.write_csv(ordered, f"{folder}/part{at}")
         yield folder
 
 
 @query
-def stream_releases(v):
+def release_two_headers(v):
+    for folder in _releases(v, 3, turned=True):
+        pass
+    paths = [f"{folder}/part{at}" for at in range(3)]
+    return sources.read_release(v.spark, *paths).drop("row_no", "authors", "journal", "mag_id", "who_covidence_id", "arxiv_id")
+
+
+def _streamed(v, turned: bool) -> DataFrame:
     """Each release is written and taken by a run of the stream that goes on from the last."""
     root, progress = v.path("state"), v.path("progress")
     sinks.write_state(v.spark, root, v.entries, v.id_map)
-    columns = tuple(c for c in v.meta.columns if c != "row_no")
-    for folder in _releases(v, 2):
-        rows = streaming.release_stream(v.spark, folder, columns)
-        streaming.stream_releases(rows, root, v.snapshots, progress).awaitTermination()
+    for folder in _releases(v, 2, turned):
+        found = streaming.release_files(v.spark, folder)
+        streaming.stream_releases(found, root, v.snapshots, progress).awaitTermination()
     return sources.read_state(v.spark, root)[0].select(*ENTRY_OUT)
 
 
+@query
+def stream_releases(v):
+    return _streamed(v, turned=False)
+
+
+@query
+def stream_two_headers(v):
+    return _streamed(v, turned=True)
+
+
 @query
 def stream_first_seen(v):
     out, progress = v.path("seen"), v.path("progress")
-    columns = tuple(c for c in v.meta.columns if c != "row_no")
-    for folder in _releases(v, 2):
-        rows = streaming.release_stream(v.spark, folder, columns)
+    for folder in _releases(v, 2, turned=True):
+        rows = streaming.release_rows(streaming.release_files(v.spark, folder))
         (streaming.stream_first_seen(rows).select("cord_uid").writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", progress)
          .trigger(availableNow=True).start().awaitTermination())

@@ -6,18 +6,6 @@ from pyspark.sql import functions as F
 from paperloom.runtime import cut_lineage
 
 
-def file_place() -> Column:
-    """File and block of a row."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
-
-
-def order_within(place: str) -> Column:
-    """Position of a row whose file and block are in the column `place`."""
-    return F.struct(f"{place}.file", f"{place}.block", F.monotonically_increasing_id().alias("line"))
-
-
 def file_order() -> Column:
     """Position of a row: file path, then block, then place within the block.
 

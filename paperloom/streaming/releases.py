@@ -1,72 +1,94 @@
 """Incremental runs as streams of release files and of entry versions."""
 
+import csv
+import io
 from collections.abc import Iterator
-from urllib.parse import unquote
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from paperloom import files
 from paperloom.functions import present
 from paperloom.operators.dedup import last_wins
 from paperloom.operators.reports import flag_classes, waterfall_of
 from paperloom.plans.ingest import Snapshots, ingest_release
 from paperloom.schemas import ID_MAP
 from paperloom.sinks.state import write_state
-from paperloom.sources.order import file_place
-from paperloom.sources.releases import read_release, shape_release
+from paperloom.sources.releases import as_pattern, read_release, shape_release
 from paperloom.sources.state import is_taken, read_all_commits, read_errors, read_state
 from paperloom.values import RELEASE_COLUMNS
 
 
-def release_stream(
-    spark: SparkSession, folder: str, columns: tuple[str, ...] = RELEASE_COLUMNS,
-    multi_line: bool = True, files_per_batch: int | None = None,
-) -> DataFrame:
-    """Stream of release rows, with their `place`, from CSV files that come to rest in `folder`.
+# Rows of a frame that a task gives at once, and columns of the stream of files.
+PAGE = 5_000
+FILE = "path string, modificationTime timestamp, length long, content binary"
 
-    Rows of one batch are ordered by file path. `files_per_batch=1` makes a batch of each file,
-    for folders where several releases wait, each in one file.
+
+def release_files(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Stream of (path, length) of the CSV files that come to rest in `folder`; no content is read.
+
+    `files_per_batch=1` makes a batch of each file, for folders where several releases wait.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     reader = (
-        spark.readStream.schema(schema).option("header", "true").option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"')
+        spark.readStream.format("binaryFile").schema(FILE)
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
     )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return shape_release(reader.csv(folder).withColumn("place", file_place()), "place")
+    return reader.load(folder).select("path", "length")
+
+
+def release_rows(found: DataFrame) -> DataFrame:
+    """Release rows, with their `path`, of the files (path, ...): each is read once, by its own header.
+
+    The task that gets a file goes through it row by row and takes columns by name, so files of both
+    generations of headers, or with their columns in another order, may come in one batch.
+    """
+    names = RELEASE_COLUMNS
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(1 << 31)
+        for batch in batches:
+            for path in batch["path"]:
+                store, name = files.store_of(files.file_uri(path))
+                with store.open_input_stream(name) as stream:
+                    rows = csv.DictReader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline=""))
+                    while page := list(islice(rows, PAGE)):
+                        yield pd.DataFrame([[path, *map(row.get, names)] for row in page], columns=["path", *names])
+
+    schema = ", ".join(f"`{c}` string" for c in ("path", *names))
+    return shape_release(found.select("path").mapInPandas(read, schema), "path")
 
 
 def stream_releases(
-    stream: DataFrame, root: str, snapshots: Snapshots, checkpoint: str, multi_line: bool = True
+    found: DataFrame, root: str, snapshots: Snapshots, checkpoint: str, multi_line: bool = True
 ) -> StreamingQuery:
-    """Ingest every batch of release rows into the state under `root`.
+    """Ingest every batch of the stream `release_files` into the state under `root`.
 
-    The number of the batch is committed with the state version it made, so a batch that is
-    replayed after a failure is not taken twice, even if the state was compacted since. Rows that
-    cannot be taken go into the ledger and are tried again with the next batch.
+    Rows of one batch are ordered by file path, and each file is read by its own header. The number of
+    the batch is committed with the state version it made, so a batch that is replayed after a
+    failure is not taken twice, even if the state was compacted since. Rows that cannot be taken
+    go into the ledger and are tried again with the next batch.
     """
     def take(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         mark, seen = f"{checkpoint}#{number}", len(read_all_commits(spark, root))
         if is_taken(spark, root, mark):
             return
-        entries, id_map = read_state(spark, root)
-        # The stream says which files are new; each is read by its own header.
-        files = sorted(r["file"] for r in batch.select("place.file").distinct().collect())
-        if not files:
+        paths = sorted(as_pattern(r["path"]) for r in batch.select("path").collect())
+        if not paths:
             return
-        rows = read_release(spark, *map(unquote, files), multi_line=multi_line)
+        entries, id_map = read_state(spark, root)
+        rows = read_release(spark, *paths, multi_line=multi_line)
         done = ingest_release(entries, id_map, rows, snapshots, errors=read_errors(spark, root, last=True))
         write_state(spark, root, done.changed, done.keys, mark, errors=done.errors, read_at=seen)
 
     return (
-        stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        found.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 

@@ -197,9 +197,8 @@ def test_lists_reuse_known_entries_and_keep_the_given_key(spark):
 def test_stream_does_not_take_a_replayed_batch_twice(spark, tmp_path, views):
     root, folder = str(tmp_path / "s"), str(tmp_path / "in")
     sinks.write_csv(views.meta.drop("row_no"), f"{folder}/r1")
-    columns = tuple(c for c in views.meta.columns if c != "row_no")
     for _ in range(2):
-        rows = streaming.release_stream(spark, folder, columns)
+        rows = streaming.release_files(spark, folder)
         streaming.stream_releases(rows, root, empty_snapshots(spark), str(tmp_path / "c")).awaitTermination()
     assert len(sources.read_commits(spark, root)) == 1
     taken = ingest_release(spark.createDataFrame([], ENTRY), spark.createDataFrame([], ID_MAP), views.meta, empty_snapshots(spark))
@@ -209,9 +208,9 @@ def test_stream_does_not_take_a_replayed_batch_twice(spark, tmp_path, views):
 def test_stream_reads_each_release_by_its_own_header(spark, tmp_path):
     root, folder = str(tmp_path / "s"), tmp_path / "in"
     folder.mkdir()
-    (folder / "a.csv").write_text("cord_uid,sha,title,doi,url\nu1,,T1,10.1/a,http://u1\n")
+    (folder / "a[1].csv").write_text("cord_uid,sha,title,doi,url\nu1,,T1,10.1/a,http://u1\n")
     (folder / "b.csv").write_text("cord_uid,title,sha,doi,url,arxiv_id\nu2,T2,,10.1/b,http://u2,x2\n")
-    rows = streaming.release_stream(spark, str(folder))
+    rows = streaming.release_files(spark, str(folder))
     streaming.stream_releases(rows, root, empty_snapshots(spark), str(tmp_path / "c")).awaitTermination()
     got = {r["id"]: (r["title"], r["doi"]) for r in sources.read_state(spark, root)[0].collect()}
     assert got == {"u1": ("T1", "10.1/a"), "u2": ("T2", "10.1/b")}
@@ -258,3 +257,23 @@ def test_files_to_dump_end_to_end(spark, tmp_path):
     assert second["oaLink"] == "ftp://ftp.ncbi.nlm.nih.gov/pub/pmc/oa/2.tar.gz" and second["has_valid_oa_url"]
     assert {(r["kind"], r["key"], r["id"]) for r in id_map.collect()} == {
         ("id", "u1", "u1"), ("doi", "10.1/a", "u1"), ("pmid", "5", "u1"), ("id", "u2", "u2"), ("pmcid", "PMC2", "u2")}
+
+
+def test_rows_of_a_stream_by_each_files_header(spark, tmp_path, monkeypatch):
+    """Line breaks and quotes in fields, a byte order mark, columns in any order, names that look like patterns."""
+    from paperloom.streaming import releases
+
+    monkeypatch.setattr(releases, "PAGE", 2)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a [x]{1}.csv").write_text("cord_uid,title,doi,sha\nu1,\"two\nlines, \"\"quoted\"\"\",10.1/a,\nu2,T2,,s\nu3,,,\n")
+    (folder / "b.csv").write_text("﻿url,doi,cord_uid,unknown\nhttp://4,10.1/d,u4,x\n")
+    (folder / "c.csv").write_text("cord_uid,title\n")
+    rows = releases.release_rows(streaming.release_files(spark, str(folder)))
+    rows.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    got = {r["cord_uid"]: (r["title"], r["doi"], r["sha"], r["url"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"u1": ('two\nlines, "quoted"', "10.1/a", "", None), "u2": ("T2", None, "s", None), "u3": (None, None, "", None),
+                   "u4": (None, "10.1/d", "", "http://4")}
+    read = sources.read_release(spark, str(folder))
+    assert sorted(r["cord_uid"] for r in read.collect()) == ["u1", "u2", "u3", "u4"]
