@@ -94,32 +94,43 @@ def _summed(*parts: DataFrame) -> DataFrame:
     return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns])
 
 
+def _articles(release: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """(cord_uid, n_rows, year, has_fulltext) of a release, one row per article, in one pass over it.
+
+    The year is that of an article's first row. Rows without uid are counted in a row without uid, and
+    there is such a row in any case, so that no release is too empty to be counted.
+    """
+    per_uid = release.groupBy(present(F.col("cord_uid")).alias("cord_uid")).agg(
+        F.count("*").alias("n_rows"), F.min_by("publish_time", "row_no").alias("publish_time"))
+    rest = release.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("cord_uid"), F.lit(0).cast("long").alias("n_rows"), F.lit(None).cast("string").alias("publish_time"))
+    return with_fulltext(per_uid.unionByName(rest), artifacts).select(
+        "cord_uid", "n_rows", F.when(F.col("cord_uid").isNotNull(), publish_year(F.col("publish_time"))).alias("year"), "has_fulltext")
+
+
+def _collection_counts() -> list[Column]:
+    is_article = F.col("cord_uid").isNotNull()
+    return [F.sum("n_rows").alias("rows"), F.count_if(is_article).alias("articles"),
+            F.count_if(is_article & F.col("has_fulltext")).alias("harvested")]
+
+
 def collection_totals(release: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Rows, distinct articles and harvested articles of a release."""
-    articles = with_fulltext(_distinct_entries(release), artifacts).agg(
-        F.count("*").alias("total_distinct_entries"),
-        _count(F.col("has_fulltext"), "total_harvested_entries"),
-    )
-    return _summed(release.agg(F.count("*").alias("total_entries")), articles)
+    return _articles(release, artifacts).agg(*_collection_counts()).toDF(
+        "total_entries", "total_distinct_entries", "total_harvested_entries")
 
 
 def collection_rows(release: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """The statistics of a collection as rows (metric, year, n)."""
-    totals = collection_totals(release, artifacts)
-    pairs = F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.lit("").alias("year"), F.col(n).alias("n"))
-        for n in totals.columns
-    ])
-    years = with_fulltext(_distinct_entries(release), artifacts).select(
-        publish_year(F.col("publish_time")).alias("year"), "has_fulltext"
-    ).where("year is not null").groupBy("year").agg(
-        F.count("*").alias("distribution_entries_per_year"),
-        _count(F.col("has_fulltext"), "distribution_harvested_per_year"),
-    )
-    per_year = years.unpivot(
-        "year", ["distribution_entries_per_year", "distribution_harvested_per_year"], "metric", "n"
-    ).where("n > 0")
-    return totals.select(F.inline(pairs)).unionByName(per_year)
+    """The statistics of a collection as rows (metric, year, n): totals and years from one rollup."""
+    counts = _articles(release, artifacts).rollup("year").agg(F.grouping("year").alias("whole"), *_collection_counts())
+
+    def rows(year: Column, **metrics: str) -> Column:
+        return F.array(*[F.struct(F.lit(m).alias("metric"), year.alias("year"), F.col(c).alias("n")) for m, c in metrics.items()])
+
+    totals = rows(F.lit(""), total_entries="rows", total_distinct_entries="articles", total_harvested_entries="harvested")
+    years = rows(F.col("year"), distribution_entries_per_year="articles", distribution_harvested_per_year="harvested")
+    both = F.when(F.col("whole") == 1, totals).otherwise(F.filter(years, lambda r: r["n"] > 0))
+    return counts.where("whole = 1 or year is not null").select(F.inline(both))
 
 
 def coverage_report(rows: DataFrame, n_rows: DataFrame) -> DataFrame:

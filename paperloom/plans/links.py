@@ -2,14 +2,16 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions import doi_key, init_flags, present
-from paperloom.operators.joins import Load, key_load, spread_join
-from paperloom.operators.lookup import legacy_lookup, pmc_lookup, pub_file_lookup
+from paperloom.functions import doi_key, init_flags, join_url, present, storage_path
+from paperloom.operators.joins import spread_join
 from paperloom.values import PMC_ARCHIVE_BASE
 
+# What the rungs behind the publisher's are called.
+SOURCES = ("legacy", "pmc", "location")
+
 
 def resolve_oa_link(
     entries: DataFrame,
@@ -26,40 +28,51 @@ def resolve_oa_link(
 
     Ladder: publisher file, file of an older tree, PMC archive, chosen location (doi, url),
     the link the entry already has. Only entries without a valid address or PDF are looked at.
+    A DOI that the publisher map leads to a missing file ends the publisher's rung, so its PII
+    is not asked.
 
-    Every rung yields narrow candidates (id, at, source, url) by an inner join; the best per
-    entry is a combinable minimum, and entries are joined to it once. Entries that need
-    nothing are not shuffled.
+    The four sources make one index of narrow rows (kind, key, at, there, url), the entries one
+    list of probes (id, kind, key). One inner join brings them together, the best per entry is a
+    combinable minimum, and entries are joined to it once. Entries that need nothing are not shuffled.
     """
     flagged = init_flags(entries)
     settled = F.col("has_valid_oa_url") & F.col("has_valid_pdf")
     todo = flagged.where(~settled)
 
-    def candidate(rows: DataFrame, at: int, source: str, url) -> DataFrame:
-        return rows.select("id", F.lit(at).alias("at"), F.lit(source).alias("source"), url.alias("url"))
+    def offers(rows: DataFrame, kind, key: str, at, url, there=F.lit(True)) -> DataFrame:
+        kind, at = (F.lit(x) if not isinstance(x, Column) else x for x in (kind, at))
+        return rows.select(kind.alias("kind"), F.col(key).alias("key"), at.cast("int").alias("at"), there.alias("there"), url.alias("url"))
+
+    local = F.lit("file://")
+    files = pub_files.select("pdf").distinct().withColumn("there", F.lit(True))
+    mapped = spread_join(pub_map.withColumn("_k", F.concat_ws(":", "kind", "key")), files, ["pdf"], "left", "_k")
+    held = legacy.where((F.col("kind") == "pdf") & F.col("valid")).select("id").distinct()
+    stem = F.concat(local, F.lit(legacy_root.rstrip("/") + "/"), storage_path(F.col("id")), F.col("id"), F.lit(".pdf"))
+    index = reduce(DataFrame.unionByName, [
+        offers(mapped, F.concat(F.lit("pub-"), "kind"), "key", F.when(F.col("kind") == "doi", 0).otherwise(1),
+               F.concat(local, join_url(pub_base, F.col("pdf"))), F.coalesce("there", F.lit(False))),
+        offers(held, "id", "id", 2, stem),
+        offers(pmc_oa, "pmcid", "pmcid", 3, join_url(pmc_base, F.col("subpath"))),
+        offers(locations.where("url is not null"), "place", "doi", 4, F.col("url")),
+    ]).where("key is not null")
 
-    local = lambda c: F.concat(F.lit("file://"), F.col(c))
-    asked = todo.select("id", doi_key(F.col("doi")).alias("doi"), "pii", "pmcid")
-    load = key_load(asked, "doi", "pii", "pmcid")
-    either = Load(load.rows, {"key": load.heavy["doi"] + load.heavy["pii"]}, {"key": False})
-    placed = spread_join(
-        asked.select("id", "doi").where("doi is not null"),
-        locations.where("doi is not null and url is not null").select("doi", "url"),
-        ["doi"], "inner", "id", load,
-    )
-    published = pub_file_lookup(todo, pub_map, pub_files, pub_base, either)
-    best = reduce(DataFrame.unionByName, [
-        candidate(published.where("file_exists"), 1, "publisher", local("pdf_path")),
-        candidate(legacy_lookup(todo, legacy, legacy_root).where("pdf_path is not null"),
-                  2, "legacy", local("pdf_path")),
-        candidate(pmc_lookup(todo, pmc_oa, pmc_base, load), 3, "pmc", F.col("url")),
-        candidate(placed, 4, "location", F.col("url")),
-    ]).groupBy("id").agg(F.min(F.struct("at", "source", "url")).alias("best"))
+    doi = doi_key(F.col("doi"))
+    keys = {"pub-doi": doi, "pub-pii": present(F.col("pii")), "id": F.col("id"), "pmcid": present(F.col("pmcid")), "place": doi}
+    probes = todo.select("id", F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in keys.items()]))).where("key is not null")
+    hits = spread_join(probes, index, ["kind", "key"], "inner", "id").groupBy("id").agg(
+        F.min(F.when(F.col("at") < 2, F.struct("at", "there", "url"))).alias("published"),
+        F.min(F.when(F.col("at") >= 2, F.struct("at", "url"))).alias("other"))
+    sources = F.array(*map(F.lit, SOURCES))
+    is_published = F.coalesce(F.col("published.there"), F.lit(False))
+    best = hits.select(
+        "id", F.when(is_published, F.col("published.url")).otherwise(F.col("other.url")).alias("_url"),
+        F.when(is_published, F.lit("publisher")).otherwise(F.get(sources, F.col("other.at") - 2)).alias("_source"))
 
     old = present(F.col("oa_link"))
     resolved = todo.join(best, "id", "left").withColumns({
-        "oa_link": F.coalesce("best.url", old),
-        "oa_source": F.coalesce("best.source", F.when(old.isNotNull(), F.lit("existing"))),
-        "has_valid_oa_url": F.col("has_valid_oa_url") | F.coalesce("best.url", old).isNotNull(),
-    }).drop("best")
+        "oa_link": F.coalesce("_url", old),
+        "oa_source": F.coalesce("_source", F.when(old.isNotNull(), F.lit("existing"))),
+        "has_valid_oa_url": F.col("has_valid_oa_url") | F.coalesce("_url", old).isNotNull(),
+    }).drop("_url", "_source")
     return flagged.where(settled).unionByName(resolved, allowMissingColumns=True)
