@@ -69,11 +69,13 @@ def unit_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             node = unit = None
             if label is not None and embedding and None not in embedding:
                 x = np.array(embedding, np.float64)
-                norm = float(np.sqrt((x * x).sum())) if np.isfinite(x).all() else 0.0
-                if 0 < norm < math.inf:
+                largest = float(np.abs(x).max()) if np.isfinite(x).all() else 0.0
+                if largest > 0:
                     x = x + 0.0  # one zero
                     node = hashlib.blake2b(f"{label}/{len(x)}/".encode() + x.tobytes(), digest_size=16).digest()
-                    unit = (x / norm).tobytes()
+                    # By a power of two, which costs no digit: squares of huge and of tiny components stay in range.
+                    scaled = np.ldexp(x, -math.frexp(largest)[1])
+                    unit = (scaled / np.sqrt((scaled * scaled).sum())).tobytes()
             rows.append((vec_id, label, len(embedding) if unit else None, node, unit))
         kinds = (batch.schema.field(0).type, batch.schema.field(2).type, pa.int32(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(

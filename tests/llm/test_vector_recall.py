@@ -44,3 +44,14 @@ def test_long_vectors_hide_no_links_of_short_ones(spark):
     short, long = falling(rng, 900, 16), rng.normal(size=(20, 512))
     want = links_per_row(short) + links_per_row(long)
     assert found_per_row(spark, [(r.tolist(), 0) for r in (*short, *long)]) == want
+
+
+def test_huge_and_tiny_vectors_link_like_others(spark):
+    """Squares of these components are beyond the range of doubles; their directions are not."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 24))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.05, base * 3])
+    scale = 10.0 ** rng.choice([200, -200, 307, -300, 0], len(x))
+    want = links_per_row(x)
+    assert sum(want) > 30
+    assert found_per_row(spark, [((r * s / 10).tolist(), 0) for r, s in zip(x, scale)]) == want
