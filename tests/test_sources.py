@@ -152,3 +152,12 @@ def test_biblio_records_keep_both_spellings_and_the_rest(spark, tmp_path):
     assert json.loads(rows[0]["raw"])["own"] == {"x": 1}
     pruned = sources.read_fallback(spark, path).selectExpr("to_json(raw) as raw").first()["raw"]
     assert json.loads(pruned) == {"DOI": "10.1/A", "pmid": 5, "own": {"x": 1}}
+
+
+def test_part_files_go_by_their_number(spark, tmp_path):
+    names = ["b.txt", "part-99999-x.txt", "part-100000-x.txt", "part-2-x.txt", "a.txt"]
+    for name in names:
+        write(tmp_path / name, f"10.1/{name}\n")
+    write(tmp_path / "z" / "part-1", "10.1/z\n")
+    rows = sources.read_id_list(spark, f"{tmp_path}/*", "doi").orderBy("row_no").collect()
+    assert [r["key"].removeprefix("10.1/") for r in rows] == ["a.txt", "b.txt", "part-2-x.txt", "part-99999-x.txt", "part-100000-x.txt", "z"]
