@@ -27,21 +27,26 @@ def binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def edited(docs: DataFrame) -> DataFrame:
+def edited(docs: DataFrame, *more: str) -> DataFrame:
     """Three edits per document, from its end to its start, so that places hold in the given text:
-    a note behind it, its second line deleted, its first word replaced."""
+    a note behind it, its second line deleted, its first word replaced; (doc_id, text, `more`, edits)."""
     edits = F.expr("""
         array(named_struct('start', size, 'end', size, 'new', ' [end of document]'),
               named_struct('start', first, 'end', first + char_length(split_part(substring(t, first + 1), '\n', 1)), 'new', ''),
               named_struct('start', 0, 'end', char_length(split_part(split_part(t, '\n', 1), ' ', 1)), 'new', '[title]'))
     """)
-    measured = docs.select("doc_id", "text", F.coalesce("text", F.lit("")).alias("t")).select(
+    measured = docs.select("doc_id", "text", *more, F.coalesce("text", F.lit("")).alias("t")).select(
         "*", F.char_length("t").alias("size"), F.expr("char_length(split_part(t, '\n', 1)) + 1").alias("first"))
-    return measured.select("doc_id", "text", edits.alias("edits"))
+    return measured.select("doc_id", "text", *more, edits.alias("edits"))
 
 
 def edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_counts.count_edited(edited(documents(spark, sf_dir)), tokenizer_path())
+    """One row per document, repeated ones and those without text included: trees are written once, the edits
+    take that table."""
+    trees = stored(edit_counts.build_trees(documents(spark, sf_dir), tokenizer_path()), "trees")
+    text = F.array_join("parts", "").alias("text")
+    asked = edited(trees.select("doc_id", text, "parts", "tokens"), "parts", "tokens")
+    return edit_counts.apply_edits(asked, tokenizer_path(), with_trees=False)
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
