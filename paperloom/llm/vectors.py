@@ -17,7 +17,7 @@ from paperloom.llm.shared import stored
 # The index is fitted on at most SAMPLE vectors, those with the smallest hashes: at most LISTS coarse
 # centroids, and CODES codewords in each of about SUBSPACES subspaces of the residuals.
 SAMPLE, LISTS, CODES, SUBSPACES, STEPS = 16_384, 1024, 16, 16, 10
-# Vectors of a shelf, the unit that is compared with itself and with each other one.
+# Members of a shelf, and vectors that ask it in one tile, on the average. Short lists share a shelf, long ones take several.
 SHELF = 1024
 
 
@@ -49,12 +49,24 @@ def means(x: np.ndarray, k: int) -> np.ndarray:
     return centers
 
 
+def chained(centers: np.ndarray) -> np.ndarray:
+    """The centres from near to near, each behind its nearest one of those before, so that neighbours share shelves."""
+    far = squared_distances(centers, centers)
+    order = [0]
+    left = np.ones(len(centers), bool)
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, far[order[-1]], np.inf).argmin()))
+        left[order[-1]] = False
+    return centers[order]
+
+
 def fit(vectors: np.ndarray, n_all: int) -> Index:
     """Index for `n_all` vectors from a sample of unit vectors."""
     subspaces = min(SUBSPACES, vectors.shape[1])
     dim = -(-vectors.shape[1] // subspaces) * subspaces
     x = np.pad(vectors, ((0, 0), (0, dim - vectors.shape[1])))
-    centroids = means(x, max(1, min(LISTS, math.isqrt(n_all), len(x))))
+    centroids = chained(means(x, max(1, min(LISTS, math.isqrt(n_all), len(x)))))
     residuals = x - centroids[squared_distances(x, centroids).argmin(1)]
     parts = residuals.reshape(len(x), subspaces, -1)
     codewords = np.stack([means(parts[:, s], min(CODES, len(x))) for s in range(subspaces)])
@@ -83,9 +95,21 @@ def unit_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["vec_id", "label", "dim", "node", "unit"])
 
 
-def encode_rows(index: Index) -> Callable:
-    """(node, copies, label, dim, unit) with `list`, residual codes and their error added."""
+def probes(x: np.ndarray, home: np.ndarray, index: Index, cosine: float, lists: np.ndarray) -> np.ndarray:
+    """Which of `lists` each vector probes: all that a vector within reach can be at home in, whatever way it lies.
+
+    That a list is further off than the own one, in squares, changes by at most 2 * between per step.
+    """
+    reach, centers = math.sqrt(2 - 2 * cosine), index.centroids[lists]
+    own = index.centroids[home]
+    between = np.sqrt(np.maximum(squared_distances(own, centers), 0))
+    return squared_distances(x, centers) - ((x - own) ** 2).sum(1)[:, None] <= 2 * reach * between + 1e-9
+
+
+def encode_rows(index: Index, cosine: float) -> Callable:
+    """(node, copies, label, dim, unit) with `list`, residual codes, their error and the lists to probe added."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        everywhere = np.arange(len(index.centroids))
         for batch in batches:
             if batch.num_rows:
                 x = np.stack([np.pad(u, (0, index.dim - len(u)))
@@ -97,10 +121,14 @@ def encode_rows(index: Index) -> Callable:
                 codes = np.stack([squared_distances(parts[:, s], index.codewords[s]).argmin(1) for s in range(subspaces)], 1)
                 coded = index.codewords[np.arange(subspaces), codes].reshape(len(x), -1)
                 error = np.linalg.norm(residuals - coded, axis=1)
+                probed = probes(x, home, index, cosine, everywhere)
+                probed[np.arange(len(x)), home] = True
+                starts = np.concatenate(([0], probed.sum(1).cumsum()))
+                asked = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(probed.nonzero()[1], pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(home, pa.int32()),
-                     pa.array([c.astype(np.uint8).tobytes() for c in codes], pa.binary()), pa.array(error)],
-                    names=[*batch.schema.names, "list", "codes", "error"])
+                     pa.array([c.astype(np.uint8).tobytes() for c in codes], pa.binary()), pa.array(error), asked],
+                    names=[*batch.schema.names, "list", "codes", "error", "probes"])
 
     return run
 
@@ -117,26 +145,15 @@ def tile_links(index: Index, cosine: float) -> Callable:
             "codes": np.stack([np.frombuffer(c, np.uint8) for c in rows["codes"].to_pylist()]),
         }
 
-    def probes(q: dict, lists: np.ndarray) -> np.ndarray:
-        """Which of `lists` each query probes: all that a vector within reach can be at home in, whatever way it lies.
-
-        That a list is further off than the own one, in squares, changes by at most 2 * between per step.
-        """
-        d = squared_distances(q["x"], index.centroids[lists])
-        own = index.centroids[q["list"]]
-        at_home = ((q["x"] - own) ** 2).sum(1)
-        between = np.sqrt(np.maximum(squared_distances(own, index.centroids[lists]), 0))
-        return d - at_home[:, None] <= 2 * reach * between + 1e-9
-
-    def links(q: dict, m: dict, alone: bool) -> np.ndarray:
-        """Whether query and member are linked, each pair once."""
+    def links(q: dict, m: dict) -> np.ndarray:
+        """Whether query and member are linked."""
         found = np.zeros((len(q["x"]), len(m["x"])), bool)
         words = index.codewords
         subspaces = len(words)
         # Distances to a coded member: |q - c|^2 - 2 (q, r) + (|r|^2 + 2 (c, r)), where (q, r) is looked up.
         tables = np.einsum("qsw,skw->sqk", q["x"].reshape(len(q["x"]), subspaces, -1), words)
         lists, at = np.unique(m["list"], return_inverse=True)
-        probed = probes(q, lists)
+        probed = probes(q["x"], q["list"], index, cosine, lists)
         coded = words[np.arange(subspaces), m["codes"]].reshape(len(m["x"]), -1)
         fixed = (coded * coded).sum(1) + 2 * (coded * index.centroids[m["list"]]).sum(1)
         near = (reach + m["error"]) ** 2
@@ -154,63 +171,100 @@ def tile_links(index: Index, cosine: float) -> Callable:
             if len(rows):
                 exact = q["unit"][queries[rows]] @ m["unit"][members].T >= cosine
                 found[np.ix_(queries[rows], members)] = exact & asked[rows]
-        if alone:
-            # Both directions were asked; a pair counts if either found it.
-            found = np.triu(found | found.T, 1)
         return found
 
     def run(rows: pa.Table) -> pa.Table:
         role = rows["role"].to_numpy()
-        alone = rows["low"][0].as_py() == rows["high"][0].as_py()
-        members, queries = rows.filter(pa.array(role == 0)), rows.filter(pa.array(role == 1))
-        queries = members if alone else queries
+        members, queries = rows.filter(pa.array(role != 1)), rows.filter(pa.array(role != 0))
         nodes: list[bytes] = []
         sums = np.zeros(0, np.int64)
         roots: list[bytes] = []
         if members.num_rows and queries.num_rows:
-            m = vectors(members)
-            q = m if alone else vectors(queries)
-            found = links(q, m, alone)
+            q, m = vectors(queries), vectors(members)
+            found = links(q, m)
+            # Those at home here ask each other, so a pair of them counts where the lesser node asks.
+            names = [np.array(t["node"].to_pylist(), object) for t in (queries, members)]
+            at_home = np.flatnonzero(queries["at_home"].to_numpy())
+            found[at_home] &= names[0][at_home, None] < names[1]
             if found.any():
-                nodes, sums, roots = gathered(found, q, m, queries, members, alone)
+                nodes, sums, roots = gathered(found, q["copies"], m["copies"], *names)
         return pa.table({"node": pa.array(nodes, pa.binary()), "n_links": pa.array(sums, pa.int64()),
                          "root": pa.array(roots, pa.binary())})
 
-    def gathered(found, q, m, queries, members, alone):
-        of_q, of_m = found @ m["copies"], found.T @ q["copies"]
+    def gathered(found, q_copies, m_copies, q_names, m_names):
+        of_q, of_m = found @ m_copies, found.T @ q_copies
         left, right = np.flatnonzero(of_q), np.flatnonzero(of_m)
-        names = [*np.array(queries["node"].to_pylist(), object)[left], *np.array(members["node"].to_pylist(), object)[right]]
-        order = {n: i for i, n in enumerate(sorted(set(names)))}
+        names = [*q_names[left], *m_names[right]]
+        by_rank = sorted(set(names))
+        order = {n: i for i, n in enumerate(by_rank)}
         label = np.array([order[n] for n in names])
-        a, b = label[:len(left)], label[len(left):]
-        some = found[np.ix_(left, right)]
+        some, root = found[np.ix_(left, right)], np.arange(len(order))
         while True:
-            # In a tile of one shelf a vector may stand on both sides.
+            # A vector may stand on both sides.
+            a, b = root[label[:len(left)]], root[label[len(left):]]
             new_a = np.minimum(a, np.where(some, b, len(order)).min(1))
             new_b = np.minimum(b, np.where(some, new_a[:, None], len(order)).min(0))
-            if alone:
-                least = np.full(len(order), len(order))
-                np.minimum.at(least, label, np.concatenate((new_a, new_b)))
-                new_a, new_b = least[label[:len(left)]], least[label[len(left):]]
-            if (new_a == a).all() and (new_b == b).all():
+            new = root.copy()
+            np.minimum.at(new, label, np.concatenate((new_a, new_b)))
+            if (new == root).all():
                 break
-            a, b = new_a, new_b
-        by_rank = sorted(order)
-        roots = [by_rank[r] for r in np.concatenate((a, b)).tolist()]
-        return names, np.concatenate((of_q[left], of_m[right])), roots
+            root = new
+        return names, np.concatenate((of_q[left], of_m[right])), [by_rank[r] for r in root[label].tolist()]
 
     return run
 
 
+def tiles_of(encoded: DataFrame, n_lists: int) -> DataFrame:
+    """Rows of `encoded` in the tiles where they meet: (label, dim, at, block, shelf), role 0 as a member, 1 as a
+    query, 2 as both; `at_home` tells whether they are at home in the part `at` of their label.
+
+    The lists of a label are gathered in parts of SHELF members or one long list. A vector asks its own part and
+    those behind it that hold a list it probes. A part's members are dealt over shelves, those who ask it over
+    blocks; each pair of shelf and block is a tile. A row is sent as often as there are such tiles, so rows grow with the
+    pairs of vectors and lists probed. To the layout go at most `n_lists` numbers per label.
+    """
+    part = ["label", "dim"]
+    order = W.partitionBy(*part).orderBy("list").rowsBetween(W.unboundedPreceding, -1)
+    sizes = encoded.groupBy(*part, "list").agg(F.count("*").alias("members"))
+    placed = stored(sizes.select(*part, "list", "members", F.floor(
+        F.coalesce(F.sum("members").over(order), F.lit(0)) / SHELF).alias("home")), "placed")
+    layout = placed.groupBy(*part).agg(F.map_from_entries(F.collect_list(F.struct("list", "home"))).alias("homes"))
+    layout = stored(layout.select(*part, F.transform(
+        F.sequence(F.lit(0), F.lit(n_lists - 1)), lambda i: F.col("homes")[i]).alias("homes")), "layout")
+    home = F.get("homes", F.col("list"))
+    asked = F.array_distinct(F.transform("probes", lambda p: F.get(F.col("homes"), p)))
+    spread = encoded.join(layout, part).select(
+        *[c for c in encoded.columns if c != "probes"], home.alias("home"),
+        F.explode(F.filter(asked, lambda u: u >= home)).alias("at"))
+
+    asking = spread.groupBy(*part, "at").agg(F.count("*").alias("asking"))
+    members = placed.groupBy(*part, F.col("home").alias("at")).agg(F.sum("members").alias("members"))
+    grid = stored(members.join(asking, [*part, "at"]).select(
+        *part, "at", F.ceil(F.col("members") / SHELF).alias("shelves"), F.ceil(F.col("asking") / SHELF).alias("blocks")), "grid")
+
+    at_home = F.col("home") == F.col("at")
+    shelf, block = F.pmod(F.xxhash64("node"), "shelves"), F.pmod(F.xxhash64("node", F.lit("asks")), "blocks")
+
+    def place(b, s, role):
+        return F.struct(b.alias("block"), s.alias("shelf"), role.alias("role"))
+
+    zero = F.lit(0).cast("long")
+    queries = F.transform(F.sequence(zero, F.col("shelves") - 1), lambda s: place(
+        block, s, F.when(at_home & (s == shelf), 2).otherwise(1)))
+    elsewhere = F.filter(F.sequence(zero, F.col("blocks") - 1), lambda b: at_home & (b != block))
+    as_member = F.transform(elsewhere, lambda b: place(b, shelf, F.lit(0)))
+    return spread.join(grid, [*part, "at"]).select(
+        *[c for c in spread.columns if c != "home"], at_home.alias("at_home"), F.inline(F.concat(queries, as_member)))
+
+
 def near_vectors(rows: DataFrame, cosine: float = 0.93) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of `rows` (vec_id, embedding, label).
 
     Vectors of one label and one length are compared by cosine. Equal vectors of a label are one
-    class with a count. Each class has a coarse list and residual codes. Lists are gathered in shelves
-    of bounded size, a long list on several; each pair of shelves of a label is a tile. In a tile, a
-    vector asks the lists it may have neighbours in, by table lookups; a member whose coded distance,
-    less its coding error, is within reach is checked by exact cosine. A tile hands on sums and one
-    link per linked vector, never pairs.
+    class with a count. Each class has a coarse list, residual codes, and the lists that it may have
+    neighbours in; it is sent to the tiles of those lists alone, see `tiles_of`. In a tile, a vector asks the
+    lists it probes by table lookups; a member whose coded distance, less its coding error, is within
+    reach is checked by exact cosine. A tile hands on sums and one link per linked vector, never pairs.
 
     Vectors that are null, empty, zero, or hold null or non-finite components, and those without
     label, link with nothing. Equal rows link with each other. A null id counts as no id: it is kept
@@ -231,24 +285,10 @@ def near_vectors(rows: DataFrame, cosine: float = 0.93) -> DataFrame:
 
     own = ["node", "copies", "label", "dim", "unit"]
     encoded = stored(classes.select(*own).mapInArrow(
-        encode_rows(index), f"node binary, copies long, label {kind['label']}, dim int, unit binary, "
-                            "list int, codes binary, error double"), "encoded")
-    part = ["label", "dim"]
-    order = W.partitionBy(*part).orderBy("list").rowsBetween(W.unboundedPreceding, -1)
-    sizes = encoded.groupBy(*part, "list").agg(F.count("*").alias("members"))
-    placed = sizes.select(
-        *part, "list", F.floor(F.coalesce(F.sum("members").over(order), F.lit(0)) / SHELF).alias("first"),
-        F.ceil(F.col("members") / SHELF).alias("shelves"))
-    last = F.max(F.col("first") + F.col("shelves")).over(W.partitionBy(*part)) - 1
-    placed = stored(placed.withColumn("last", last), "shelves")
-    shelved = encoded.join(placed, [*part, "list"]).withColumn(
-        "shelf", F.col("first") + F.pmod(F.xxhash64("node"), "shelves"))
-    # A member meets the shelves up to its own, a query those behind it.
-    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("other")
-    tiles = shelved.select(*own, "list", "codes", "error", "shelf", met).select(
-        *own, "list", "codes", "error", F.least("shelf", "other").alias("low"), F.greatest("shelf", "other").alias("high"),
-        F.when(F.col("shelf") >= F.col("other"), 0).otherwise(1).alias("role"))
-    found = stored(tiles.groupBy(*part, "low", "high").applyInArrow(
+        encode_rows(index, cosine), f"node binary, copies long, label {kind['label']}, dim int, unit binary, "
+                                    "list int, codes binary, error double, probes array<int>"), "encoded")
+    tiles = tiles_of(encoded, len(index.centroids))
+    found = stored(tiles.groupBy("label", "dim", "at", "block", "shelf").applyInArrow(
         tile_links(index, cosine), "node binary, n_links long, root binary"), "links")
 
     counts = found.groupBy("node").agg(F.sum("n_links").alias("linked"))
