@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperloom.llm.tokens import encoded, largest_id
+from paperloom.llm.tokens import encoded, kept_encoder, largest_id
 
 MASK_DELTA = 0xA282EAD8
 # Length, checksum, index entry, and what stands before the ids of a payload.
@@ -75,7 +75,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> No
         n_records = n_tokens = offset = 0
         with store.open_output_stream(posixpath.join(base, f"{name}.records")) as data, \
                 store.open_output_stream(posixpath.join(base, f"{name}.index")) as index:
-            for doc_id, ids in encoded(batches, tokenizer, end_id):
+            for doc_id, ids in encoded(batches, tokenizer, end_id, kept_encoder(tokenizer)):
                 stored = np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
                 record = frame(struct.pack(DOC, doc_id is not None, width, doc_id or 0) + stored)
                 data.write(record)

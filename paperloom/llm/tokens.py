@@ -2,6 +2,8 @@
 
 import os
 import re
+import sys
+import types
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -100,11 +102,22 @@ class WordEncoder:
         return (raw if b"<|" in raw else raw.lower()).split()
 
 
+def kept_encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which next tasks on it take over with the words it remembers.
+
+    This module travels with each task, so the encoder is kept in the table of modules, which does not.
+    """
+    kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
+    if path not in vars(kept):
+        setattr(kept, path, WordEncoder(path))
+    return vars(kept)[path]
+
+
 def encoded(
-    batches: Iterable[pa.RecordBatch], path: str, end_id: int
+    batches: Iterable[pa.RecordBatch], path: str, end_id: int, encoder: WordEncoder | None = None
 ) -> Iterator[tuple[int | None, bytes]]:
-    """(doc_id, ids with the end id) of each row (doc_id, text)."""
-    encoder, end = WordEncoder(path), np.array([end_id], dtype="<u4").tobytes()
+    """(doc_id, ids with the end id) of each row (doc_id, text), by `encoder` or a new one."""
+    encoder, end = encoder or WordEncoder(path), np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         for at in range(0, batch.num_rows, TEXTS):
             part = batch.slice(at, TEXTS)
