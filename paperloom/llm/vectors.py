@@ -17,8 +17,9 @@ from paperloom.llm.shared import stored
 # The index is fitted on at most SAMPLE vectors, those with the smallest hashes: at most LISTS coarse
 # centroids, and CODES codewords in each of about SUBSPACES subspaces of the residuals.
 SAMPLE, LISTS, CODES, SUBSPACES, STEPS = 16_384, 1024, 16, 16, 10
-# Members of a shelf, and vectors that ask it in one tile, on the average. Short lists share a shelf, long ones take several.
-SHELF = 1024
+# Members of a shelf, on the average; short lists share one, long ones take several. In a tile, up to ASKERS times as
+# many vectors ask a shelf, so that its members are sent seldom.
+SHELF, ASKERS = 1024, 4
 
 
 @dataclass(frozen=True)
@@ -240,7 +241,7 @@ def tiles_of(encoded: DataFrame, n_lists: int) -> DataFrame:
     asking = spread.groupBy(*part, "at").agg(F.count("*").alias("asking"))
     members = placed.groupBy(*part, F.col("home").alias("at")).agg(F.sum("members").alias("members"))
     grid = stored(members.join(asking, [*part, "at"]).select(
-        *part, "at", F.ceil(F.col("members") / SHELF).alias("shelves"), F.ceil(F.col("asking") / SHELF).alias("blocks")), "grid")
+        *part, "at", F.ceil(F.col("members") / SHELF).alias("shelves"), F.ceil(F.col("asking") / (ASKERS * SHELF)).alias("blocks")), "grid")
 
     at_home = F.col("home") == F.col("at")
     shelf, block = F.pmod(F.xxhash64("node"), "shelves"), F.pmod(F.xxhash64("node", F.lit("asks")), "blocks")
