@@ -13,9 +13,12 @@ from paperloom.operators.upsert import (
     merge_release, select_failed, union_keys, upsert_entries, upsert_keys, with_data_path,
 )
 from paperloom.plans.links import resolve_oa_link
-from paperloom.runtime import cut_lineage
+from paperloom.runtime import written
 from paperloom.schemas import ENTRY, conform
 
+# The columns by which a release row is identified.
+KEYS = ("cord_uid", "doi", "pmcid", "pubmed_id")
+
 
 @dataclass(frozen=True)
 class Snapshots:
@@ -106,7 +109,7 @@ def ingest_release(
     """
     if errors is not None:
         release = with_retries(release, errors)
-    taken = accept_first_come(release, id_map)
+    taken = accept_first_come(release.select("row_no", *KEYS), id_map)
     uid, doi = present(F.col("cord_uid")), doi_key(F.col("doi"))
     pmcid, pmid = present(F.col("pmcid")), present(F.col("pubmed_id"))
     article = F.coalesce(
@@ -119,11 +122,13 @@ def ingest_release(
     # map holds the id that follows from it.
     keyless = uid.isNull() & doi.isNull()
     held = id_map.where("kind = 'id'").select(F.col("key").alias("id"))
-    identified = taken.withColumn("id", article)
-    identified = identified.where(~keyless).unionByName(
+    identified = written(taken.withColumn("id", article), "identified")
+    lost = identified.where("id is null").select("row_no")
+    failed = rejected(release.join(lost, "row_no", "left_semi"), "no identifier")
+    identified = identified.where("id is not null")
+    fresh = identified.where(~keyless).unionByName(
         identified.where(keyless).join(held, "id", "left_anti"))
-    failed = rejected(identified.where("id is null").drop("id"), "no identifier")
-    rows = cut_lineage(_sampled(last_wins(identified.where("id is not null"), ["id"], "row_no"), sample))
+    rows = written(_sampled(last_wins(fresh, ["id"], "row_no"), sample), "rows")
 
     known = rows.select("row_no", "id").join(_as_record(entries), "id", "inner")
     unknown = rows.join(known.select("row_no"), "row_no", "left_anti")
@@ -134,10 +139,12 @@ def ingest_release(
     records = known.select("row_no", "record").unionByName(
         _record(looked_up)
     )
-    # The ladder of links reads its entries several times, so they are written once before it.
-    merged = cut_lineage(merge_release(rows.join(records, "row_no", "left")))
-    changed = cut_lineage(_link(merged, snapshots))
-    keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
+    # Up to here keys alone have travelled. The wide rows are joined and written before the ladder of
+    # links, which reads them several times, and with their links.
+    found = release.join(rows.select("row_no", "id"), "row_no").join(records, "row_no", "left")
+    merged = written(merge_release(found), "merged")
+    changed = written(_link(merged, snapshots), "changed")
+    keyed = rows.select("id", "row_no").join(union_keys(merged), "id")
     return Ingested(changed, _last_keys(keyed), failed)
 
 
@@ -161,7 +168,8 @@ def ingest_ids(
     `sample` takes that many articles only.
     """
     resolved = resolve_ids(keys, id_map).where("id is not null")
-    rows = cut_lineage(_sampled(last_wins(resolved, ["id"], "row_no").select("row_no", "kind", "key", "id"), sample))
+    last = last_wins(resolved, ["id"], "row_no").select("row_no", "kind", "key", "id")
+    rows = written(_sampled(last, sample), "rows")
     given = {k: F.when(F.col("kind") == k, F.col("key")) for k in ("doi", "pmid", "pmcid")}
 
     known = rows.select("row_no", "id").join(_as_record(entries), "id", "inner")
@@ -174,8 +182,9 @@ def ingest_ids(
         (F.coalesce(given[n], record[n]) if n in given else record[n]).alias(n)
         for n in ENTRY.names if n != "id"
     ])
-    changed = cut_lineage(_link(cut_lineage(init_flags(filled)), snapshots))
-    keyed = rows.select("id", "row_no").join(union_keys(changed), "id")
+    merged = written(init_flags(filled), "merged")
+    changed = written(_link(merged, snapshots), "changed")
+    keyed = rows.select("id", "row_no").join(union_keys(merged), "id")
     return Ingested(changed, _last_keys(keyed), rejected(keys.where("key is null"), "no identifier"))
 
 

@@ -53,3 +53,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder once, so that later steps start from the files."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written to the shared folder once as Parquet and read from there.
+
+    Unlike a checkpoint, its readers take the columns they need, and its size is known to the planner.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
