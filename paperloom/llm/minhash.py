@@ -2,6 +2,7 @@
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -22,6 +23,8 @@ BESIDE, BLOCK = 64, 512
 TURNS = 1
 # Texts shingled at a time, by characters.
 TEXT_BYTES = 250_000
+# Bytes whose sums are held at a time.
+HASHED = 1 << 18
 # Fixed odd numbers of the hash functions.
 BASE, MIX_A, MIX_B, STEP = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93
 PERM_A, PERM_B = 0x85EBCA6B, 0xC2B2AE35
@@ -34,18 +37,34 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start of each word in the bytes `raw`, and a 64-bit hash of it, from prefix sums of a polynomial."""
+    """Start of each word in the bytes `raw`, and a 64-bit hash of it, from prefix sums of a polynomial.
+
+    Sums are taken HASHED bytes at a time, so a very long text costs memory for its words, not for its bytes.
+    """
     blank = (raw == 0x20) | (raw >= 0x09) & (raw <= 0x0D)
     edge = np.diff(np.concatenate(([1], blank, [1])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, back = powers(BASE, len(raw) + 1), powers(pow(BASE, -1, 1 << 64), len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)))
+    power, back = powers(BASE), powers(pow(BASE, -1, 1 << 64))
+    to_start, to_end, moved = (np.empty(len(starts), np.uint64) for _ in range(3))
+    before = 0
+    for at in range(0, len(raw), HASHED):
+        part = raw[at:at + HASHED]
+        shift, unshift = (np.uint64(pow(BASE, p, 1 << 64)) for p in (at, -at))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[:len(part)], dtype=np.uint64, out=sums[1:])
+        sums = sums * shift + np.uint64(before)
+        own = slice(*np.searchsorted(starts, (at, at + len(part))))
+        to_start[own], moved[own] = sums[starts[own] - at], back[starts[own] - at] * unshift
+        own = slice(*np.searchsorted(ends, (at, at + len(part)), "right"))
+        to_end[own] = sums[ends[own] - at]
+        before = int(sums[-1])
     # Moved back to power 0, equal words have equal sums wherever they stand.
-    return starts, mixed((sums[ends] - sums[starts]) * back[starts])
+    return starts, mixed((to_end - to_start) * moved)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
+@cache
+def powers(base: int) -> np.ndarray:
+    out = np.full(HASHED, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
