@@ -18,7 +18,7 @@ CODES = 0x110000
 
 def letter_codes() -> np.ndarray:
     """For each code point its lower-case letter's code point; 0 for all that is no letter."""
-    table = np.zeros(CODES, np.int64)
+    table = np.zeros(CODES, np.int32)
     for code in range(CODES):
         if (c := chr(code)).isalpha():
             low = c.lower()
@@ -36,18 +36,32 @@ def letters_of(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray,
     return codes, np.cumsum([len(t or "") + 1 for t in texts])
 
 
-def ngrams(codes: np.ndarray) -> np.ndarray:
-    """All 1- to 3-grams of a run of letters as numbers of 63 bits, each with at least one letter
-    and none that crosses a word's border further than one place."""
-    one = codes[codes > 0]
-    two = codes[:-1] << 21 | codes[1:]
-    two = two[(codes[:-1] > 0) | (codes[1:] > 0)]
-    three = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
-    return np.concatenate((one, two, three[codes[1:-1] > 0]))
+def ngrams(codes: np.ndarray, starts: int = CHARS) -> np.ndarray:
+    """All 1- to 3-grams from the first `starts` places of a run of letters on, as numbers of 63 bits, each with
+    at least one letter and none that crosses a word's border further than one place."""
+    one = codes[:starts]
+    two = (codes[:-1] << 21 | codes[1:])[:starts]
+    two = two[((codes[:-1] > 0) | (codes[1:] > 0))[:starts]]
+    three = (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[:starts]
+    return np.concatenate((one[one > 0], two, three[(codes[1:-1] > 0)[:starts]]))
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(ngrams(codes), return_counts=True) if len(codes) > 2 else (codes[:0], codes[:0])
+    """N-grams of a run of letters and their counts, CHARS places at a time, so that a very long text costs
+    memory for its distinct n-grams."""
+    grams = counts = np.zeros(0, np.int64)
+    for at in range(0, len(codes), CHARS):
+        some = codes[at:at + CHARS + 2].astype(np.int64)
+        grams, counts = added(grams, counts, *np.unique(ngrams(some), return_counts=True))
+    return grams, counts
+
+
+def added(grams: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two tables of counted n-grams as one."""
+    if not len(grams):
+        return more, n
+    both, at = np.unique(np.concatenate((grams, more)), return_inverse=True)
+    return both, np.bincount(at, np.concatenate((counts, n)), len(both)).astype(np.int64)
 
 
 def ranked(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -84,10 +98,7 @@ def learn(labelled: DataFrame) -> dict[str, list[int]]:
             for rows in chunks(batch):
                 for lang in {r[0] for r in rows}:
                     new = counted(letters_of([t for l, t in rows if l == lang], table)[0])
-                    old = held.get(lang, (new[0][:0], new[1][:0]))
-                    grams, at = np.unique(np.concatenate((old[0], new[0])), return_inverse=True)
-                    sums = np.bincount(at, np.concatenate((old[1], new[1])), len(grams)).astype(np.int64)
-                    held[lang] = (grams, sums)
+                    grams, _ = held[lang] = added(*held.get(lang, (new[0][:0], new[1][:0])), *new)
                     if len(grams) > HELD:
                         yield from handed(lang, *held.pop(lang))
         for lang, sums in held.items():
