@@ -2,7 +2,6 @@
 
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -44,7 +43,7 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blank = (raw == 0x20) | (raw >= 0x09) & (raw <= 0x0D)
     edge = np.diff(np.concatenate(([1], blank, [1])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    power, back = powers(BASE), powers(pow(BASE, -1, 1 << 64))
+    power, back = (powers(base, min(HASHED, len(raw))) for base in (BASE, pow(BASE, -1, 1 << 64)))
     to_start, to_end, moved = (np.empty(len(starts), np.uint64) for _ in range(3))
     before = 0
     for at in range(0, len(raw), HASHED):
@@ -62,9 +61,8 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, mixed((to_end - to_start) * moved)
 
 
-@cache
-def powers(base: int) -> np.ndarray:
-    out = np.full(HASHED, base, np.uint64)
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
