@@ -5,14 +5,19 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.shared import stored
 
+# Links that one task is given at least, so that a small graph is not dealt over every partition of a shuffle.
+LINKS_PER_TASK = 4096
 
-def is_settled(edges: DataFrame) -> bool:
-    """Whether every node has one link upwards at most, to a node that has none: stars are left."""
-    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(True).alias("below")),
-                   F.struct(F.col("v").alias("node"), F.lit(False).alias("below")))
+
+def nearest_of(edges: DataFrame) -> DataFrame:
+    """(node, m, loose) of the ends of `edges` (low, high): the smallest of a node and its neighbours, and whether
+    it has two neighbours below it, or one below and one above. Where no node is loose, stars are left."""
+    ends = F.array(F.struct(F.col("high").alias("node"), F.col("low").alias("below"), F.lit(None).alias("above")),
+                   F.struct(F.col("low").alias("node"), F.lit(None).alias("below"), F.col("high").alias("above")))
     nodes = edges.select(F.inline(ends)).groupBy("node").agg(
-        F.count_if("below").alias("up"), F.count_if(~F.col("below")).alias("down"))
-    return nodes.agg(F.count_if((F.col("up") > 1) | (F.col("up") == 1) & (F.col("down") > 0))).first()[0] == 0
+        F.min("below").alias("least"), F.max("below").alias("next"), F.max("above").alias("above"))
+    loose = F.col("least").isNotNull() & (F.col("above").isNotNull() | (F.col("least") != F.col("next")))
+    return nodes.select("node", F.coalesce("least", "node").alias("m"), loose.alias("loose"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -22,17 +27,17 @@ def components(links: DataFrame) -> DataFrame:
     smaller ones. Rounds are about the logarithm of the longest path. Minima are summed up
     map-side and written before they are joined, so Spark can split a join on a node that has a
     third of the links. All tables are in the shared folder; the driver gets one count a round.
+    `links` are read several times, so they had better be a table that was written.
     """
-    low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = stored(links.where("a != b").select(high.alias("u"), low.alias("v")).distinct(), "edges")
-    while not is_settled(edges):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        nearest = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "nearest")
-        large = both.where("v > u").join(nearest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct(), "edges")
-        nearest = stored(large.groupBy("u").agg(F.min("v").alias("m")), "nearest")
-        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        small = large.join(nearest, "u").select(F.inline(ends)).where("u != v").distinct()
-        edges = stored(small, "edges")
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    edges = links.where("a != b").select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+    tasks = links.count() // LINKS_PER_TASK + 1
+    while True:
+        nearest = stored(nearest_of(edges).coalesce(tasks), "nearest")
+        if nearest.where("loose").count() == 0:
+            return nearest.select("node", F.col("m").alias("root"))
+        large = edges.join(nearest, F.col("low") == F.col("node")).select("high", F.col("m").alias("low"))
+        large = stored(large.coalesce(tasks).distinct().coalesce(tasks), "edges")
+        nearest = stored(large.groupBy("high").agg(F.min("low").alias("m")).coalesce(tasks), "nearest")
+        small = large.join(nearest, "high").where("low != m").select(F.col("m").alias("low"), F.col("low").alias("high"))
+        small = small.unionByName(nearest.select(F.col("m").alias("low"), "high"))
+        edges = stored(small.coalesce(tasks).distinct().coalesce(tasks), "edges")

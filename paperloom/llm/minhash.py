@@ -213,26 +213,19 @@ def tile_links(percent: int) -> Callable:
 
     def tile(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
         sets = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
-        bands = np.array([r["bands"] for r in rows])
-        root = {r["root"]: r["root"] for r in rows}
-
-        def find(x: bytes) -> bytes:
-            while root[x] != x:
-                x = root[x]
-            return x
-
-        for i, a in enumerate(rows):
-            for j, b in enumerate(rows):
-                # Two members outside the main component meet twice; once is enough.
-                if a["role"] != 0 or b["role"] == 0 or b["minor"] and a["node"] > b["node"]:
-                    continue
-                one, other = find(a["root"]), find(b["root"])
-                if one == other:
-                    continue
-                shared = np.flatnonzero(bands[i] == bands[j])
-                if bands[i, shared[0]] == a["band"] and similar(sets[i], sets[j], percent):
-                    yield a["node"], b["node"]
-                    root[one] = other
+        sizes, bands = np.array([len(s) for s in sets]), np.array([r["bands"] for r in rows])
+        asked = np.array([r["role"] != 0 for r in rows])
+        # Two members outside the main component meet twice; once is enough.
+        minor, names = np.array([r["minor"] for r in rows]), np.array([r["node"] for r in rows], object)
+        at, part = bands[0].tolist().index(rows[0]["band"]), np.unique([r["root"] for r in rows], return_inverse=True)[1]
+        for i in np.flatnonzero(~asked).tolist():
+            meets = asked & (bands[:, at] == bands[i, at]) & ~(bands[:, :at] == bands[i, :at]).any(axis=1)
+            meets &= ~(minor & (names < names[i]))
+            meets &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+            for j in np.flatnonzero(meets & (part != part[i])).tolist():
+                if part[i] != part[j] and similar(sets[i], sets[j], percent):
+                    yield rows[i]["node"], rows[j]["node"]
+                    part[part == part[j]] = part[i]
 
     return run
 
