@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from paperloom import streaming
 from paperloom.operators.dedup import last_wins
 from paperloom.operators.reports import flag_classes, state_waterfall, waterfall_of
+from paperloom.streaming import releases
 
 SCHEMA = "id string, has_valid_oa_url boolean, has_valid_pdf boolean, has_valid_tei boolean, version int"
 
@@ -46,3 +47,25 @@ def test_the_stream_looks_at_changed_entries_alone(spark, tmp_path):
     stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
     plan = streaming.flag_changes(stream)._jdf.queryExecution().logical().toString()
     assert "FlatMapGroupsInPandasWithState" in plan and plan.count("StreamingRelation") == 1 and "Join" not in plan
+
+
+def test_entries_share_few_states(spark, tmp_path, monkeypatch):
+    """One state per bucket, not per entry; old, null and repeated versions change nothing."""
+    monkeypatch.setattr(releases, "STATE_BUCKETS", 4)
+    first = [(f"e{i}", i % 2 == 0, i % 3 == 0, None, 1 if i % 5 else None) for i in range(50)] + [(None, True, True, True, 1)]
+    second = [(f"e{i}", True, True, True, i % 3) for i in range(25)] + [("e60", True, None, False, 0)] * 2
+    seen = []
+    for at, rows in enumerate((first, second)):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/part{at}")
+        seen += rows
+        stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        query = streaming.stream_waterfall(stream, f"{tmp_path}/out", f"{tmp_path}/progress")
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+        latest = {}
+        for row in seen:
+            version = -1 if row[4] is None else row[4]
+            if row[0] not in latest or version > latest[row[0]][0]:
+                latest[row[0]] = (version, row)
+        expected = state_waterfall(spark.createDataFrame([r for _, r in latest.values()], SCHEMA))
+        assert spark.read.parquet(f"{tmp_path}/out/counts/batch={at}").collect() == expected.collect()
