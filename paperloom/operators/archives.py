@@ -5,8 +5,10 @@ import io
 import tarfile
 import zlib
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,38 +16,65 @@ from paperloom.functions import artifact_name, content_kind, storage_path
 from paperloom.operators.dedup import first_by
 from paperloom.values import CONVERTED_SUFFIXES
 
+# Bytes of results, and rows, that a task gathers before it hands them on.
+HELD, HELD_ROWS = 4 << 20, 5_000
+
+
+def gathered(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """`rows` in batches of a little over HELD bytes, so that a task holds few whole files as objects at a time."""
+    def as_batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes | str))
+        if size >= HELD or len(held) >= HELD_ROWS:
+            yield as_batch()
+            held, size = [], 0
+    if held:
+        yield as_batch()
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Any, ...]]:
+    """The rows of `batches`; each value becomes an object of its own only when its turn comes."""
+    for batch in batches:
+        for row in zip(*batch.columns):
+            yield tuple(v.as_py() for v in row)
+
+
 def extract_archives(archives: DataFrame) -> DataFrame:
     """(id, pdf_name, pdf, nxml_name, nxml, no_pdf, error) of archives (id, content).
 
     The first PDF and the last NXML file of an archive are kept. Members are read from the
-    bytes in memory. A broken archive gives a row with `error`, and the job goes on. Run it with
-    a low `spark.sql.execution.arrow.maxRecordsPerBatch`, as the rows carry whole files.
+    bytes in memory. A broken archive gives a row with `error`, and the job goes on. A task holds the
+    archives of one Arrow batch, as they are packed, and what is unpacked of a few.
     """
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def wanted(content: bytes) -> tuple:
-            pdf = nxml = None
-            with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
-                for member in tar:
-                    if not member.isfile():
-                        continue
-                    if pdf is None and member.name.endswith((".pdf", ".PDF")):
-                        pdf = (member.name, tar.extractfile(member).read())
-                    elif member.name.endswith(".nxml"):
-                        nxml = (member.name, tar.extractfile(member).read())
-            return (pdf or (None, None)) + (nxml or (None, None))
-
-        for batch in batches:
-            rows = []
-            for article, content in zip(batch["id"], batch["content"]):
-                try:
-                    rows.append((article, *wanted(content), None))
-                except (tarfile.TarError, EOFError, OSError, zlib.error) as broken:
-                    rows.append((article, None, None, None, None, type(broken).__name__))
-            yield pd.DataFrame(
-                rows, columns=["id", "pdf_name", "pdf", "nxml_name", "nxml", "error"]
-            )
-
-    out = archives.select("id", "content").mapInPandas(
+    schema = pa.schema([("id", pa.string()), ("pdf_name", pa.string()), ("pdf", pa.binary()),
+                        ("nxml_name", pa.string()), ("nxml", pa.binary()), ("error", pa.string())])
+
+    def wanted(content: bytes) -> tuple:
+        pdf = nxml = None
+        with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
+            for member in tar:
+                if not member.isfile():
+                    continue
+                if pdf is None and member.name.endswith((".pdf", ".PDF")):
+                    pdf = (member.name, tar.extractfile(member).read())
+                elif member.name.endswith(".nxml"):
+                    nxml = (member.name, tar.extractfile(member).read())
+        return (pdf or (None, None)) + (nxml or (None, None))
+
+    def unpacked(article: str, content: bytes) -> tuple:
+        try:
+            return article, *wanted(content), None
+        except (tarfile.TarError, EOFError, OSError, zlib.error) as broken:
+            return article, None, None, None, None, type(broken).__name__
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from gathered((unpacked(*row) for row in rows_of(batches)), schema)
+
+    out = archives.select("id", "content").mapInArrow(
         unpack, "id string, pdf_name string, pdf binary, nxml_name string, nxml binary, error string"
     )
     return out.select(
@@ -57,19 +86,22 @@ def extract_archives(archives: DataFrame) -> DataFrame:
 def decompress(payloads: DataFrame) -> DataFrame:
     """`payloads` with gzip content replaced by what it holds, plus `usable`.
 
-    Empty payloads and those that fail to unpack are not usable. Only gzip rows reach Python.
+    Empty payloads and those that fail to unpack are not usable. Only gzip rows reach Python, where
+    a task holds the payloads of one Arrow batch, as they are packed, and what is unpacked of a few.
     """
-    @F.pandas_udf("binary")
-    def unzip(contents: pd.Series) -> pd.Series:
-        def one(content):
-            if content is None:
-                return None
-            try:
-                return gzip.decompress(content)
-            except (OSError, EOFError, zlib.error):
-                return None
-
-        return contents.map(one)
+    def one(content: bytes | None) -> bytes | None:
+        if content is None:
+            return None
+        try:
+            return gzip.decompress(content)
+        except (OSError, EOFError, zlib.error):
+            return None
+
+    @F.arrow_udf("binary")
+    def unzip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        rows = ((one(content.as_py()),) for batch in batches for content in batch)
+        for batch in gathered(rows, pa.schema([("payload", pa.binary())])):
+            yield batch.column(0)
 
     body = F.col("payload")
     zipped = content_kind(body) == "gzip"
