@@ -7,7 +7,6 @@ import zlib
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,17 +129,18 @@ def convert(sources: DataFrame, converter: Callable[[str, bytes], bytes], output
 
     Gives (file, content, error); a converter that raises yields an error row.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for file, content in zip(batch["file"], batch["content"]):
-                try:
-                    rows.append((file + output_suffix, converter(file, content), None))
-                except Exception as failed:  # the converter is foreign code
-                    rows.append((file + output_suffix, None, f"{type(failed).__name__}: {failed}"))
-            yield pd.DataFrame(rows, columns=["file", "content", "error"])
-
-    return sources.select("file", "content").mapInPandas(
+    schema = pa.schema([("file", pa.string()), ("content", pa.binary()), ("error", pa.string())])
+
+    def converted(file: str, content: bytes) -> tuple:
+        try:
+            return file + output_suffix, converter(file, content), None
+        except Exception as failed:  # the converter is foreign code
+            return file + output_suffix, None, f"{type(failed).__name__}: {failed}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from gathered((converted(*row) for row in rows_of(batches)), schema)
+
+    return sources.select("file", "content").mapInArrow(
         run, "file string, content binary, error string"
     )
 
